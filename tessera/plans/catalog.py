@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import clean_numeric, reshape, round6
 from tessera.operators import series as T
-from tessera.operators.windows import sliding_windows, zscore_features
+from tessera.operators import lookup as L
+from tessera.operators import metrics as M
+from tessera.operators import order as O
+from tessera.operators import score as SC
+from tessera.operators import stats as ST
+from tessera.operators.windows import channel_long, sliding_windows, zscore_features
 from tessera.plans import tables as TB
 from tessera.plans.pipeline import build_windows, rejections
 from tessera.sources.sensor_files import device_name
@@ -129,6 +134,283 @@ def q_windows_pipeline(spark, sf):
     return _long(windows_pipeline(spark, sf), ["subject_id", "device", "label"], CH)
 
 
+
+# -- splits, ordering, sets --------------------------------------------------
+
+def _subjects(spark, sf):
+    return TB.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("subject_id"))
+
+
+def q_subject_split(spark, sf):
+    return O.subject_split(_subjects(spark, sf))
+
+
+def q_split_sizes(spark, sf):
+    return O.subject_split(_subjects(spark, sf)).groupBy("split").agg(F.count("*").alias("n_subjects"))
+
+
+def _windows_keys(spark, sf):
+    return _windows_raw(spark, sf).select("subject_id", "device", F.col("activity").alias("label"), "k")
+
+
+def q_split_leakage(spark, sf):
+    w = _windows_keys(spark, sf)
+    sp = O.subject_split(_subjects(spark, sf))
+    leak = O.leakage(w, sp).select("subject_id", F.lit(1).alias("_leak"))
+    j = w.join(sp, "subject_id").join(leak, "subject_id", "left")
+    return j.groupBy("split").agg(F.countDistinct("subject_id").alias("n_subjects"),
+                                  F.count("*").alias("n_windows"),
+                                  F.countDistinct(F.when(F.col("_leak") == 1, F.col("subject_id"))).alias("n_leaking"))
+
+
+def q_semi_split(spark, sf):
+    train = O.subject_split(_subjects(spark, sf)).where(F.col("split") == "train")
+    return _windows_keys(spark, sf).join(train, "subject_id", "left_semi")
+
+
+def q_anti_split(spark, sf):
+    train = O.subject_split(_subjects(spark, sf)).where(F.col("split") == "train")
+    return _windows_keys(spark, sf).join(train, "subject_id", "left_anti")
+
+
+def q_common_activities(spark, sf):
+    r = _readings(spark, sf)
+    cols = ["subject_id", "device", "activity"]
+    a = r.where(F.col("sensor") == "accel").select(*cols)
+    g = r.where(F.col("sensor") == "gyro").select(*cols)
+    return a.intersect(g)
+
+
+def q_union_devices(spark, sf):
+    r = _readings(spark, sf).drop("event_id")
+    parts = []
+    for dev in (0, 1):
+        res = build_windows(r.where(F.col("device") == dev), SPEC, SIZE, STEP)
+        parts.append(res.windows.select("subject_id", "device", F.col("activity").alias("label"), "k"))
+    return parts[0].unionByName(parts[1])
+
+
+def q_hash_sample(spark, sf):
+    ev = TB.table(spark, sf, "events")
+    return O.hash_sample(ev, 0.10, 99, "event_id").select("event_id")
+
+
+def q_epoch_shuffle(spark, sf):
+    e = TB.table(spark, sf, "embeddings").select("vec_id")
+    return O.shuffle_order(e, 42, 1, "vec_id")
+
+
+def q_batch_ids(spark, sf):
+    e = TB.table(spark, sf, "embeddings").select("vec_id")
+    return O.batch_ids(O.shuffle_order(e, 42, 2, "vec_id"), 64)
+
+
+def q_limit_n(spark, sf):
+    r = _readings(spark, sf)
+    return r.orderBy("timestamp", "event_id").limit(10).select("event_id", "timestamp")
+
+
+def q_sorted_series(spark, sf):
+    r = _readings(spark, sf).select("event_id", *KEY, "sensor", "timestamp")
+    return O.global_rank(r, [*KEY, "sensor", "timestamp", "event_id"], "pos").select("event_id", "pos")
+
+
+def q_publish_order(spark, sf):
+    w = _windows_keys(spark, sf)
+    return O.global_rank(w, ["device", "subject_id", "label", "k"], "seq")
+
+
+def q_filter_eq(spark, sf):
+    r = _readings(spark, sf)
+    return r.where((F.col("device") == 0) & (F.col("sensor") == "accel")).select("event_id", "subject_id")
+
+
+def q_clip_to_overlap(spark, sf):
+    r = _readings(spark, sf)
+    ok = T.eligible(_bounds(spark, sf), SPEC)
+    return (r.join(ok, KEY).where(F.col("timestamp").between(F.col("a"), F.col("b")))
+            .select("event_id", *KEY, "sensor", "timestamp"))
+
+
+# -- aggregates and profiles -------------------------------------------------
+
+def q_window_counts(spark, sf):
+    w = _windows_keys(spark, sf)
+    return w.rollup("device", "subject_id", "label").agg(F.count("*").alias("n_windows"))
+
+
+def q_distinct_labels(spark, sf):
+    return _windows_keys(spark, sf).select("label").distinct()
+
+
+def q_row_counts(spark, sf):
+    r = _readings(spark, sf).agg(F.count("*").alias("n_readings"))
+    b = _bounds(spark, sf).agg(F.count("*").alias("n_keys"),
+                               F.count(F.when(F.col("reason").isNull(), 1)).alias("n_usable"))
+    w = _windows_keys(spark, sf).agg(F.count("*").alias("n_windows"))
+    return r.select("n_readings", b.select("n_keys").scalar().alias("n_keys"),
+                    b.select("n_usable").scalar().alias("n_usable"),
+                    w.select("n_windows").scalar().alias("n_windows"))
+
+
+def _long_values(spark, sf):
+    return ST.channel_values(_windows_raw(spark, sf), CH, keep=["subject_id", "device", "activity", "k"])
+
+
+def _r6(df):
+    return df.select(*[round6(c).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def q_array_summary(spark, sf):
+    return _r6(ST.array_summary(_windows_raw(spark, sf), len(CH)))
+
+
+def q_channel_stats(spark, sf):
+    return _r6(ST.channel_stats(_long_values(spark, sf)))
+
+
+def q_finite_check(spark, sf):
+    return ST.finite_check(_long_values(spark, sf))
+
+
+def q_corr_matrix(spark, sf):
+    wide = ST.window_rows(_windows_raw(spark, sf), CH)
+    return _r6(ST.corr_matrix(wide, CH))
+
+
+def q_box_stats(spark, sf):
+    return _r6(ST.box_stats(_long_values(spark, sf)))
+
+
+def q_histogram(spark, sf):
+    return _r6(ST.histogram(_long_values(spark, sf), bins=30))
+
+
+def q_standardize(spark, sf):
+    s = ST.standardize(_long_values(spark, sf))
+    return _r6(s.withColumnRenamed("activity", "label"))
+
+
+def q_melt_channels(spark, sf):
+    m = channel_long(_windows_raw(spark, sf), ["subject_id", "device", "activity", "k"], CH)
+    return _r6(m.withColumnRenamed("activity", "label"))
+
+
+# -- lookups -----------------------------------------------------------------
+
+def q_code_lookup(spark, sf):
+    li = TB.table(spark, sf, "lineitem")
+    code = L.trim_code("l_returnflag")
+    return li.select("l_orderkey", "l_linenumber", code.alias("code"), L.code_to_name(code).alias("name"))
+
+
+def q_trim_code(spark, sf):
+    c = TB.table(spark, sf, "conversations")
+    return c.select("conv_id", "turn", L.trim_code("role").alias("role"))
+
+
+def _class_names(spark, sf):
+    p = TB.table(spark, sf, "part").select(F.col("p_name").alias("label"))
+    l_ = TB.table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("label"))
+    c = TB.table(spark, sf, "conversations").select(F.col("role").alias("label"))
+    return p.unionByName(l_).unionByName(c)
+
+
+def q_label_index(spark, sf):
+    return L.label_index(TB.table(spark, sf, "part").select(F.col("p_type").alias("label")))
+
+
+def q_resolve_labels(spark, sf):
+    return L.class_table(L.label_index(_class_names(spark, sf)))
+
+
+# -- scoring and evaluation --------------------------------------------------
+
+def _emb(spark, sf):
+    e = TB.table(spark, sf, "embeddings")
+    prefix = F.substring(O.hash_key(42, "vec_id"), 1, 13)
+    return e.withColumn("split", F.when(prefix < F.lit(O.hash_threshold(0.8)), "train").otherwise("held_out"))
+
+
+def _model_and_classes(spark, sf):
+    e = _emb(spark, sf)
+    model = SC.CentroidModel.fit(e.where(F.col("split") == "train"), "embedding", "label")
+    rows = [(i, c) for i, c in enumerate(model.classes)]
+    classes = spark.createDataFrame(rows, "idx int, class_name string")
+    return e, model, classes
+
+
+def _predictions(spark, sf, split="held_out"):
+    e, model, classes = _model_and_classes(spark, sf)
+    idx = F.create_map(*[F.lit(x) for i, c in enumerate(model.classes) for x in (c, i)])
+    d = e.where(F.col("split") == split) if split else e
+    d = d.select("vec_id", F.try_element_at(idx, F.col("label").cast("string")).alias("y_true"),
+                 model.logits("embedding").alias("logits"))
+    return SC.with_scores(d, "logits", "y_true"), classes
+
+
+def q_centroid_scores(spark, sf):
+    p, _ = _predictions(spark, sf)
+    return _r6(p.select("vec_id", "y_true", "y_pred", "confidence", "xentropy"))
+
+
+def q_softmax_scores(spark, sf):
+    p, _ = _predictions(spark, sf)
+    pr = p.select("vec_id", F.posexplode(SC.probabilities("logits")).alias("class_idx", "prob"))
+    return _r6(pr)
+
+
+def q_confusion_matrix(spark, sf):
+    p, classes = _predictions(spark, sf)
+    return M.confusion_long(p, classes)
+
+
+def q_classification_report(spark, sf):
+    p, classes = _predictions(spark, sf)
+    return _r6(M.classification_report(p, classes))
+
+
+def q_per_class_accuracy(spark, sf):
+    p, classes = _predictions(spark, sf)
+    return _r6(M.per_class_accuracy(p, classes))
+
+
+def q_p95_threshold(spark, sf):
+    p, _ = _predictions(spark, sf)
+    return _r6(M.loss_threshold(p, 0.95))
+
+
+def q_alert_flags(spark, sf):
+    p, _ = _predictions(spark, sf)
+    return _r6(M.alert_flags(p, M.loss_threshold(p, 0.95)).select("vec_id", "xentropy", "alert"))
+
+
+def _history(spark, sf):
+    """Per-epoch history of an evaluation pass: the training rows are
+    shuffled per epoch (md5 order), cut into batches of 64, and each
+    batch's mean loss and correct count are recorded; val_acc is the
+    held-out accuracy."""
+    tr, _ = _predictions(spark, sf, "train")
+    batches = []
+    for epoch in (1, 2, 3):
+        b = O.batch_ids(O.shuffle_order(tr, 42, epoch, "vec_id"), 64)
+        batches.append(b.groupBy("batch").agg(
+            F.count("*").alias("n"), F.avg("xentropy").alias("loss"),
+            F.sum((F.col("y_true") == F.col("y_pred")).cast("long")).alias("correct"))
+            .withColumn("epoch", F.lit(epoch)))
+    allb = batches[0].unionByName(batches[1]).unionByName(batches[2])
+    ho, _ = _predictions(spark, sf, "held_out")
+    val = ho.agg(F.avg((F.col("y_true") == F.col("y_pred")).cast("double")).alias("val_acc"))
+    return M.epoch_metrics(allb).withColumn("val_acc", val.scalar())
+
+
+def q_epoch_metrics(spark, sf):
+    return _r6(_history(spark, sf))
+
+
+def q_best_epoch(spark, sf):
+    return _r6(M.best_epoch(_history(spark, sf)))
+
 QUERIES = {
     "clean_numeric": q_clean_numeric,
     "device_code": q_device_code,
@@ -143,12 +425,47 @@ QUERIES = {
     "sliding_windows": q_sliding_windows,
     "zscore_windows": q_zscore_windows,
     "windows_pipeline": q_windows_pipeline,
+    "subject_split": q_subject_split,
+    "split_sizes": q_split_sizes,
+    "split_leakage": q_split_leakage,
+    "semi_split": q_semi_split,
+    "anti_split": q_anti_split,
+    "common_activities": q_common_activities,
+    "union_devices": q_union_devices,
+    "hash_sample": q_hash_sample,
+    "epoch_shuffle": q_epoch_shuffle,
+    "batch_ids": q_batch_ids,
+    "limit_n": q_limit_n,
+    "sorted_series": q_sorted_series,
+    "publish_order": q_publish_order,
+    "filter_eq": q_filter_eq,
+    "clip_to_overlap": q_clip_to_overlap,
+    "window_counts": q_window_counts,
+    "distinct_labels": q_distinct_labels,
+    "row_counts": q_row_counts,
+    "array_summary": q_array_summary,
+    "channel_stats": q_channel_stats,
+    "finite_check": q_finite_check,
+    "corr_matrix": q_corr_matrix,
+    "box_stats": q_box_stats,
+    "histogram": q_histogram,
+    "standardize": q_standardize,
+    "melt_channels": q_melt_channels,
+    "code_lookup": q_code_lookup,
+    "trim_code": q_trim_code,
+    "label_index": q_label_index,
+    "resolve_labels": q_resolve_labels,
+    "centroid_scores": q_centroid_scores,
+    "softmax_scores": q_softmax_scores,
+    "confusion_matrix": q_confusion_matrix,
+    "classification_report": q_classification_report,
+    "per_class_accuracy": q_per_class_accuracy,
+    "p95_threshold": q_p95_threshold,
+    "alert_flags": q_alert_flags,
+    "epoch_metrics": q_epoch_metrics,
+    "best_epoch": q_best_epoch,
 }
 
 
 def all_queries() -> dict:
     return dict(QUERIES)
-
-
-def _unused(spark: SparkSession) -> None:  # keeps type checkers quiet
-    return None

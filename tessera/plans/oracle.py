@@ -156,3 +156,224 @@ WHERE (subject_id, device, activity, k) NOT IN (
 
 def all_sql() -> dict:
     return dict(SQL)
+
+
+# ---------------------------------------------------------------------------
+# Batch 2: splits, ordering, sets, profiles, lookups, scoring, metrics
+# ---------------------------------------------------------------------------
+
+from tessera import schemas as _S  # noqa: E402
+from tessera.operators.order import hash_threshold as _thr  # noqa: E402
+
+
+def R6(e: str) -> str:
+    return f"floor(({e}) * 1e6 + 0.5) / 1e6"
+
+
+SPLIT = r"""
+subj AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS subject_id FROM events WHERE user_id IS NOT NULL),
+ranked AS (SELECT subject_id, row_number() OVER (ORDER BY md5('42:' || subject_id), subject_id) - 1 AS r,
+                  count(*) OVER () AS n FROM subj),
+split AS (SELECT subject_id,
+                 CASE WHEN r < ceil(0.8::DOUBLE * n) THEN 'train'
+                      WHEN r < ceil(0.8::DOUBLE * n) + floor(0.1::DOUBLE * n) THEN 'val'
+                      ELSE 'test' END AS split FROM ranked)"""
+
+WK = r"""
+wk AS (SELECT DISTINCT subject_id, device, activity AS label, k FROM win)"""
+
+WL = "\nwl AS (" + " UNION ALL ".join(
+    f"SELECT subject_id, device, activity, k, j, '{c}' AS channel, {c} AS value FROM win"
+    for c in ["ax", "ay", "gx", "gy"]) + ")"
+
+ACT_VALUES = ", ".join(f"({i}, '{c}', '{n}')" for i, (c, n) in enumerate(_S.ACTIVITY_NAMES))
+AM = f"\nam AS (SELECT * FROM (VALUES {ACT_VALUES}) t(pos, code, name))"
+
+SCORE = f"""
+emb AS (SELECT vec_id, label, embedding,
+               CASE WHEN substr(md5('42:' || CAST(vec_id AS VARCHAR)), 1, 13) < '{_thr(0.8)}'
+                    THEN 'train' ELSE 'held_out' END AS split FROM embeddings),
+ev AS (SELECT vec_id, label, split, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS d FROM emb),
+cent AS (SELECT CAST(label AS VARCHAR) AS cls, d, avg(v) AS c FROM ev WHERE split = 'train' GROUP BY ALL),
+classes AS (SELECT cls, row_number() OVER (ORDER BY cls) - 1 AS idx FROM (SELECT DISTINCT cls FROM cent)),
+dist AS (SELECT e.vec_id, cl.idx, -sum((e.v - c.c) * (e.v - c.c)) AS logit
+         FROM ev e JOIN cent c ON e.d = c.d JOIN classes cl ON cl.cls = c.cls
+         GROUP BY e.vec_id, cl.idx),
+mx AS (SELECT vec_id, max(logit) AS m FROM dist GROUP BY vec_id),
+lse AS (SELECT d.vec_id, mx.m, mx.m + ln(sum(exp(d.logit - mx.m))) AS lse,
+               min(d.idx) FILTER (WHERE d.logit = mx.m) AS y_pred
+        FROM dist d JOIN mx USING (vec_id) GROUP BY d.vec_id, mx.m),
+pred_all AS (SELECT e.vec_id, e.split, CAST(cl.idx AS INTEGER) AS y_true, CAST(l.y_pred AS INTEGER) AS y_pred,
+                    exp(l.m - l.lse) AS confidence, l.lse - dt.logit AS xentropy
+             FROM emb e JOIN classes cl ON cl.cls = CAST(e.label AS VARCHAR)
+             JOIN lse l ON l.vec_id = e.vec_id
+             JOIN dist dt ON dt.vec_id = e.vec_id AND dt.idx = cl.idx),
+pred AS (SELECT * FROM pred_all WHERE split = 'held_out')"""
+
+HISTORY = """
+shuf AS (""" + " UNION ALL ".join(
+    f"SELECT {e} AS epoch, vec_id, xentropy, y_true, y_pred, "
+    f"(row_number() OVER (ORDER BY md5('42:{e}:' || CAST(vec_id AS VARCHAR)), vec_id) - 1) // 64 AS batch "
+    f"FROM pred_all WHERE split = 'train'" for e in (1, 2, 3)) + """),
+bat AS (SELECT epoch, batch, count(*) AS n, avg(xentropy) AS loss,
+               sum(CASE WHEN y_true = y_pred THEN 1 ELSE 0 END) AS correct FROM shuf GROUP BY epoch, batch),
+hist AS (SELECT epoch, sum(loss * n) / sum(n) AS tr_loss, sum(correct) / sum(n) AS tr_acc,
+                (SELECT avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END) FROM pred) AS val_acc
+         FROM bat GROUP BY epoch)"""
+
+CORE_W = CORE + "," + WK + "," + WL
+
+SQL.update({
+    "subject_split": _with(SPLIT) + "\nSELECT subject_id, split FROM split",
+    "split_sizes": _with(SPLIT) + "\nSELECT split, count(*) AS n_subjects FROM split GROUP BY split",
+    "split_leakage": CORE + "," + WK + "," + SPLIT + """,
+leak AS (SELECT w.subject_id FROM (SELECT DISTINCT subject_id FROM wk) w JOIN split USING (subject_id)
+         GROUP BY w.subject_id HAVING count(DISTINCT split) > 1)
+SELECT s.split, count(DISTINCT w.subject_id) AS n_subjects, count(*) AS n_windows,
+       count(DISTINCT CASE WHEN l.subject_id IS NOT NULL THEN w.subject_id END) AS n_leaking
+FROM wk w JOIN split s USING (subject_id) LEFT JOIN leak l ON l.subject_id = w.subject_id
+GROUP BY s.split""",
+    "semi_split": CORE + "," + WK + "," + SPLIT + """
+SELECT subject_id, device, label, k FROM wk
+WHERE subject_id IN (SELECT subject_id FROM split WHERE split = 'train')""",
+    "anti_split": CORE + "," + WK + "," + SPLIT + """
+SELECT subject_id, device, label, k FROM wk
+WHERE subject_id NOT IN (SELECT subject_id FROM split WHERE split = 'train')""",
+    "common_activities": _with(READINGS) + """
+SELECT subject_id, device, activity FROM readings WHERE sensor = 'accel'
+INTERSECT
+SELECT subject_id, device, activity FROM readings WHERE sensor = 'gyro'""",
+    "union_devices": CORE + "," + WK + "\nSELECT subject_id, device, label, k FROM wk",
+    "hash_sample": f"""
+SELECT event_id FROM events
+WHERE substr(md5('99:' || CAST(event_id AS VARCHAR)), 1, 13) < '{_thr(0.10)}'""",
+    "epoch_shuffle": """
+SELECT vec_id, row_number() OVER (ORDER BY md5('42:1:' || CAST(vec_id AS VARCHAR)), vec_id) - 1 AS pos
+FROM embeddings""",
+    "batch_ids": """
+SELECT vec_id, pos, pos // 64 AS batch FROM (
+  SELECT vec_id, row_number() OVER (ORDER BY md5('42:2:' || CAST(vec_id AS VARCHAR)), vec_id) - 1 AS pos
+  FROM embeddings)""",
+    "limit_n": _with(READINGS) + "\nSELECT event_id, timestamp FROM readings ORDER BY timestamp, event_id LIMIT 10",
+    "sorted_series": _with(READINGS) + """
+SELECT event_id, row_number() OVER (ORDER BY subject_id, device, activity, sensor, timestamp, event_id) - 1 AS pos
+FROM readings""",
+    "publish_order": CORE + "," + WK + """
+SELECT subject_id, device, label, k, row_number() OVER (ORDER BY device, subject_id, label, k) - 1 AS seq FROM wk""",
+    "filter_eq": _with(READINGS) + "\nSELECT event_id, subject_id FROM readings WHERE device = 0 AND sensor = 'accel'",
+    "clip_to_overlap": _with(READINGS, DEDUPED, BOUNDS) + """
+SELECT r.event_id, r.subject_id, r.device, r.activity, r.sensor, r.timestamp
+FROM readings r JOIN ok USING (subject_id, device, activity)
+WHERE r.timestamp BETWEEN ok.a AND ok.b""",
+    "window_counts": CORE + "," + WK + """
+SELECT device, subject_id, label, count(*) AS n_windows FROM wk GROUP BY ROLLUP (device, subject_id, label)""",
+    "distinct_labels": CORE + "," + WK + "\nSELECT DISTINCT label FROM wk",
+    "row_counts": CORE + "," + WK + """
+SELECT (SELECT count(*) FROM readings) AS n_readings, (SELECT count(*) FROM bounds) AS n_keys,
+       (SELECT count(*) FROM bounds WHERE reason IS NULL) AS n_usable, (SELECT count(*) FROM wk) AS n_windows""",
+    "array_summary": CORE_W + f"""
+SELECT {R6('min(value)')} AS min, {R6('max(value)')} AS max, {R6('avg(value)')} AS mean,
+       {R6('stddev_samp(value)')} AS std, count(*) AS n_values, CAST(count(*) // 96 AS BIGINT) AS n_windows,
+       CAST(24 AS BIGINT) AS rows, 4 AS channels FROM wl""",
+    "channel_stats": CORE_W + f"""
+SELECT channel, {R6('avg(value)')} AS mean, {R6('stddev_pop(value)')} AS std, {R6('min(value)')} AS min,
+       {R6('max(value)')} AS max, count(value) AS n FROM wl GROUP BY channel""",
+    "finite_check": CORE_W + """
+SELECT channel, bool_or(isnan(value)) AS has_nan, bool_or(isinf(value)) AS has_inf,
+       bool_or(value IS NULL) AS has_null FROM wl GROUP BY channel""",
+    "corr_matrix": CORE + "\n" + " UNION ALL ".join(
+        f"SELECT '{a}' AS c1, '{b}' AS c2, {R6(f'corr({a}, {b})')} AS corr FROM win"
+        for a in ["ax", "ay", "gx", "gy"] for b in ["ax", "ay", "gx", "gy"]),
+    "box_stats": CORE_W + f""",
+q AS (SELECT channel, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+             quantile_cont(value, 0.75) AS q3 FROM wl GROUP BY channel)
+SELECT q.channel, {R6('q1')} AS q1, {R6('median')} AS median, {R6('q3')} AS q3, {R6('q3 - q1')} AS iqr,
+       {R6('min(value) FILTER (WHERE value >= q1 - 1.5 * (q3 - q1))')} AS whisker_lo,
+       {R6('max(value) FILTER (WHERE value <= q3 + 1.5 * (q3 - q1))')} AS whisker_hi,
+       count(*) FILTER (WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS n_outliers
+FROM wl JOIN q USING (channel) GROUP BY q.channel, q1, median, q3""",
+    "histogram": CORE_W + f""",
+rng AS (SELECT channel, min(value) AS lo, max(value) AS hi FROM wl GROUP BY channel),
+cnt AS (SELECT channel, CAST(CASE WHEN hi - lo = 0 THEN 0
+                                  ELSE least(floor((value - lo) / (hi - lo) * 30), 29) END AS INTEGER) AS bin,
+               count(*) AS count
+        FROM wl JOIN rng USING (channel) WHERE value IS NOT NULL GROUP BY ALL),
+bins AS (SELECT channel, lo, hi, CAST(unnest(range(30)) AS INTEGER) AS bin FROM rng)
+SELECT b.channel, b.bin, {R6('lo + b.bin * (hi - lo) / 30')} AS edge_lo,
+       {R6('lo + (b.bin + 1) * (hi - lo) / 30')} AS edge_hi, coalesce(c.count, 0) AS count
+FROM bins b LEFT JOIN cnt c ON b.channel = c.channel AND b.bin = c.bin""",
+    "standardize": CORE_W + f""",
+st AS (SELECT channel, avg(value) AS m, stddev_pop(value) AS s FROM wl GROUP BY channel)
+SELECT subject_id, device, activity AS label, k, j, channel,
+       {R6('(value - m) / CASE WHEN s = 0 OR s IS NULL THEN 1.0 ELSE s END')} AS value
+FROM wl JOIN st USING (channel)""",
+    "melt_channels": CORE_W + f"""
+SELECT subject_id, device, activity AS label, k, j AS i, channel AS axis, {R6('value')} AS value FROM wl""",
+    "code_lookup": _with(AM) + r"""
+SELECT l_orderkey, l_linenumber, code, coalesce(am.name, 'Unknown (' || code || ')') AS name
+FROM (SELECT l_orderkey, l_linenumber, regexp_replace(l_returnflag, '^\s+|\s+$', '', 'g') AS code FROM lineitem) li
+LEFT JOIN am USING (code)""",
+    "trim_code": r"""
+SELECT conv_id, turn, regexp_replace(role, '^\s+|\s+$', '', 'g') AS role FROM conversations""",
+    "label_index": """
+SELECT label, row_number() OVER (ORDER BY label) - 1 AS idx
+FROM (SELECT DISTINCT p_type AS label FROM part WHERE p_type IS NOT NULL)""",
+    "resolve_labels": _with(AM) + """,
+cls AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS idx FROM (
+          SELECT DISTINCT label FROM (SELECT p_name AS label FROM part UNION ALL
+                                      SELECT l_returnflag FROM lineitem UNION ALL
+                                      SELECT role FROM conversations) WHERE label IS NOT NULL)),
+res AS (SELECT c.idx, c.label AS class_name,
+               coalesce((SELECT code FROM am WHERE am.code = c.label),
+                        (SELECT code FROM am WHERE am.name = c.label),
+                        (SELECT code FROM am WHERE contains(c.label, am.name) OR contains(am.name, c.label)
+                         ORDER BY pos LIMIT 1),
+                        'Class-' || CAST(c.idx AS VARCHAR)) AS letter
+        FROM cls c)
+SELECT idx, class_name, letter, coalesce((SELECT name FROM am WHERE am.code = res.letter), class_name) AS activity_name
+FROM res""",
+    "centroid_scores": _with(SCORE) + f"""
+SELECT vec_id, y_true, y_pred, {R6('confidence')} AS confidence, {R6('xentropy')} AS xentropy FROM pred""",
+    "softmax_scores": _with(SCORE) + f"""
+SELECT d.vec_id, CAST(d.idx AS INTEGER) AS class_idx, {R6('exp(d.logit - l.lse)')} AS prob
+FROM dist d JOIN lse l USING (vec_id) JOIN emb e USING (vec_id) WHERE e.split = 'held_out'""",
+    "confusion_matrix": _with(SCORE) + """
+SELECT CAST(t.idx AS INTEGER) AS y_true, CAST(p.idx AS INTEGER) AS y_pred, count(pr.vec_id) AS count
+FROM classes t JOIN classes p ON TRUE
+LEFT JOIN pred pr ON pr.y_true = t.idx AND pr.y_pred = p.idx
+GROUP BY t.idx, p.idx""",
+    "classification_report": _with(SCORE) + f""",
+cc AS (SELECT c.idx, c.cls AS class_name,
+              (SELECT count(*) FROM pred WHERE y_true = c.idx AND y_pred = c.idx) AS tp,
+              (SELECT count(*) FROM pred WHERE y_pred = c.idx) AS predicted,
+              (SELECT count(*) FROM pred WHERE y_true = c.idx) AS support FROM classes c),
+per AS (SELECT class_name, support, tp,
+               CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END AS precision,
+               CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS recall FROM cc),
+per2 AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
+                        ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM per)
+SELECT class_name, {R6('precision')} AS precision, {R6('recall')} AS recall, {R6('f1')} AS f1, support FROM per2
+UNION ALL SELECT 'accuracy', NULL, NULL, {R6('CASE WHEN sum(support) = 0 THEN 0.0 ELSE sum(tp) / sum(support) END')},
+                 CAST(sum(support) AS BIGINT) FROM per2
+UNION ALL SELECT 'macro avg', {R6('avg(precision)')}, {R6('avg(recall)')}, {R6('avg(f1)')},
+                 CAST(sum(support) AS BIGINT) FROM per2
+UNION ALL SELECT 'weighted avg', {R6('sum(precision * support) / sum(support)')},
+                 {R6('sum(recall * support) / sum(support)')}, {R6('sum(f1 * support) / sum(support)')},
+                 CAST(sum(support) AS BIGINT) FROM per2""",
+    "per_class_accuracy": _with(SCORE) + f"""
+SELECT CAST(c.idx AS INTEGER) AS idx, c.cls AS class_name,
+       {R6('coalesce(avg(CASE WHEN p.y_true = p.y_pred THEN 1.0 ELSE 0.0 END), 0.0)')} AS accuracy
+FROM classes c LEFT JOIN pred p ON p.y_true = c.idx GROUP BY c.idx, c.cls""",
+    "p95_threshold": _with(SCORE) + f"\nSELECT {R6('quantile_cont(xentropy, 0.95)')} AS threshold_95 FROM pred",
+    "alert_flags": _with(SCORE) + f"""
+SELECT vec_id, {R6('xentropy')} AS xentropy,
+       xentropy > (SELECT quantile_cont(xentropy, 0.95) FROM pred) AS alert FROM pred""",
+    "epoch_metrics": _with(SCORE, HISTORY) + f"""
+SELECT epoch, {R6('tr_loss')} AS tr_loss, {R6('tr_acc')} AS tr_acc, {R6('val_acc')} AS val_acc FROM hist""",
+    "best_epoch": _with(SCORE, HISTORY) + f""",
+h2 AS (SELECT *, coalesce(max(val_acc) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)
+                 AS prev FROM hist)
+SELECT arg_min(epoch, (-val_acc, epoch)) AS best_epoch, {R6('max(val_acc)')} AS best_val_acc,
+       arg_min(epoch, (tr_loss, epoch)) AS min_loss_epoch, arg_min(epoch, (-tr_acc, epoch)) AS max_acc_epoch,
+       CAST(sum(CASE WHEN val_acc > prev THEN 1 ELSE 0 END) AS BIGINT) AS n_improvements FROM h2""",
+})
