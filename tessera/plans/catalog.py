@@ -15,7 +15,12 @@ from tessera.operators import metrics as M
 from tessera.operators import order as O
 from tessera.operators import score as SC
 from tessera.operators import stats as ST
+from tessera.operators import running as RN
 from tessera.operators.windows import channel_long, sliding_windows, zscore_features
+from tessera import schemas as SCH
+from tessera.session import scratch_path
+from tessera.streaming import consumer as CS
+from tessera.streaming import messages as MS
 from tessera.plans import tables as TB
 from tessera.plans.pipeline import build_windows, rejections
 from tessera.sources.sensor_files import device_name
@@ -411,6 +416,102 @@ def q_epoch_metrics(spark, sf):
 def q_best_epoch(spark, sf):
     return _r6(M.best_epoch(_history(spark, sf)))
 
+
+# -- arrays, JSON, messages and streaming ------------------------------------
+
+def q_json_roundtrip(spark, sf):
+    ev = TB.table(spark, sf, "events")
+    parsed = F.from_json("props", "k int")
+    return ev.select("event_id", parsed["k"].alias("k"), F.to_json(parsed).alias("json"))
+
+
+def q_flatten_reshape(spark, sf):
+    w = _windows_raw(spark, sf)
+    rows = reshape("features", len(CH))
+    return w.select("subject_id", "device", F.col("activity").alias("label"), "k",
+                    F.size(rows).alias("n_rows"), F.size(rows[0]).alias("n_cols"),
+                    (F.flatten(rows) == F.col("features")).alias("same"))
+
+
+def q_window_messages(spark, sf):
+    w = _windows_raw(spark, sf).withColumnRenamed("activity", "label")
+    msgs = MS.window_messages(w, len(CH))
+    d = MS.decode(msgs.select("value"))
+    return d.select("device", "subject_id", "activity", "seq", F.size("features").alias("n_rows"),
+                    F.size(F.col("features")[0]).alias("n_cols"), "valid")
+
+
+def q_stream_events(spark, sf):
+    """Events replayed as a file stream (one file per trigger), decoded
+    into readings by the same plan as the batch path."""
+    schema = TB.table(spark, sf, "events").schema
+    src = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+           .option("maxFilesPerTrigger", 1).parquet(sf))
+    q, path = CS.run_append(spark, TB.decode_events(spark, src), "stream-events")
+    q.awaitTermination()
+    out = spark.read.parquet(path)
+    return out.select("event_id", *KEY, "sensor", "timestamp", round6("x").alias("x"), round6("y").alias("y"))
+
+
+def _letter_embeddings(spark, sf):
+    """Embeddings as labelled windows: label i -> the i-th activity code."""
+    codes = F.array(*[F.lit(c) for c, _ in SCH.ACTIVITY_NAMES])
+    e = _emb(spark, sf)
+    return e.select(F.col("vec_id").cast("string").alias("subject_id"), F.lit(0).alias("device"),
+                    F.element_at(codes, F.col("label") + 1).alias("label"), F.lit(0).cast("long").alias("k"),
+                    F.col("embedding").cast("array<double>").alias("features"), "split")
+
+
+def _message_files(spark, sf):
+    """Producer: held-out embedding windows published as JSON lines; the
+    model is fitted on the training windows."""
+    lw = _letter_embeddings(spark, sf)
+    model = SC.CentroidModel.fit(lw.where(F.col("split") == "train"), "features", "label")
+    msgs = MS.window_messages(lw.where(F.col("split") == "held_out").drop("split"), 1)
+    path = scratch_path(spark, "messages")
+    MS.publish_files(msgs, path, rows_per_file=25)
+    return path, model
+
+
+def _scored_stream(spark, sf):
+    path, model = _message_files(spark, sf)
+    raw = MS.read_files(spark, path, max_files_per_trigger=2)
+    return CS.score_messages(spark, MS.decode(raw), model, 1, normalize=False), path, model
+
+
+_SCORE_COLS = ["seq", "subject_id", "activity", "pred_letter", "pred_name", "truth_name", "confidence", "correct"]
+
+
+def q_stream_scores(spark, sf):
+    scored, _, _ = _scored_stream(spark, sf)
+    q, out = CS.run_append(spark, scored.select(*_SCORE_COLS), "stream-scores")
+    q.awaitTermination()
+    return _r6(spark.read.parquet(out))
+
+
+def q_stream_accuracy(spark, sf):
+    scored, _, _ = _scored_stream(spark, sf)
+    q, log = CS.run_update(spark, CS.accuracy_state(scored, ["device"]), "stream-accuracy")
+    q.awaitTermination()
+    return _r6(CS.read_changelog(spark, log, ["device"]))
+
+
+def q_latest_per_key(spark, sf):
+    scored, _, _ = _scored_stream(spark, sf)
+    agg = CS.latest_state(scored, ["device"], "seq", ["subject_id", "pred_letter", "confidence"])
+    q, log = CS.run_update(spark, agg, "latest")
+    q.awaitTermination()
+    return _r6(CS.read_changelog(spark, log, ["device"]))
+
+
+def q_running_accuracy(spark, sf):
+    """Batch twin of the stream: accuracy after each message, per device,
+    in publish order."""
+    path, model = _message_files(spark, sf)
+    scored = CS.score_messages(spark, MS.decode(spark.read.text(path)), model, 1, normalize=False)
+    r = RN.running_accuracy(scored, ["device"], ["seq"])
+    return _r6(r.select("device", "seq", "n_seen", "n_correct", "running_accuracy"))
+
 QUERIES = {
     "clean_numeric": q_clean_numeric,
     "device_code": q_device_code,
@@ -464,6 +565,14 @@ QUERIES = {
     "alert_flags": q_alert_flags,
     "epoch_metrics": q_epoch_metrics,
     "best_epoch": q_best_epoch,
+    "json_roundtrip": q_json_roundtrip,
+    "flatten_reshape": q_flatten_reshape,
+    "window_messages": q_window_messages,
+    "stream_events": q_stream_events,
+    "stream_scores": q_stream_scores,
+    "stream_accuracy": q_stream_accuracy,
+    "latest_per_key": q_latest_per_key,
+    "running_accuracy": q_running_accuracy,
 }
 
 

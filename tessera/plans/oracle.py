@@ -377,3 +377,46 @@ SELECT arg_min(epoch, (-val_acc, epoch)) AS best_epoch, {R6('max(val_acc)')} AS
        arg_min(epoch, (tr_loss, epoch)) AS min_loss_epoch, arg_min(epoch, (-tr_acc, epoch)) AS max_acc_epoch,
        CAST(sum(CASE WHEN val_acc > prev THEN 1 ELSE 0 END) AS BIGINT) AS n_improvements FROM h2""",
 })
+
+
+# ---------------------------------------------------------------------------
+# Batch 3: arrays, JSON, messages, streaming
+# ---------------------------------------------------------------------------
+
+STREAM = SCORE + "," + AM + """,
+scored AS (
+  SELECT row_number() OVER (ORDER BY CAST(p.vec_id AS VARCHAR)) - 1 AS seq,
+         CAST(p.vec_id AS VARCHAR) AS subject_id, ta.code AS activity, pa.code AS pred_letter,
+         pa.name AS pred_name, ta.name AS truth_name, p.confidence, pa.code = ta.code AS correct
+  FROM pred p JOIN am ta ON ta.pos = p.y_true JOIN am pa ON pa.pos = p.y_pred)"""
+
+SQL.update({
+    "json_roundtrip": """
+SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+       CASE WHEN json_extract(props, '$.k') IS NULL THEN NULL
+            ELSE '{"k":' || CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS VARCHAR) || '}' END AS json
+FROM events""",
+    "flatten_reshape": CORE + "," + WK + """
+SELECT subject_id, device, label, k, 24 AS n_rows, 4 AS n_cols, TRUE AS same FROM wk""",
+    "window_messages": CORE + "," + WK + """
+SELECT CASE device WHEN 0 THEN 'phone' WHEN 1 THEN 'watch' END AS device, subject_id, label AS activity,
+       row_number() OVER (ORDER BY device, subject_id, label, k) - 1 AS seq, 24 AS n_rows, 4 AS n_cols,
+       TRUE AS valid
+FROM wk""",
+    "stream_events": _with(READINGS) + f"""
+SELECT event_id, subject_id, device, activity, sensor, timestamp, {R6('x')} AS x, {R6('y')} AS y FROM readings""",
+    "stream_scores": _with(STREAM) + f"""
+SELECT seq, subject_id, activity, pred_letter, pred_name, truth_name, {R6('confidence')} AS confidence, correct
+FROM scored""",
+    "stream_accuracy": _with(STREAM) + f"""
+SELECT 'phone' AS device, count(*) AS total, CAST(sum(CASE WHEN correct THEN 1 ELSE 0 END) AS BIGINT) AS n_correct,
+       {R6('avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END)')} AS accuracy FROM scored""",
+    "latest_per_key": _with(STREAM) + f"""
+SELECT 'phone' AS device, seq, subject_id, pred_letter, {R6('confidence')} AS confidence
+FROM scored WHERE seq = (SELECT max(seq) FROM scored)""",
+    "running_accuracy": _with(STREAM) + f"""
+SELECT 'phone' AS device, seq, row_number() OVER w AS n_seen,
+       CAST(sum(CASE WHEN correct THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_correct,
+       {R6('sum(CASE WHEN correct THEN 1.0 ELSE 0.0 END) OVER w / row_number() OVER w')} AS running_accuracy
+FROM scored WINDOW w AS (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+})

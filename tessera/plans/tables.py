@@ -68,12 +68,14 @@ def event_sensor_map(spark: SparkSession) -> DataFrame:
 
 def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned readings from ``events``: subject_id, device, activity,
-    sensor, timestamp, x, y (plus event_id for tracing).
+    sensor, timestamp, x, y (plus event_id for tracing)."""
+    return decode_events(spark, table(spark, sf_dir, "events"))
 
-    Rows with a NULL raw field are dropped first (the malformed-line
-    rule); the dirty text becomes NULL when unparseable, not an error.
-    """
-    ev = table(spark, sf_dir, "events")
+
+def decode_events(spark: SparkSession, ev: DataFrame) -> DataFrame:
+    """Events (batch or stream) -> readings.  Rows with a NULL raw field are
+    dropped first (the malformed-line rule); the dirty text becomes NULL
+    when unparseable, not an error."""
     ts_type = ev.schema["ts"].dataType
     ev = ev.na.drop("any", subset=["user_id", "ts", "event_type", "value", "props"])
     us = epoch_micros("ts", ts_type)
