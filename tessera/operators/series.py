@@ -113,9 +113,9 @@ def cluster(readings: DataFrame, spec: SeriesSpec, partitions: int | None = None
 def dedupe(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Keep one reading per (series, timestamp): the smallest axes tuple,
     taken whole (never per-column minima)."""
-    group = [*spec.series_key, spec.ts]
-    if "_bucket" in readings.columns:
-        group.append("_bucket")
+    # (key, sensor, bucket, ts): the sort this aggregate needs is also the
+    # order the next-reading window needs, so that window sorts nothing
+    group = [*spec.series_key, *(["_bucket"] if "_bucket" in readings.columns else []), spec.ts]
     best = F.min(F.struct(*[F.col(a) for a in spec.axes])).alias("_r")
     return (readings.groupBy(*group).agg(best)
             .select(*group, *[F.col(f"_r.{a}").alias(a) for a in spec.axes]))

@@ -49,16 +49,17 @@ def sliding_windows(aligned: DataFrame, key: list[str], channels: list[str],
 
 def windows_from_grid(grid: DataFrame, spec: SeriesSpec, size: int = S.WINDOW_SIZE,
                       step: int = S.STEP_SIZE, zscore: bool = False, ddof: int = 0,
-                      eps: float = S.ZSCORE_EPS) -> DataFrame:
+                      eps: float = S.ZSCORE_EPS, finite_only: bool = False,
+                      check_inf: bool = True) -> DataFrame:
     """Align and window in one shuffle.
 
     ``grid`` has one row per (key, sensor, i) (the output of
     ``resample``).  Each row is sent to its windows; a window gathers its
     ``size x len(sensors)`` sensor rows, orders them by (i, sensor) and
-    flattens them into the channel-major-within-row layout
-    ``[s1 axes..., s2 axes...]`` per grid index.  Per-channel mean and
-    deviation are computed in the same aggregation, so ``zscore=True``
-    costs no extra pass.
+    flattens them into ``[s1 axes..., s2 axes...]`` per grid index
+    (row-major ``size x channels``).  Per-channel mean and deviation, and
+    whether every value is finite, are aggregates of the same groupBy, so
+    normalising and the finite filter cost no extra pass over the array.
     """
     key = list(spec.key)
     sidx = F.lit(None).cast("int")
@@ -67,54 +68,65 @@ def windows_from_grid(grid: DataFrame, spec: SeriesSpec, size: int = S.WINDOW_SI
     rows = grid.select(*key, "i", sidx.alias("_s"),
                        F.explode(window_ids(F.col("i"), F.col("n"), size, step)).alias("k"),
                        *spec.axes)
-    aggs = [F.array_sort(F.collect_list(F.struct("i", "_s", *spec.axes))).alias("_rows")]
-    chans = spec.channels
+    aggs = [F.collect_list(F.struct("i", "_s", *spec.axes)).alias("_rows")]
+    if finite_only:
+        ok = None
+        for a in spec.axes:
+            c = F.col(a).isNotNull() & ~F.isnan(a)
+            if check_inf:
+                c = c & (F.abs(a) != F.lit(float("inf")))
+            ok = c if ok is None else (ok & c)
+        aggs.append(F.bool_and(ok).alias("_ok"))
     if zscore:
         std = F.stddev_pop if ddof == 0 else F.stddev_samp
-        c = 0
         for pos, _ in enumerate(spec.sensors):
             for a in spec.axes:
                 v = F.when(F.col("_s") == pos, F.col(a))
-                aggs += [F.avg(v).alias(f"_m{c}"), std(v).alias(f"_d{c}")]
-                c += 1
-    g = rows.groupBy(*key, "k").agg(*aggs).where(F.size("_rows") == size * len(spec.sensors))
-    feats = F.flatten(F.transform("_rows", lambda r: F.array(*[r[a] for a in spec.axes])))
-    out = g.select(*key, "k", feats.alias("features"),
-                   *([F.array(*[F.col(f"_m{c}") for c in range(len(chans))]).alias("_mean"),
-                      F.array(*[F.col(f"_d{c}") for c in range(len(chans))]).alias("_std")] if zscore else []))
-    if zscore:
-        nc = len(chans)
-        out = out.withColumn("features", F.transform(
-            "features", lambda v, j: (v - F.element_at("_mean", j % nc + 1))
-            / (F.element_at("_std", j % nc + 1) + F.lit(eps)))).drop("_mean", "_std")
-    return out
+                aggs += [F.avg(v).alias(f"_m{pos}_{a}"), std(v).alias(f"_d{pos}_{a}")]
+    g = rows.groupBy(*key, "k").agg(*aggs)
+    cond = F.size("_rows") == size * len(spec.sensors)
+    if finite_only:
+        cond = cond & F.col("_ok")
+    g = g.where(cond)
+
+    def cell(r, a):
+        if not zscore:
+            return r[a]
+        m = d = None
+        for pos in reversed(range(len(spec.sensors))):
+            m = F.col(f"_m{pos}_{a}") if m is None else F.when(r["_s"] == pos, F.col(f"_m{pos}_{a}")).otherwise(m)
+            d = F.col(f"_d{pos}_{a}") if d is None else F.when(r["_s"] == pos, F.col(f"_d{pos}_{a}")).otherwise(d)
+        return (r[a] - m) / (d + F.lit(eps))
+
+    feats = F.flatten(F.transform(F.array_sort("_rows"), lambda r: F.array(*[cell(r, a) for a in spec.axes])))
+    return g.select(*key, "k", feats.alias("features"))
 
 
 def zscore_features(df: DataFrame, channels: int, features: str = "features", ddof: int = 0,
                     eps: float = S.ZSCORE_EPS, out: str | None = None) -> DataFrame:
     """Per-window, per-channel z-score of a flat row-major array column:
     (v - mean_c) / (std_c + eps); population std for ddof=0, sample std
-    for ddof=1.  Means and deviations are materialised as array columns
-    first (one pass each), then one ``transform`` normalises."""
+    for ddof=1.
+
+    Linear in the array length: channel sums come from ``filter`` +
+    ``aggregate`` passes, and the per-channel mean and deviation are
+    repeated to the array length and combined with ``zip_with``, so no
+    lambda body refers to an outer expression (which Catalyst could inline
+    and re-evaluate for every element)."""
     f = F.col(features)
     rows = (F.size(f) / channels).cast("int")
 
-    def chan(c: int) -> Column:
-        return F.filter(f, lambda v, j: j % channels == c)
-
-    def sq(m: Column):
-        return lambda acc, v: acc + (v - m) * (v - m)
-
-    means = F.array(*[F.aggregate(chan(c), F.lit(0.0), lambda acc, v: acc + v) / rows
-                      for c in range(channels)])
-    d = df.withColumn("_zm", means)
-    stds = F.array(*[
-        F.sqrt(F.aggregate(chan(c), F.lit(0.0), sq(F.element_at("_zm", c + 1))) / (rows - ddof))
-        for c in range(channels)])
-    d = d.withColumn("_zs", stds)
-    norm = F.transform(f, lambda v, j: (v - F.element_at("_zm", j % channels + 1))
-                       / (F.element_at("_zs", j % channels + 1) + F.lit(eps)))
-    return d.withColumn(out or features, norm).drop("_zm", "_zs")
+    def chan_sum(arr, c: int, square: bool = False) -> Column:
+        part = F.filter(arr, lambda v, j: j % channels == c)
+        if square:
+            return F.aggregate(part, F.lit(0.0), lambda acc, v: acc + v * v)
+        return F.aggregate(part, F.lit(0.0), lambda acc, v: acc + v)
+
+    means = F.array(*[chan_sum(f, c) / rows for c in range(channels)])
+    d = df.withColumn("_zdev", F.zip_with(f, F.flatten(F.array_repeat(means, rows)), lambda v, m: v - m))
+    stds = F.array(*[F.sqrt(chan_sum(F.col("_zdev"), c, True) / (rows - ddof)) for c in range(channels)])
+    norm = F.zip_with("_zdev", F.flatten(F.array_repeat(stds, rows)), lambda v, s: v / (s + F.lit(eps)))
+    return d.withColumn(out or features, norm).drop("_zdev")
 
 
 def finite_windows(windows: DataFrame, features: str = "features", check_inf: bool = True) -> DataFrame:

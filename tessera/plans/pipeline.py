@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera import schemas as S
 from tessera.operators import series as T
-from tessera.operators.windows import finite_windows, windows_from_grid
+from tessera.operators.windows import windows_from_grid
 
 
 @dataclass
@@ -41,9 +41,8 @@ def build_windows(readings: DataFrame, spec: T.SeriesSpec, size: int = S.WINDOW_
     dd = T.dedupe(T.cluster(readings, spec, partitions), spec)
     bounds = T.classify(T.overlap_bounds(dd, spec), spec)
     grid = T.resample(dd, spec, bounds)
-    w = windows_from_grid(grid, spec, size, step, zscore=zscore, ddof=ddof)
-    if drop_nonfinite:
-        w = finite_windows(w, check_inf=check_inf)
+    w = windows_from_grid(grid, spec, size, step, zscore=zscore, ddof=ddof,
+                          finite_only=drop_nonfinite, check_inf=check_inf)
     return WindowsResult(windows=w, grid=grid, bounds=bounds, deduped=dd)
 
 
