@@ -107,7 +107,38 @@ def cluster(readings: DataFrame, spec: SeriesSpec, partitions: int | None = None
     dedupe, the segment window and the per-bucket joins all reuse."""
     cols = [*spec.series_key, "_bucket"]
     df = readings if "_bucket" in readings.columns else with_bucket(readings, spec)
-    return df.repartition(partitions, *cols) if partitions else df.repartition(*cols)
+    # an explicit count keeps a fixed hash partitioning (AQE does not merge
+    # it), which a checkpoint of this frame then reports to later operators
+    n = partitions or int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *cols)
+
+
+def clustered_readings(readings: DataFrame, spec: SeriesSpec, partitions: int | None = None,
+                       materialize: bool = True) -> DataFrame:
+    """Cluster, de-duplicate and (by default) checkpoint the readings.
+
+    The segment window, the bucket table and the bounds all read this
+    frame.  Each needs different columns, so without a materialisation
+    column pruning would give each branch its own copy of the clustering
+    exchange (three full shuffles).  A reliable checkpoint in the shared
+    checkpoint folder keeps the hash partitioning, so the branches read
+    it without another shuffle, and it cuts the lineage: a lost executor
+    does not send the job back to the raw scan."""
+    from tessera.session import checkpoint_dir
+
+    spark = readings.sparkSession
+    if not materialize:
+        return dedupe(cluster(readings, spec, partitions), spec)
+    checkpoint_dir(spark)
+    # planned without AQE: an adaptive plan reports no output partitioning,
+    # and the checkpoint must carry the (key, sensor, bucket) hashing
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        dd = dedupe(cluster(readings, spec, partitions), spec).checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    return dd
 
 
 def dedupe(readings: DataFrame, spec: SeriesSpec) -> DataFrame:

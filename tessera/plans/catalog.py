@@ -36,7 +36,7 @@ def _readings(spark, sf):
 
 
 def _deduped(spark, sf):
-    return T.dedupe(T.cluster(_readings(spark, sf).drop("event_id"), SPEC), SPEC)
+    return T.clustered_readings(_readings(spark, sf).drop("event_id"), SPEC)
 
 
 def _bounds(spark, sf):
@@ -82,7 +82,7 @@ def q_dedupe_series(spark, sf):
     (series, hour), the smallest (x, y)."""
     r = _readings(spark, sf).drop("event_id")
     r = r.withColumn("timestamp", F.col("timestamp") - F.col("timestamp") % TB.US_PER_HOUR)
-    dd = T.dedupe(T.cluster(r, SPEC), SPEC)
+    dd = T.clustered_readings(r, SPEC, materialize=False)
     return dd.select(*KEY, "sensor", "timestamp", round6("x").alias("x"), round6("y").alias("y"))
 
 
