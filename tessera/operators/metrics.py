@@ -106,13 +106,17 @@ def epoch_metrics(batches: DataFrame) -> DataFrame:
 def best_epoch(history: DataFrame) -> DataFrame:
     """One row: first epoch reaching the best val_acc (a strict improvement
     rule), the epoch of minimum loss and of maximum train accuracy (first
-    wins ties), and the number of improvements."""
+    wins ties), and the number of improvements.
+
+    Losses are compared at 9 decimals: a mean loss is a float sum whose
+    order Spark does not fix, so two epochs with the same loss must not
+    be told apart by rounding noise."""
     w = Window.orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)
     h = history.withColumn("_prev", F.coalesce(F.max("val_acc").over(w), F.lit(0.0)))
     h = h.withColumn("improved", F.col("val_acc") > F.col("_prev"))
     return h.agg(
         F.min_by("epoch", F.struct(-F.col("val_acc"), F.col("epoch"))).alias("best_epoch"),
         F.max("val_acc").alias("best_val_acc"),
-        F.min_by("epoch", F.struct(F.col("tr_loss"), F.col("epoch"))).alias("min_loss_epoch"),
+        F.min_by("epoch", F.struct(F.round("tr_loss", 9), F.col("epoch"))).alias("min_loss_epoch"),
         F.min_by("epoch", F.struct(-F.col("tr_acc"), F.col("epoch"))).alias("max_acc_epoch"),
         F.sum(F.col("improved").cast("int")).alias("n_improvements"))

@@ -106,7 +106,16 @@ def cluster(readings: DataFrame, spec: SeriesSpec, partitions: int | None = None
     """Hash-cluster readings by (key, sensor, bucket): the one exchange the
     dedupe, the segment window and the per-bucket joins all reuse."""
     cols = [*spec.series_key, "_bucket"]
-    df = readings if "_bucket" in readings.columns else with_bucket(readings, spec)
+    # a reading without key, sensor or timestamp belongs to no series; the
+    # explicit filter also keeps every branch below the exchange identical
+    # (joins would otherwise push inferred NOT NULL filters into some
+    # branches only and defeat exchange reuse)
+    keyed = None
+    for c in [*spec.series_key, spec.ts]:
+        keyed = F.col(c).isNotNull() if keyed is None else (keyed & F.col(c).isNotNull())
+    df = readings.where(keyed)
+    df = df if "_bucket" in df.columns else with_bucket(df, spec)
+    df = df.where(F.col("_bucket").isNotNull())
     # an explicit count keeps a fixed hash partitioning (AQE does not merge
     # it), which a checkpoint of this frame then reports to later operators
     n = partitions or int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -114,16 +123,15 @@ def cluster(readings: DataFrame, spec: SeriesSpec, partitions: int | None = None
 
 
 def clustered_readings(readings: DataFrame, spec: SeriesSpec, partitions: int | None = None,
-                       materialize: bool = True) -> DataFrame:
-    """Cluster, de-duplicate and (by default) checkpoint the readings.
-
-    The segment window, the bucket table and the bounds all read this
-    frame.  Each needs different columns, so without a materialisation
-    column pruning would give each branch its own copy of the clustering
-    exchange (three full shuffles).  A reliable checkpoint in the shared
-    checkpoint folder keeps the hash partitioning, so the branches read
-    it without another shuffle, and it cuts the lineage: a lost executor
-    does not send the job back to the raw scan."""
+                       materialize: bool = False) -> DataFrame:
+    """Cluster and de-duplicate the readings (optionally checkpointed).
+
+    Its consumers in ``resample`` (the segment window and the bucket
+    summary, from which the bounds are derived) read the same columns, so
+    Spark reuses one exchange of the readings for both.  ``materialize``
+    writes a reliable checkpoint to the shared checkpoint folder instead:
+    it keeps the hash partitioning (so readers do not shuffle again) and
+    cuts the lineage, for plans that read the readings many more times."""
     from tessera.session import checkpoint_dir
 
     spark = readings.sparkSession
@@ -177,6 +185,36 @@ def overlap_bounds(deduped: DataFrame, spec: SeriesSpec) -> DataFrame:
     return b.withColumn("a", a_col).withColumn("b", b_col)
 
 
+def bucket_summary(deduped: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """One row per (series, bucket): first reading (as a struct), last
+    timestamp and reading count.  It reads every column of ``deduped``,
+    like the segment window, so both share one exchange of the readings."""
+    sk = spec.series_key
+    df = deduped if "_bucket" in deduped.columns else with_bucket(deduped, spec)
+    return df.groupBy(*sk, "_bucket").agg(
+        F.min(F.struct(F.col(spec.ts).alias("t"), *[F.col(a) for a in spec.axes])).alias("f"),
+        F.max(spec.ts).alias("last"), F.count("*").alias("cnt"))
+
+
+def bounds_from_buckets(summary: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """``overlap_bounds`` computed from the bucket summary (a table with
+    one row per bucket), so the readings are not read a third time."""
+    aggs = []
+    for s in spec.sensors:
+        hit = F.col(spec.sensor) == F.lit(s)
+        aggs += [
+            F.coalesce(F.sum(F.when(hit, F.col("cnt"))), F.lit(0)).alias(f"n_{s}"),
+            F.min(F.when(hit, F.col("f.t"))).alias(f"min_{s}"),
+            F.max(F.when(hit, F.col("last"))).alias(f"max_{s}"),
+        ]
+    b = summary.groupBy(*spec.key).agg(*aggs)
+    a_col = F.greatest(*[F.col(f"min_{s}") for s in spec.sensors]) if len(spec.sensors) > 1 \
+        else F.col(f"min_{spec.sensors[0]}")
+    b_col = F.least(*[F.col(f"max_{s}") for s in spec.sensors]) if len(spec.sensors) > 1 \
+        else F.col(f"max_{spec.sensors[0]}")
+    return b.withColumn("a", a_col).withColumn("b", b_col)
+
+
 def classify(bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Add ``n`` (grid points) and ``reason`` (NULL when usable).
 
@@ -229,13 +267,15 @@ def time_grid(ok_bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
 # T6  linear interpolation onto the grid
 # ---------------------------------------------------------------------------
 
-def segments(deduped: DataFrame, spec: SeriesSpec) -> DataFrame:
+def segments(deduped: DataFrame, spec: SeriesSpec, summary: DataFrame | None = None) -> DataFrame:
     """Consecutive reading pairs [t, t2) of each series, with the values at
     both ends.  ``lead`` runs per (series, bucket); the last reading of a
     bucket takes its partner from the first reading of the next non-empty
-    bucket (a per-bucket table, one row per bucket)."""
+    bucket (the bucket summary, one row per bucket)."""
     sk = spec.series_key
     df = deduped if "_bucket" in deduped.columns else with_bucket(deduped, spec)
+    if summary is None:
+        summary = bucket_summary(df, spec)
     w = Window.partitionBy(*sk, "_bucket").orderBy(spec.ts)
     seg = df.select(
         *sk, "_bucket", F.col(spec.ts).alias("t"),
@@ -243,10 +283,8 @@ def segments(deduped: DataFrame, spec: SeriesSpec) -> DataFrame:
         F.lead(spec.ts).over(w).alias("t2"),
         *[F.lead(a).over(w).alias(f"{a}_2") for a in spec.axes],
     )
-    firsts = (df.groupBy(*sk, "_bucket")
-              .agg(F.min(F.struct(F.col(spec.ts).alias("t"), *[F.col(a) for a in spec.axes])).alias("f")))
     wb = Window.partitionBy(*sk).orderBy("_bucket")
-    nxt = firsts.select(*sk, "_bucket", F.lead("f").over(wb).alias("nf"))
+    nxt = summary.select(*sk, "_bucket", F.lead("f").over(wb).alias("nf"))
     seg = seg.join(nxt, on=[*sk, "_bucket"], how="left")
     tail = F.col("t2").isNull()
     return seg.select(
@@ -290,15 +328,18 @@ def interpolate(seg: DataFrame, bb: DataFrame, spec: SeriesSpec) -> DataFrame:
     return j.select(*spec.key, spec.sensor, "_bucket", "i", "n", *vals)
 
 
-def resample(deduped: DataFrame, spec: SeriesSpec, bounds: DataFrame | None = None) -> DataFrame:
+def resample(deduped: DataFrame, spec: SeriesSpec, bounds: DataFrame | None = None,
+             summary: DataFrame | None = None) -> DataFrame:
     """Linear interpolation of every sensor of every usable key onto its
     grid.  Output: key, sensor, i, n, axes (one row per sensor and grid
-    point).  ``deduped`` should come from ``dedupe(cluster(...))``."""
+    point).  ``deduped`` should come from ``clustered_readings``."""
+    if summary is None:
+        summary = bucket_summary(deduped, spec)
     if bounds is None:
-        bounds = overlap_bounds(deduped, spec)
+        bounds = bounds_from_buckets(summary, spec)
     ok = eligible(classify(bounds, spec), spec)
     bb = bounds_by_bucket(ok, bounds, spec)
-    return interpolate(segments(deduped, spec), bb, spec).drop("_bucket")
+    return interpolate(segments(deduped, spec, summary), bb, spec).drop("_bucket")
 
 
 # ---------------------------------------------------------------------------

@@ -44,8 +44,7 @@ def _bounds(spark, sf):
 
 
 def _grid(spark, sf):
-    dd = _deduped(spark, sf)
-    return T.resample(dd, SPEC, T.classify(T.overlap_bounds(dd, SPEC), SPEC))
+    return T.resample(_deduped(spark, sf), SPEC)
 
 
 def _long(w: DataFrame, key: list[str], channels: list[str]) -> DataFrame:
@@ -82,7 +81,7 @@ def q_dedupe_series(spark, sf):
     (series, hour), the smallest (x, y)."""
     r = _readings(spark, sf).drop("event_id")
     r = r.withColumn("timestamp", F.col("timestamp") - F.col("timestamp") % TB.US_PER_HOUR)
-    dd = T.clustered_readings(r, SPEC, materialize=False)
+    dd = T.clustered_readings(r, SPEC)
     return dd.select(*KEY, "sensor", "timestamp", round6("x").alias("x"), round6("y").alias("y"))
 
 

@@ -374,7 +374,7 @@ SELECT epoch, {R6('tr_loss')} AS tr_loss, {R6('tr_acc')} AS tr_acc, {R6('val_acc
 h2 AS (SELECT *, coalesce(max(val_acc) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)
                  AS prev FROM hist)
 SELECT arg_min(epoch, (-val_acc, epoch)) AS best_epoch, {R6('max(val_acc)')} AS best_val_acc,
-       arg_min(epoch, (tr_loss, epoch)) AS min_loss_epoch, arg_min(epoch, (-tr_acc, epoch)) AS max_acc_epoch,
+       arg_min(epoch, (round(tr_loss, 9), epoch)) AS min_loss_epoch, arg_min(epoch, (-tr_acc, epoch)) AS max_acc_epoch,
        CAST(sum(CASE WHEN val_acc > prev THEN 1 ELSE 0 END) AS BIGINT) AS n_improvements FROM h2""",
 })
 

@@ -29,19 +29,21 @@ class WindowsResult:
 def build_windows(readings: DataFrame, spec: T.SeriesSpec, size: int = S.WINDOW_SIZE,
                   step: int = S.STEP_SIZE, zscore: bool = False, ddof: int = 0,
                   check_inf: bool = True, partitions: int | None = None,
-                  drop_nonfinite: bool = True, materialize: bool = True) -> WindowsResult:
+                  drop_nonfinite: bool = True, materialize: bool = False) -> WindowsResult:
     """All windows of all keys.  ``readings`` needs the key columns, the
     sensor, an integer timestamp and the axes.
 
     Physical shape: one hash exchange of the readings on (key, sensor,
-    time bucket) feeding the dedupe aggregate, checkpointed once and read
-    by the next-reading window, the per-bucket joins and the bounds
-    without another shuffle; small exchanges for the bounds and the
-    per-bucket first rows; one exchange of grid rows on (key, window).
+    time bucket) feeding the dedupe aggregate; the next-reading window and
+    the bucket summary (first row, last timestamp, count per bucket; the
+    bounds come from it) read the same columns and reuse that exchange;
+    small exchanges for the bucket table and the bounds; one exchange of
+    grid rows on (key, window).
     """
     dd = T.clustered_readings(readings, spec, partitions, materialize)
-    bounds = T.classify(T.overlap_bounds(dd, spec), spec)
-    grid = T.resample(dd, spec, bounds)
+    summary = T.bucket_summary(dd, spec)
+    bounds = T.classify(T.bounds_from_buckets(summary, spec), spec)
+    grid = T.resample(dd, spec, bounds, summary)
     w = windows_from_grid(grid, spec, size, step, zscore=zscore, ddof=ddof,
                           finite_only=drop_nonfinite, check_inf=check_inf)
     return WindowsResult(windows=w, grid=grid, bounds=bounds, deduped=dd)
