@@ -79,16 +79,32 @@ def corr_matrix(wide: DataFrame, channels: list[str]) -> DataFrame:
     return one.select(F.explode(pairs).alias("p")).select("p.c1", "p.c2", "p.corr")
 
 
-def exact_quantiles(long: DataFrame, group: list[str], probs: list[float],
-                    value: str = "value") -> DataFrame:
-    """(group..., p, q): linear-interpolated quantiles per group, exact.
-
-    A range-partitioned sort ranks all values; per group the first rank
-    and count give the two ranks around ``p*(n-1)``; those rows are
-    joined back (a table of groups x probs x 2 rows) and interpolated."""
-    v = long.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*group, value)
-    r = global_rank(v, [*[F.col(g) for g in group], F.col(value)], "_r")
-    per = r.groupBy(*group).agg(F.min("_r").alias("_r0"), F.count("*").alias("_n"))
+def _per_group(stats: DataFrame, group: list[str]) -> DataFrame:
+    """The per-group statistics side of a join back to the values.
+
+    Grouped by channel alone it has one row per channel of a fixed list
+    (a proven bound), so it is broadcast: a shuffle join on a handful of
+    channel keys would put a whole channel into one task.  With wider
+    groups its size grows with the data, so the join is left to the
+    planner (AQE broadcasts it at run time if small, else sort-merge)."""
+    return F.broadcast(stats) if list(group) == ["channel"] else stats
+
+
+def ranked_values(long: DataFrame, group: list[str], value: str = "value") -> DataFrame:
+    """Every non-NULL value with its exact global rank ``_r`` in
+    (group, value) order (checkpointed; NaN sorts last in its group)."""
+    v = long.where(F.col(value).isNotNull()).select(*group, value)
+    return global_rank(v, [*[F.col(g) for g in group], F.col(value)], "_r")
+
+
+def quantiles_from_ranked(r: DataFrame, group: list[str], probs: list[float],
+                          value: str = "value") -> DataFrame:
+    """(group..., p, q) from ``ranked_values``: per group the first rank and
+    the non-NaN count give the two ranks around ``p*(n-1)``; those rows
+    are joined back (a table of groups x probs x 2 rows) and interpolated."""
+    per = (r.groupBy(*group).agg(F.min("_r").alias("_r0"),
+                                 F.count(F.when(~F.isnan(value), F.lit(1))).alias("_n"))
+           .where(F.col("_n") > 0))
     want = per.select(*group, "_r0", "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
     h = F.col("p") * (F.col("_n") - 1).cast("double")
     want = want.select(*group, "p", "_r0", h.alias("_h"), F.floor(h).cast("long").alias("_lo"),
@@ -96,6 +112,7 @@ def exact_quantiles(long: DataFrame, group: list[str], probs: list[float],
     pos = want.select(*group, "p", "_h", "_lo", "_r0",
                       F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_pos"))
     pos = pos.withColumn("_r", F.col("_r0") + F.col("_pos"))
+    # joined on the unique rank: no key is hot, whatever the group sizes
     got = pos.join(r, on=[*group, "_r"])
     agg = got.groupBy(*group, "p", "_h", "_lo").agg(
         F.max(F.when(F.col("_pos") == F.col("_lo"), F.col(value))).alias("_vlo"),
@@ -105,18 +122,30 @@ def exact_quantiles(long: DataFrame, group: list[str], probs: list[float],
     return agg.select(*group, "p", q.alias("q"))
 
 
+def exact_quantiles(long: DataFrame, group: list[str], probs: list[float],
+                    value: str = "value") -> DataFrame:
+    """(group..., p, q): linear-interpolated quantiles per group, exact
+    (NULL and NaN values excluded).
+
+    A range-partitioned sort ranks all values (skew-proof: a large group
+    spans many range partitions); see ``quantiles_from_ranked``."""
+    return quantiles_from_ranked(ranked_values(long, group, value), group, probs, value)
+
+
 def box_stats(long: DataFrame, group: list[str] | None = None) -> DataFrame:
     """Per channel: quartiles, IQR, whiskers (extreme values within 1.5 IQR
-    of the box) and the number of outliers."""
+    of the box) and the number of outliers.  The values are read once:
+    quartiles, whiskers and outliers all come from the checkpointed ranks."""
     g = [*(group or []), "channel"]
-    q = exact_quantiles(long, g, [0.25, 0.5, 0.75])
+    r = ranked_values(long, g)
+    q = quantiles_from_ranked(r, g, [0.25, 0.5, 0.75])
     wide = q.groupBy(*g).agg(F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
                              F.max(F.when(F.col("p") == 0.5, F.col("q"))).alias("median"),
                              F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
     wide = wide.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
-    j = long.join(wide, g)  # one row per channel on the right
+    j = r.join(_per_group(wide, g), g)
     v = F.col("value")
     return j.groupBy(*g, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(v >= lo_f, v)).alias("whisker_lo"),
@@ -132,7 +161,7 @@ def histogram(long: DataFrame, bins: int = 30, group: list[str] | None = None) -
     width = (F.col("hi") - F.col("lo"))
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("value") - F.col("lo")) / width * bins), F.lit(bins - 1))).cast("int")
-    counts = long.join(rng, g).where(F.col("value").isNotNull()).groupBy(*g, b.alias("bin")).agg(
+    counts = long.join(_per_group(rng, g), g).where(F.col("value").isNotNull()).groupBy(*g, b.alias("bin")).agg(
         F.count("*").alias("count"))
     all_bins = rng.select(*g, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return (all_bins.join(counts, [*g, "bin"], "left")
@@ -148,7 +177,8 @@ def standardize(long: DataFrame, group: list[str] | None = None) -> DataFrame:
     g = [*(group or []), "channel"]
     st = long.groupBy(*g).agg(F.avg("value").alias("_m"), F.stddev_pop("value").alias("_s"))
     s = F.when((F.col("_s") == 0) | F.col("_s").isNull(), F.lit(1.0)).otherwise(F.col("_s"))
-    return long.join(st, g).withColumn("value", (F.col("value") - F.col("_m")) / s).drop("_m", "_s")
+    return long.join(_per_group(st, g), g).withColumn(
+        "value", (F.col("value") - F.col("_m")) / s).drop("_m", "_s")
 
 
 def profile_columns(cols: list[str]) -> list[Column]:

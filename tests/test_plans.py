@@ -44,3 +44,23 @@ def test_filter_pushdown(spark, sf_small):
     df = table(spark, sf_small, "events").where(F.col("event_type") == "view").select("event_id")
     p = _plan(df)
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,view)]" in p
+
+
+def test_per_channel_stats_are_broadcast(spark):
+    """Joining values back to one row of statistics per channel must not
+    hash-shuffle the values on the channel alone (one task per channel)."""
+    from tessera.operators import stats as ST
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = [(f"c{i % 3}", float(i)) for i in range(200)]
+        long = spark.createDataFrame(rows, "channel string, value double")
+        for df in (ST.box_stats(long), ST.histogram(long, bins=5), ST.standardize(long)):
+            p = _plan(df)
+            assert "BroadcastHashJoin" in p
+            # (the aggregates' own exchanges on channel follow a map-side
+            # partial aggregate and carry a row per channel and task)
+            assert not re.search(r"SortMergeJoin \[channel#\d+\], \[channel#\d+\]", p)
+            assert not re.search(r"ShuffledHashJoin \[channel#\d+\], \[channel#\d+\]", p)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
