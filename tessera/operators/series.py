@@ -309,7 +309,8 @@ def bounds_by_bucket(ok_bounds: DataFrame, deduped_bounds: DataFrame, spec: Seri
                                          F.floor(F.col("b") / bw).cast("long"))).alias("_bucket")))
 
 
-def interpolate(seg: DataFrame, bb: DataFrame, spec: SeriesSpec) -> DataFrame:
+def interpolate(seg: DataFrame, bb: DataFrame, spec: SeriesSpec,
+                keep: list[str] | None = None) -> DataFrame:
     """Grid values from segments: each segment [t, t2) emits the grid
     indices it covers (the one reaching ``b`` also emits n-1) and the
     linear value at each.  Segments entirely outside [a, b] emit nothing."""
@@ -325,7 +326,29 @@ def interpolate(seg: DataFrame, bb: DataFrame, spec: SeriesSpec) -> DataFrame:
     step = span.cast("double") / (n - 1).cast("double")
     frac = (F.col("i").cast("double") * step - (t - a).cast("double")) / (t2 - t).cast("double")
     vals = [(F.col(x) + (F.col(f"{x}_2") - F.col(x)) * frac).alias(x) for x in spec.axes]
-    return j.select(*spec.key, spec.sensor, "_bucket", "i", "n", *vals)
+    return j.select(*spec.key, spec.sensor, "_bucket", "i", "n", *vals, *(keep or []))
+
+
+def interpolation_error(seg: DataFrame, bb: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Interpolation check: every grid value is computed a second way, as
+    ``v1 + (t_i - t1) * slope`` with the grid time clamped to the segment
+    (the clamped ``interp`` form), and compared with the resampled value.
+    Output: key, sensor, n_points and, per axis, the largest absolute
+    difference.  Same segment join as ``interpolate``, so it scales the
+    same way (no series is gathered into one task)."""
+    g = interpolate(seg.withColumn("_t1", F.col("t")).withColumn("_t2", F.col("t2"))
+                    .withColumns({f"_{x}1": F.col(x) for x in spec.axes})
+                    .withColumns({f"_{x}2": F.col(f"{x}_2") for x in spec.axes}),
+                    bb, spec, keep=["a", "b", "_t1", "_t2", *[f"_{x}{e}" for x in spec.axes for e in (1, 2)]])
+    a, b, n = F.col("a"), F.col("b"), F.col("n")
+    ti = a.cast("double") + F.col("i").cast("double") * (b - a).cast("double") / (n - 1).cast("double")
+    ti = F.least(F.greatest(ti, F.col("_t1").cast("double")), F.col("_t2").cast("double"))
+    errs = []
+    for x in spec.axes:
+        slope = (F.col(f"_{x}2") - F.col(f"_{x}1")) / (F.col("_t2") - F.col("_t1")).cast("double")
+        again = F.col(f"_{x}1") + (ti - F.col("_t1").cast("double")) * slope
+        errs.append(F.max(F.abs(F.col(x) - again)).alias(f"max_err_{x}"))
+    return g.groupBy(*spec.key, spec.sensor).agg(F.count("*").alias("n_points"), *errs)
 
 
 def resample(deduped: DataFrame, spec: SeriesSpec, bounds: DataFrame | None = None,

@@ -107,6 +107,27 @@ def q_resample_linear(spark, sf):
     return g.select(*KEY, "sensor", "i", round6("x").alias("x"), round6("y").alias("y"))
 
 
+def q_paired_series(spark, sf):
+    """Series keys read by both sensors, with the reading count of each
+    (the pair test and inner join of the two sensors, as one aggregate:
+    a single shuffle of the readings, partial counts map-side)."""
+    r = _readings(spark, sf)
+    counts = [F.count(F.when(F.col("sensor") == s, F.lit(1))).alias(f"n_{s}") for s in SPEC.sensors]
+    both = None
+    for s in SPEC.sensors:
+        both = F.col(f"n_{s}") > 0 if both is None else both & (F.col(f"n_{s}") > 0)
+    return r.groupBy(*KEY).agg(*counts).where(both)
+
+
+def q_interp_error(spark, sf):
+    dd = _deduped(spark, sf)
+    summary = T.bucket_summary(dd, SPEC)
+    bounds = T.bounds_from_buckets(summary, SPEC)
+    bb = T.bounds_by_bucket(T.eligible(T.classify(bounds, SPEC), SPEC), bounds, SPEC)
+    e = T.interpolation_error(T.segments(dd, SPEC, summary), bb, SPEC)
+    return e.select(*KEY, "sensor", "n_points", *[round6(f"max_err_{x}").alias(f"max_err_{x}") for x in SPEC.axes])
+
+
 def q_align_channels(spark, sf):
     a = T.align(_grid(spark, sf), SPEC)
     return a.select(*KEY, "i", *[round6(c).alias(c) for c in CH])
@@ -424,6 +445,13 @@ def q_json_roundtrip(spark, sf):
     return ev.select("event_id", parsed["k"].alias("k"), F.to_json(parsed).alias("json"))
 
 
+def q_finite_windows(spark, sf):
+    """Windows kept by the finite filter (no NULL, NaN or +-Inf value)."""
+    from tessera.operators.windows import finite_windows
+    w = finite_windows(_windows_raw(spark, sf))
+    return w.select("subject_id", "device", F.col("activity").alias("label"), "k")
+
+
 def q_flatten_reshape(spark, sf):
     w = _windows_raw(spark, sf)
     rows = reshape("features", len(CH))
@@ -521,6 +549,8 @@ QUERIES = {
     "rejected_series": q_rejected_series,
     "time_grid": q_time_grid,
     "resample_linear": q_resample_linear,
+    "paired_series": q_paired_series,
+    "interp_error": q_interp_error,
     "align_channels": q_align_channels,
     "sliding_windows": q_sliding_windows,
     "zscore_windows": q_zscore_windows,
@@ -565,6 +595,7 @@ QUERIES = {
     "epoch_metrics": q_epoch_metrics,
     "best_epoch": q_best_epoch,
     "json_roundtrip": q_json_roundtrip,
+    "finite_windows": q_finite_windows,
     "flatten_reshape": q_flatten_reshape,
     "window_messages": q_window_messages,
     "stream_events": q_stream_events,

@@ -420,3 +420,35 @@ SELECT 'phone' AS device, seq, row_number() OVER w AS n_seen,
        {R6('sum(CASE WHEN correct THEN 1.0 ELSE 0.0 END) OVER w / row_number() OVER w')} AS running_accuracy
 FROM scored WINDOW w AS (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
 })
+
+SQL.update({
+    "paired_series": _with(READINGS) + """
+SELECT a.subject_id, a.device, a.activity, a.n AS n_accel, g.n AS n_gyro
+FROM (SELECT subject_id, device, activity, count(*) AS n FROM readings WHERE sensor = 'accel' GROUP BY ALL) a
+JOIN (SELECT subject_id, device, activity, count(*) AS n FROM readings WHERE sensor = 'gyro' GROUP BY ALL) g
+  USING (subject_id, device, activity)""",
+    "interp_error": CORE + """,
+chk AS (
+  SELECT p.subject_id, p.device, p.activity, s.sensor,
+         s.x + (s.x2 - s.x) * ((p.i * ((p.b - p.a)::DOUBLE / (p.n - 1)) - (s.t - p.a)::DOUBLE) / (s.t2 - s.t)::DOUBLE) AS x,
+         s.y + (s.y2 - s.y) * ((p.i * ((p.b - p.a)::DOUBLE / (p.n - 1)) - (s.t - p.a)::DOUBLE) / (s.t2 - s.t)::DOUBLE) AS y,
+         least(greatest(p.a::DOUBLE + p.i::DOUBLE * (p.b - p.a)::DOUBLE / (p.n - 1)::DOUBLE, s.t::DOUBLE), s.t2::DOUBLE) AS ti,
+         s.t, s.t2, s.x AS x1, s.x2, s.y AS y1, s.y2
+  FROM pts p JOIN seg s
+    ON s.subject_id = p.subject_id AND s.device = p.device AND s.activity = p.activity
+   AND s.t2 IS NOT NULL AND s.t < p.b AND s.t2 > p.a
+   AND (s.t - p.a)::HUGEINT * (p.n - 1) <= p.i::HUGEINT * (p.b - p.a)
+   AND (p.i::HUGEINT * (p.b - p.a) < (s.t2 - p.a)::HUGEINT * (p.n - 1)
+        OR (s.t2 >= p.b AND p.i = p.n - 1))
+)
+SELECT subject_id, device, activity, sensor, count(*) AS n_points,
+       floor((max(abs(x - (x1 + (ti - t::DOUBLE) * ((x2 - x1) / (t2 - t)::DOUBLE))))) * 1e6 + 0.5) / 1e6 AS max_err_x,
+       floor((max(abs(y - (y1 + (ti - t::DOUBLE) * ((y2 - y1) / (t2 - t)::DOUBLE))))) * 1e6 + 0.5) / 1e6 AS max_err_y
+FROM chk GROUP BY subject_id, device, activity, sensor""",
+    "finite_windows": CORE + """
+SELECT subject_id, device, activity AS label, k FROM win
+GROUP BY subject_id, device, activity, k
+HAVING bool_and(ax IS NOT NULL AND ay IS NOT NULL AND gx IS NOT NULL AND gy IS NOT NULL
+                AND NOT (isnan(ax) OR isnan(ay) OR isnan(gx) OR isnan(gy))
+                AND NOT (isinf(ax) OR isinf(ay) OR isinf(gx) OR isinf(gy)))""",
+})
