@@ -489,6 +489,13 @@ def _letter_embeddings(spark, sf):
                     F.col("embedding").cast("array<double>").alias("features"), "split")
 
 
+# replay sizing: messages per published file and files per micro-batch
+# (each trigger takes at most 4,000 messages; the number of files grows
+# with the data, never with a per-message delay)
+MESSAGES_PER_FILE = 1000
+FILES_PER_TRIGGER = 4
+
+
 def _message_files(spark, sf):
     """Producer: held-out embedding windows published as JSON lines; the
     model is fitted on the training windows."""
@@ -496,13 +503,13 @@ def _message_files(spark, sf):
     model = SC.CentroidModel.fit(lw.where(F.col("split") == "train"), "features", "label")
     msgs = MS.window_messages(lw.where(F.col("split") == "held_out").drop("split"), 1)
     path = scratch_path(spark, "messages")
-    MS.publish_files(msgs, path, rows_per_file=25)
+    MS.publish_files(msgs, path, rows_per_file=MESSAGES_PER_FILE)
     return path, model
 
 
 def _scored_stream(spark, sf):
     path, model = _message_files(spark, sf)
-    raw = MS.read_files(spark, path, max_files_per_trigger=2)
+    raw = MS.read_files(spark, path, max_files_per_trigger=FILES_PER_TRIGGER)
     return CS.score_messages(spark, MS.decode(raw), model, 1, normalize=False), path, model
 
 
