@@ -22,7 +22,7 @@ readings AS (
                ('signup', 1, 'accel'), ('purchase', 1, 'gyro')) m(event_type, device, sensor)
     ON e.event_type = m.event_type
   WHERE e.user_id IS NOT NULL AND e.ts IS NOT NULL AND e.event_type IS NOT NULL
-    AND e.value IS NOT NULL AND e.props IS NOT NULL
+    AND e.value IS NOT NULL AND NOT isnan(e.value) AND e.props IS NOT NULL
 )"""
 
 DEDUPED = r"""

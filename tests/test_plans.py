@@ -102,3 +102,12 @@ def test_hot_series_is_spread_over_tasks(spark):
     split, whole = windows(10 * 500), windows(10 ** 12)
     assert len(split) > 100 and split.keys() == whole.keys()
     assert all(split[k] == whole[k] for k in split)
+
+
+def test_readings_scan_pushes_event_types(spark, sf_small):
+    """The readings path itself (not a hand-written filter) hands the four
+    mapped event types and the NULL tests to the Parquet reader."""
+    p = _plan(C._readings(spark, sf_small))
+    scan = [line for line in p.splitlines() if "FileScan parquet" in line][0]
+    assert "In(event_type, [click,purchase,signup,view])" in scan
+    assert "IsNotNull(user_id)" in scan and "IsNotNull(ts)" in scan
