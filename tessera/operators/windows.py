@@ -34,6 +34,22 @@ def count_windows(n: Column, size: int, step: int) -> Column:
     return F.when(n >= size, idiv(n - size, F.lit(step)) + 1).otherwise(F.lit(0)).cast("long")
 
 
+def window_keys(ok_bounds: DataFrame, key: list[str], size: int = S.WINDOW_SIZE,
+                step: int = S.STEP_SIZE) -> DataFrame:
+    """(key..., k) of every window, from the grid length ``n`` alone.
+
+    A usable key's grid lies inside the reading range of every sensor,
+    and consecutive readings cover that range without gaps, so every grid
+    index has a row and windows k = 0 .. (n - size) div step are all
+    complete.  Key-only consumers (counts, splits, publish order) take
+    this instead of resampling and gathering the windows: one row per
+    window from one row per key, no shuffle of grid rows."""
+    n = F.col("n")
+    last = count_windows(n, size, step) - 1
+    return (ok_bounds.where(n >= size)
+            .select(*key, F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("k")))
+
+
 def sliding_windows(aligned: DataFrame, key: list[str], channels: list[str],
                     size: int = S.WINDOW_SIZE, step: int = S.STEP_SIZE) -> DataFrame:
     """Aligned rows (key, i, n, channels...) -> one row per window:

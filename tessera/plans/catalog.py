@@ -175,7 +175,10 @@ def q_split_sizes(spark, sf):
 
 
 def _windows_keys(spark, sf):
-    return _windows_raw(spark, sf).select("subject_id", "device", F.col("activity").alias("label"), "k")
+    """Window keys from the usable bounds (no resampling; see window_keys)."""
+    from tessera.operators.windows import window_keys
+    w = window_keys(T.eligible(_bounds(spark, sf), SPEC), KEY, SIZE, STEP)
+    return w.select("subject_id", "device", F.col("activity").alias("label"), "k")
 
 
 def q_split_leakage(spark, sf):
