@@ -103,6 +103,12 @@ def test_hot_series_is_spread_over_tasks(spark):
     assert len(split) > 100 and split.keys() == whole.keys()
     assert all(split[k] == whole[k] for k in split)
 
+    # the key-only path (window ids from the grid length) gives the same keys
+    from tessera.operators.windows import window_keys
+    ok = T.eligible(T.classify(T.overlap_bounds(T.clustered_readings(data, spec(10 * 500)), spec(10 * 500)),
+                               spec(10 * 500)), spec(10 * 500))
+    assert {tuple(r) for r in window_keys(ok, ["sid"], 24, 12).collect()} == set(split.keys())
+
 
 def test_readings_scan_pushes_event_types(spark, sf_small):
     """The readings path itself (not a hand-written filter) hands the four
