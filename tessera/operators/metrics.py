@@ -83,7 +83,7 @@ def per_class_accuracy(pred: DataFrame, classes: DataFrame) -> DataFrame:
 def loss_threshold(pred: DataFrame, p: float = 0.95, col: str = "xentropy") -> DataFrame:
     """One row: the exact p-quantile (linear interpolation) of the loss."""
     long = pred.select(F.lit(0).alias("_g"), F.col(col).alias("value"))
-    q = exact_quantiles(long, ["_g"], [p])
+    q = exact_quantiles(long, ["_g"], [p], few_groups=True)  # one constant group
     return q.select(F.col("q").alias(f"threshold_{int(round(p * 100))}"))
 
 

@@ -98,10 +98,14 @@ def ranked_values(long: DataFrame, group: list[str], value: str = "value") -> Da
 
 
 def quantiles_from_ranked(r: DataFrame, group: list[str], probs: list[float],
-                          value: str = "value") -> DataFrame:
+                          value: str = "value", few_groups: bool = False) -> DataFrame:
     """(group..., p, q) from ``ranked_values``: per group the first rank and
     the non-NaN count give the two ranks around ``p*(n-1)``; those rows
-    are joined back (a table of groups x probs x 2 rows) and interpolated."""
+    are joined back (a table of groups x probs x 2 rows) and interpolated.
+
+    ``few_groups``: the caller guarantees a bounded number of groups (a
+    fixed channel list, one constant group), so the wanted-ranks table is
+    broadcast and the ranked values are not shuffled again."""
     per = (r.groupBy(*group).agg(F.min("_r").alias("_r0"),
                                  F.count(F.when(~F.isnan(value), F.lit(1))).alias("_n"))
            .where(F.col("_n") > 0))
@@ -113,7 +117,8 @@ def quantiles_from_ranked(r: DataFrame, group: list[str], probs: list[float],
                       F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_pos"))
     pos = pos.withColumn("_r", F.col("_r0") + F.col("_pos"))
     # joined on the unique rank: no key is hot, whatever the group sizes
-    got = pos.join(r, on=[*group, "_r"])
+    got = (r.join(F.broadcast(pos), on=[*group, "_r"]) if few_groups
+           else pos.join(r, on=[*group, "_r"]))
     agg = got.groupBy(*group, "p", "_h", "_lo").agg(
         F.max(F.when(F.col("_pos") == F.col("_lo"), F.col(value))).alias("_vlo"),
         F.max(F.when(F.col("_pos") != F.col("_lo"), F.col(value))).alias("_vhi"))
@@ -123,13 +128,13 @@ def quantiles_from_ranked(r: DataFrame, group: list[str], probs: list[float],
 
 
 def exact_quantiles(long: DataFrame, group: list[str], probs: list[float],
-                    value: str = "value") -> DataFrame:
+                    value: str = "value", few_groups: bool = False) -> DataFrame:
     """(group..., p, q): linear-interpolated quantiles per group, exact
     (NULL and NaN values excluded).
 
     A range-partitioned sort ranks all values (skew-proof: a large group
     spans many range partitions); see ``quantiles_from_ranked``."""
-    return quantiles_from_ranked(ranked_values(long, group, value), group, probs, value)
+    return quantiles_from_ranked(ranked_values(long, group, value), group, probs, value, few_groups)
 
 
 def box_stats(long: DataFrame, group: list[str] | None = None) -> DataFrame:
@@ -138,7 +143,7 @@ def box_stats(long: DataFrame, group: list[str] | None = None) -> DataFrame:
     quartiles, whiskers and outliers all come from the checkpointed ranks."""
     g = [*(group or []), "channel"]
     r = ranked_values(long, g)
-    q = quantiles_from_ranked(r, g, [0.25, 0.5, 0.75])
+    q = quantiles_from_ranked(r, g, [0.25, 0.5, 0.75], few_groups=g == ["channel"])
     wide = q.groupBy(*g).agg(F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
                              F.max(F.when(F.col("p") == 0.5, F.col("q"))).alias("median"),
                              F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
