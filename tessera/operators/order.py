@@ -34,9 +34,10 @@ def hash_key(seed, *cols: Column | str) -> Column:
 
 def hash_threshold(fraction: float) -> str:
     """13-hex-digit threshold t with: md5 prefix < t  <=>  unit value < fraction
-    (``fraction * 16**13`` is exact in a double, 16**13 being 2**52)."""
-    import math as _m
-    return format(min(_m.ceil(fraction * 16 ** 13), 16 ** 13 - 1), "013x")
+    (``fraction * 16**13`` is exact in a double, 16**13 being 2**52); a
+    fraction of 1 or more gives a text above every prefix."""
+    at = math.ceil(fraction * 16 ** 13)
+    return format(max(at, 0), "013x") if at < 16 ** 13 else "g" * 13
 
 
 def global_rank(df: DataFrame, order: list[Column | str], name: str = "rank",
@@ -104,7 +105,12 @@ def batch_ids(ranked: DataFrame, size: int, pos: str = "pos", name: str = "batch
     return ranked.withColumn(name, idiv(F.col(pos), F.lit(size)))
 
 
-def leakage(windows: DataFrame, split: DataFrame, subject: str = "subject_id") -> DataFrame:
+def splits_of(windows: DataFrame, subject: str = "subject_id") -> DataFrame:
+    """Per subject of windows with a ``split``: windows and different splits."""
+    per = windows.groupBy(subject, "split").agg(F.count("*").alias("_n"))
+    return per.groupBy(subject).agg(F.sum("_n").alias("n_windows"), F.count("*").alias("n_splits"))
+
+
+def leakage(windows: DataFrame, subject: str = "subject_id") -> DataFrame:
     """Subjects whose windows fall in more than one split (must be empty)."""
-    j = windows.select(subject).distinct().join(split, subject)
-    return j.groupBy(subject).agg(F.countDistinct("split").alias("n_splits")).where(F.col("n_splits") > 1)
+    return splits_of(windows, subject).where(F.col("n_splits") > 1)

@@ -29,6 +29,7 @@ float ``ceil`` misplaces points that fall exactly on a reading.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +52,9 @@ class SeriesSpec:
                the grid has n = (b - a) div period points
     min_overlap  shortest accepted common range, timestamp units
     min_count  fewest distinct timestamps per sensor
+    max_fill   most grid points per reading; sparser keys (a reading far off
+               all others would fill the range between with points made of
+               nothing) are rejected
     bucket     width of the time slices that spread one series over tasks;
                default 65,536 grid steps
     """
@@ -60,15 +64,16 @@ class SeriesSpec:
     sensors: tuple[str, ...] = tuple(S.SENSORS)
     ts: str = "timestamp"
     axes: tuple[str, ...] = tuple(S.AXES)
-    period: int = S.NS_PER_SECOND // S.FREQ_HZ
+    period: int | Fraction = S.NS_PER_SECOND // S.FREQ_HZ
     min_overlap: int = S.MIN_OVERLAP_NS
     min_count: int = 2
+    max_fill: int = 100_000
     bucket: int | None = None
     channel_names: tuple[str, ...] = field(default=())
 
     @property
     def bucket_width(self) -> int:
-        return self.bucket if self.bucket else self.period * 65_536
+        return self.bucket if self.bucket else int(self.period * 65_536)
 
     @property
     def channels(self) -> list[str]:
@@ -82,10 +87,9 @@ class SeriesSpec:
 
     @staticmethod
     def for_rate(hz: float, ts_units_per_second: int, **kw) -> "SeriesSpec":
-        period = ts_units_per_second / hz
-        if abs(period - round(period)) > 1e-9 * period:
-            raise ValueError("rate must give a whole number of timestamp units per step")
-        return SeriesSpec(period=int(round(period)), **kw)
+        """Spec for a sampling rate; the step is kept as an exact fraction
+        where it is no whole number of timestamp units (30 Hz on ns)."""
+        return SeriesSpec(period=Fraction(ts_units_per_second) / Fraction(str(hz)), **kw)
 
 
 def _cdiv(num: Column, n: Column, span: Column) -> Column:
@@ -94,6 +98,22 @@ def _cdiv(num: Column, n: Column, span: Column) -> Column:
     return idiv(num.cast(d) * (n - 1).cast(d) + span.cast(d) - 1, span.cast(d)).cast("long")
 
 
+#: Entries of an array that a row is expanded by at a time.
+EXPAND = 65_536
+
+
+def explode_range(df: DataFrame, lo: Column, hi: Column, name: str) -> DataFrame:
+    """One row for every integer from ``lo`` to ``hi`` (``lo <= hi``), in two
+    steps, so that no array holds more than ``EXPAND`` of them."""
+    part = F.col("_part")
+    return (df.withColumns({"_from": lo.cast("long"), "_to": hi.cast("long")})
+            .withColumn("_part", F.explode(F.sequence(idiv(F.col("_from"), F.lit(EXPAND)),
+                                                      idiv(F.col("_to"), F.lit(EXPAND)))))
+            .withColumn(name, F.explode(F.sequence(F.greatest(F.col("_from"), part * EXPAND),
+                                                   F.least(F.col("_to"), part * EXPAND + (EXPAND - 1)))))
+            .drop("_from", "_to", "_part"))
+
+
 # ---------------------------------------------------------------------------
 # T1  one reading per timestamp
 # ---------------------------------------------------------------------------
@@ -150,12 +170,15 @@ def clustered_readings(readings: DataFrame, spec: SeriesSpec, partitions: int |
 
 
 def dedupe(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Keep one reading per (series, timestamp): the smallest axes tuple,
-    taken whole (never per-column minima)."""
+    """Keep one reading per (series, timestamp), taken whole (never
+    per-column minima): a complete one before one with a NULL, then the
+    smallest axes tuple, NULL after any value."""
     # (key, sensor, bucket, ts): the sort this aggregate needs is also the
     # order the next-reading window needs, so that window sorts nothing
     group = [*spec.series_key, *(["_bucket"] if "_bucket" in readings.columns else []), spec.ts]
-    best = F.min(F.struct(*[F.col(a) for a in spec.axes])).alias("_r")
+    partial = F.array_contains(F.array(*[F.col(a).isNull() for a in spec.axes]), True).alias("_partial")
+    ranked = [c for a in spec.axes for c in (F.col(a).isNull().alias(f"_no_{a}"), F.col(a))]
+    best = F.min(F.struct(partial, *ranked)).alias("_r")
     return (readings.groupBy(*group).agg(best)
             .select(*group, *[F.col(f"_r.{a}").alias(a) for a in spec.axes]))
 
@@ -220,7 +243,8 @@ def classify(bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
 
     Reasons, first match wins: ``missing_sensor`` (a sensor has no
     reading), ``too_few_samples`` (< min_count distinct timestamps),
-    ``short_overlap`` (b - a < min_overlap), ``short_grid`` (n < 2).
+    ``short_overlap`` (b - a < min_overlap), ``short_grid`` (n < 2),
+    ``sparse`` (more than ``max_fill`` grid points per reading).
     """
     missing = None
     few = None
@@ -230,11 +254,18 @@ def classify(bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
         missing = m if missing is None else (missing | m)
         few = f_ if few is None else (few | f_)
     span = F.col("b") - F.col("a")
-    n = F.when(span >= 0, idiv(span, F.lit(spec.period))).cast("long")
+    step = Fraction(spec.period)
+    points = idiv(span, F.lit(step.numerator)) if step.denominator == 1 else idiv(
+        span.cast("decimal(38,0)") * F.lit(step.denominator), F.lit(step.numerator).cast("decimal(38,0)"))
+    n = F.when(span >= 0, points).cast("long")
+    readings = F.lit(0).cast("long")
+    for s in spec.sensors:
+        readings = readings + F.col(f"n_{s}")
     reason = (F.when(missing, F.lit("missing_sensor"))
               .when(few, F.lit("too_few_samples"))
               .when(span < F.lit(spec.min_overlap), F.lit("short_overlap"))
-              .when(n < 2, F.lit("short_grid")))
+              .when(n < 2, F.lit("short_grid"))
+              .when(n > readings * F.lit(spec.max_fill), F.lit("sparse")))
     return bounds.withColumn("n", n).withColumn("reason", reason)
 
 
@@ -257,8 +288,7 @@ def time_grid(ok_bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
     ``t_off`` = floor(i (b - a) / (n - 1)) is the exact integer offset
     from ``a``.  One row per grid point; use ``resample`` for values."""
     span = F.col("b") - F.col("a")
-    return (ok_bounds
-            .withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    return (explode_range(ok_bounds, F.lit(0), F.col("n") - 1, "i")
             .withColumn("t_off", idiv(F.col("i").cast("decimal(38,0)") * span.cast("decimal(38,0)"),
                                       (F.col("n") - 1).cast("decimal(38,0)")).cast("long")))
 
@@ -322,7 +352,7 @@ def interpolate(seg: DataFrame, bb: DataFrame, spec: SeriesSpec,
     lo = _cdiv(F.greatest(t - a, F.lit(0)), n, span)
     hi = F.when(t2 >= b, n - 1).otherwise(_cdiv(t2 - a, n, span) - 1)
     j = j.select("*", lo.alias("_lo"), hi.alias("_hi")).where(F.col("_lo") <= F.col("_hi"))
-    j = j.withColumn("i", F.explode(F.sequence(F.col("_lo"), F.col("_hi"))))
+    j = explode_range(j, F.col("_lo"), F.col("_hi"), "i")
     step = span.cast("double") / (n - 1).cast("double")
     frac = (F.col("i").cast("double") * step - (t - a).cast("double")) / (t2 - t).cast("double")
     vals = [(F.col(x) + (F.col(f"{x}_2") - F.col(x)) * frac).alias(x) for x in spec.axes]

@@ -3,50 +3,29 @@ correlation matrix, box statistics, histograms and standardisation.
 
 Inputs are long rows ``(group..., value)`` or wide rows with a column per
 channel.  All aggregates are partial (map-side) aggregates.  Exact
-quantiles use a distributed sort and pick the two order statistics
-around each position (linear interpolation, as NumPy's default and SQL
-``quantile_cont``), so no group's values are ever held in one buffer.
+quantiles count equal values first, then run over the different ones in
+order and pick the two order statistics around each position (linear
+interpolation, as NumPy's default and SQL ``quantile_cont``), so neither a
+group's values nor the copies of one value are ever held in one buffer.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.order import global_rank
+from tessera.operators.running import running_sums
 
 
-def channel_values(windows: DataFrame, channels: list[str], features: str = "features",
-                   keep: list[str] | None = None) -> DataFrame:
-    """Flat window arrays -> long rows (keep..., j, channel, value)."""
-    from tessera.functions.columns import idiv
-    nc = len(channels)
-    names = F.array(*[F.lit(c) for c in channels])
-    ex = windows.select(*(keep or []), F.posexplode(features).alias("_p", "value"))
-    return ex.select(*(keep or []), idiv(F.col("_p"), F.lit(nc)).cast("long").alias("j"),
-                     F.element_at(names, F.col("_p") % nc + 1).alias("channel"), "value")
-
-
-def window_rows(windows: DataFrame, channels: list[str], features: str = "features",
-                keep: list[str] | None = None) -> DataFrame:
-    """Flat window arrays -> one wide row per grid point (keep..., j, channels)."""
-    nc = len(channels)
-    rows = F.transform(F.sequence(F.lit(0), (F.size(features) / nc).cast("int") - 1),
-                       lambda i: F.slice(features, i * nc + 1, nc))
-    ex = windows.select(*(keep or []), F.posexplode(rows).alias("j", "_r"))
-    return ex.select(*(keep or []), "j", *[F.col("_r")[c].alias(ch) for c, ch in enumerate(channels)])
-
-
-def array_summary(windows: DataFrame, channels: int, features: str = "features") -> DataFrame:
+def array_summary(long: DataFrame, channels: int, size: int) -> DataFrame:
     """Whole-array min, max, mean, sample std, number of windows and the
-    window shape."""
-    ex = windows.select(F.size(features).alias("_n"), F.explode(features).alias("v"))
-    return ex.agg(F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"),
-                  F.stddev_samp("v").alias("std"),
-                  F.count("*").alias("n_values"),
-                  (F.count("*") / F.max("_n")).cast("long").alias("n_windows"),
-                  (F.max("_n") / channels).cast("long").alias("rows"),
-                  F.lit(channels).alias("channels"))
+    window shape, from the long rows of windows of ``size`` x ``channels``."""
+    return long.agg(F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean"),
+                    F.stddev_samp("value").alias("std"),
+                    F.count("*").alias("n_values"),
+                    (F.count("*") / (size * channels)).cast("long").alias("n_windows"),
+                    F.lit(size).cast("long").alias("rows"),
+                    F.lit(channels).alias("channels"))
 
 
 def channel_stats(long: DataFrame, group: list[str] | None = None) -> DataFrame:
@@ -70,11 +49,13 @@ def corr_matrix(wide: DataFrame, channels: list[str]) -> DataFrame:
     """Pearson correlation of every channel pair in ONE aggregation,
     returned long: (c1, c2, corr); the diagonal is 1 unless constant."""
     aggs = []
-    for a in channels:
-        for b in channels:
+    for i, a in enumerate(channels):
+        for b in channels[i:]:
             aggs.append(F.corr(a, b).alias(f"{a}__{b}"))
     one = wide.agg(*aggs)
-    pairs = F.array(*[F.struct(F.lit(a).alias("c1"), F.lit(b).alias("c2"), F.col(f"{a}__{b}").alias("corr"))
+    at = {c: i for i, c in enumerate(channels)}
+    pairs = F.array(*[F.struct(F.lit(a).alias("c1"), F.lit(b).alias("c2"),
+                               F.col("__".join(sorted((a, b), key=at.get))).alias("corr"))
                       for a in channels for b in channels])
     return one.select(F.explode(pairs).alias("p")).select("p.c1", "p.c2", "p.corr")
 
@@ -90,60 +71,51 @@ def _per_group(stats: DataFrame, group: list[str]) -> DataFrame:
     return F.broadcast(stats) if list(group) == ["channel"] else stats
 
 
-def ranked_values(long: DataFrame, group: list[str], value: str = "value") -> DataFrame:
-    """Every non-NULL value with its exact global rank ``_r`` in
-    (group, value) order (checkpointed; NaN sorts last in its group)."""
-    v = long.where(F.col(value).isNotNull()).select(*group, value)
-    return global_rank(v, [*[F.col(g) for g in group], F.col(value)], "_r")
-
+def counted_values(long: DataFrame, group: list[str], value: str = "value") -> DataFrame:
+    """Different values of each group with their number ``c`` and the number
+    of values up to and including them, ``cum`` (NULL and NaN left out).
+
+    Equal values become one row before anything is sorted, so a value that
+    most rows share costs one row; the running count sorts by (group,
+    value) over range partitions."""
+    v = F.col(value)
+    counts = (long.where(v.isNotNull() & ~F.isnan(v)).groupBy(*group, value)
+              .agg(F.count(F.lit(1)).alias("c")))
+    return running_sums(counts, group, [value], {"cum": F.col("c")})
+
+
+def quantiles_from_counts(counted: DataFrame, group: list[str], probs: list[float],
+                          value: str = "value") -> DataFrame:
+    """(group..., p, q) from ``counted_values``: the order statistics around
+    ``p * (n - 1)``, interpolated linearly.  A value knows the positions it
+    holds, so both are found in one aggregate; nothing is joined but the
+    groups' sizes."""
+    n = counted.groupBy(*group).agg(F.sum("c").alias("_n"))
+    j = counted.join(_per_group(n, group), group)
+    ps = F.array(*[F.lit(float(p)) for p in probs])
+    j = j.select(*group, value, "c", "cum", "_n", F.explode(ps).alias("p"))
+    h = F.col("p") * (F.col("_n") - 1).cast("double")
+    holds = lambda pos: (pos >= F.col("cum") - F.col("c")) & (pos < F.col("cum"))
+    lo, hi = F.floor(h), F.ceil(h)
+    q = j.groupBy(*group, "p").agg(F.max(F.when(holds(lo), F.col(value))).alias("_vlo"),
+                                   F.max(F.when(holds(hi), F.col(value))).alias("_vhi"),
+                                   F.max(h - lo).alias("_f"))
+    return q.select(*group, "p", (F.col("_vlo") + F.col("_f") * (F.col("_vhi") - F.col("_vlo"))).alias("q"))
 
-def quantiles_from_ranked(r: DataFrame, group: list[str], probs: list[float],
-                          value: str = "value", few_groups: bool = False) -> DataFrame:
-    """(group..., p, q) from ``ranked_values``: per group the first rank and
-    the non-NaN count give the two ranks around ``p*(n-1)``; those rows
-    are joined back (a table of groups x probs x 2 rows) and interpolated.
 
-    ``few_groups``: the caller guarantees a bounded number of groups (a
-    fixed channel list, one constant group), so the wanted-ranks table is
-    broadcast and the ranked values are not shuffled again."""
-    per = (r.groupBy(*group).agg(F.min("_r").alias("_r0"),
-                                 F.count(F.when(~F.isnan(value), F.lit(1))).alias("_n"))
-           .where(F.col("_n") > 0))
-    want = per.select(*group, "_r0", "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-    h = F.col("p") * (F.col("_n") - 1).cast("double")
-    want = want.select(*group, "p", "_r0", h.alias("_h"), F.floor(h).cast("long").alias("_lo"),
-                       F.ceil(h).cast("long").alias("_hi"))
-    pos = want.select(*group, "p", "_h", "_lo", "_r0",
-                      F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_pos"))
-    pos = pos.withColumn("_r", F.col("_r0") + F.col("_pos"))
-    # joined on the unique rank: no key is hot, whatever the group sizes
-    got = (r.join(F.broadcast(pos), on=[*group, "_r"]) if few_groups
-           else pos.join(r, on=[*group, "_r"]))
-    agg = got.groupBy(*group, "p", "_h", "_lo").agg(
-        F.max(F.when(F.col("_pos") == F.col("_lo"), F.col(value))).alias("_vlo"),
-        F.max(F.when(F.col("_pos") != F.col("_lo"), F.col(value))).alias("_vhi"))
-    q = F.when(F.col("_vhi").isNull(), F.col("_vlo")).otherwise(
-        F.col("_vlo") + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo")))
-    return agg.select(*group, "p", q.alias("q"))
-
-
-def exact_quantiles(long: DataFrame, group: list[str], probs: list[float],
-                    value: str = "value", few_groups: bool = False) -> DataFrame:
+def exact_quantiles(long: DataFrame, group: list[str], probs: list[float], value: str = "value") -> DataFrame:
     """(group..., p, q): linear-interpolated quantiles per group, exact
-    (NULL and NaN values excluded).
-
-    A range-partitioned sort ranks all values (skew-proof: a large group
-    spans many range partitions); see ``quantiles_from_ranked``."""
-    return quantiles_from_ranked(ranked_values(long, group, value), group, probs, value, few_groups)
+    (NULL and NaN values excluded)."""
+    return quantiles_from_counts(counted_values(long, group, value), group, probs, value)
 
 
 def box_stats(long: DataFrame, group: list[str] | None = None) -> DataFrame:
     """Per channel: quartiles, IQR, whiskers (extreme values within 1.5 IQR
-    of the box) and the number of outliers.  The values are read once:
-    quartiles, whiskers and outliers all come from the checkpointed ranks."""
+    of the box) and the number of outliers, all from the counted different
+    values."""
     g = [*(group or []), "channel"]
-    r = ranked_values(long, g)
-    q = quantiles_from_ranked(r, g, [0.25, 0.5, 0.75], few_groups=g == ["channel"])
+    r = counted_values(long, g)
+    q = quantiles_from_counts(r, g, [0.25, 0.5, 0.75])
     wide = q.groupBy(*g).agg(F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
                              F.max(F.when(F.col("p") == 0.5, F.col("q"))).alias("median"),
                              F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
@@ -155,7 +127,24 @@ def box_stats(long: DataFrame, group: list[str] | None = None) -> DataFrame:
     return j.groupBy(*g, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(v >= lo_f, v)).alias("whisker_lo"),
         F.max(F.when(v <= hi_f, v)).alias("whisker_hi"),
-        F.count(F.when((v < lo_f) | (v > hi_f), F.lit(1))).alias("n_outliers"))
+        F.coalesce(F.sum(F.when((v < lo_f) | (v > hi_f), F.col("c"))), F.lit(0)).alias("n_outliers"))
+
+
+def automatic_bins(long: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """Number of bins per channel by the larger of two rules: Sturges
+    (log2 n + 1) and Freedman-Diaconis (width 2 IQR / cube root of n), as
+    plotting libraries choose it; at least 1."""
+    g = [*(group or []), "channel"]
+    q = exact_quantiles(long, g, [0.25, 0.75])
+    iqr = q.groupBy(*g).agg((F.max("q") - F.min("q")).alias("_iqr"))
+    v = F.col("value")
+    n = long.where(v.isNotNull() & ~F.isnan(v)).groupBy(*g).agg(
+        F.count(F.lit(1)).alias("_n"), (F.max("value") - F.min("value")).alias("_range"))
+    width = 2 * F.col("_iqr") / F.pow(F.col("_n").cast("double"), F.lit(1.0 / 3))
+    sturges = F.ceil(F.log2(F.col("_n").cast("double")) + 1)
+    wide = F.when(width > 0, F.ceil(F.col("_range") / width)).otherwise(F.lit(1))
+    bins = F.when(F.col("_range") == 0, F.lit(1)).otherwise(F.greatest(sturges, wide))
+    return n.join(_per_group(iqr, g), g).select(*g, bins.cast("int").alias("bins"))
 
 
 def histogram(long: DataFrame, bins: int = 30, group: list[str] | None = None) -> DataFrame:
@@ -184,7 +173,3 @@ def standardize(long: DataFrame, group: list[str] | None = None) -> DataFrame:
     s = F.when((F.col("_s") == 0) | F.col("_s").isNull(), F.lit(1.0)).otherwise(F.col("_s"))
     return long.join(_per_group(st, g), g).withColumn(
         "value", (F.col("value") - F.col("_m")) / s).drop("_m", "_s")
-
-
-def profile_columns(cols: list[str]) -> list[Column]:
-    return [F.col(c) for c in cols]

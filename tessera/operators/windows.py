@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera import schemas as S
 from tessera.functions.columns import finite_array, idiv
-from tessera.operators.series import SeriesSpec
+from tessera.operators.series import SeriesSpec, explode_range
 
 
 def window_ids(i: Column, n: Column, size: int, step: int) -> Column:
@@ -46,8 +46,25 @@ def window_keys(ok_bounds: DataFrame, key: list[str], size: int = S.WINDOW_SIZE,
     window from one row per key, no shuffle of grid rows."""
     n = F.col("n")
     last = count_windows(n, size, step) - 1
-    return (ok_bounds.where(n >= size)
-            .select(*key, F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("k")))
+    return explode_range(ok_bounds.where(n >= size), F.lit(0), last, "k").select(*key, "k")
+
+
+def window_cells(aligned: DataFrame, key: list[str], channels: list[str], size: int = S.WINDOW_SIZE,
+                 step: int = S.STEP_SIZE) -> DataFrame:
+    """Aligned rows (key, i, n, channels...) -> one row per window and grid
+    index in it: key, k, j (place in the window), channels.
+
+    Every grid index of a usable key has a row, so the windows need not be
+    gathered to be known complete: a row is copied to the windows that
+    hold it, without a shuffle."""
+    rows = aligned.select(*key, "i", F.explode(window_ids(F.col("i"), F.col("n"), size, step)).alias("k"), *channels)
+    return rows.select(*key, "k", (F.col("i") - F.col("k") * step).alias("j"), *channels)
+
+
+def melt(cells: DataFrame, channels: list[str], keep: list[str]) -> DataFrame:
+    """A column per channel -> a row per channel (keep..., channel, value)."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("channel"), F.col(c).alias("value")) for c in channels])
+    return cells.select(*keep, F.explode(pairs).alias("_p")).select(*keep, "_p.channel", "_p.value")
 
 
 def sliding_windows(aligned: DataFrame, key: list[str], channels: list[str],

@@ -16,7 +16,7 @@ from tessera.operators import order as O
 from tessera.operators import score as SC
 from tessera.operators import stats as ST
 from tessera.operators import running as RN
-from tessera.operators.windows import channel_long, sliding_windows, zscore_features
+from tessera.operators.windows import count_windows, melt, window_cells, window_keys, windows_from_grid, zscore_features
 from tessera import schemas as SCH
 from tessera.session import scratch_path
 from tessera.streaming import consumer as CS
@@ -134,8 +134,12 @@ def q_align_channels(spark, sf):
 
 
 def _windows_raw(spark, sf):
-    a = T.align(_grid(spark, sf), SPEC)
-    return sliding_windows(a, KEY, CH, SIZE, STEP)
+    return windows_from_grid(_grid(spark, sf), SPEC, SIZE, STEP)
+
+
+def _cells(spark, sf):
+    """Every (window, grid index) as a wide row, without gathering windows."""
+    return window_cells(T.align(_grid(spark, sf), SPEC), KEY, CH, SIZE, STEP)
 
 
 def q_sliding_windows(spark, sf):
@@ -147,6 +151,12 @@ def q_zscore_windows(spark, sf):
     return _long(w, KEY, CH).withColumnRenamed("activity", "label")
 
 
+def q_zscore_sample(spark, sf):
+    """z-score with the sample deviation (ddof = 1), as training uses it."""
+    w = zscore_features(_windows_raw(spark, sf), len(CH), ddof=1)
+    return _long(w, KEY, CH).withColumnRenamed("activity", "label")
+
+
 def windows_pipeline(spark, sf):
     """Flagship: events -> cleaned readings -> dedupe -> common range ->
     hourly grid -> align + 24/12 windows with per-window z-score ->
@@ -176,45 +186,54 @@ def q_split_sizes(spark, sf):
 
 def _windows_keys(spark, sf):
     """Window keys from the usable bounds (no resampling; see window_keys)."""
-    from tessera.operators.windows import window_keys
-    w = window_keys(T.eligible(_bounds(spark, sf), SPEC), KEY, SIZE, STEP)
+    return _keys_of(T.eligible(_bounds(spark, sf), SPEC))
+
+
+def _keys_of(usable):
+    w = window_keys(usable, KEY, SIZE, STEP)
     return w.select("subject_id", "device", F.col("activity").alias("label"), "k")
 
 
 def q_split_leakage(spark, sf):
+    """Subjects whose windows fall in more than one split: none if subjects
+    are split, many if windows are (the leak that splitting by subject is
+    there to prevent)."""
     w = _windows_keys(spark, sf)
-    sp = O.subject_split(_subjects(spark, sf))
-    leak = O.leakage(w, sp).select("subject_id", F.lit(1).alias("_leak"))
-    j = w.join(sp, "subject_id").join(leak, "subject_id", "left")
-    return j.groupBy("split").agg(F.countDistinct("subject_id").alias("n_subjects"),
-                                  F.count("*").alias("n_windows"),
-                                  F.countDistinct(F.when(F.col("_leak") == 1, F.col("subject_id"))).alias("n_leaking"))
+    by_subject = w.join(O.subject_split(_subjects(spark, sf)), "subject_id")
+    h = F.substring(O.hash_key(42, "subject_id", "device", "label", "k"), 1, 13)
+    by_window = w.withColumn("split", F.when(h < O.hash_threshold(0.8), "train")
+                             .when(h < O.hash_threshold(0.9), "val").otherwise("test"))
+    parts = []
+    for name, df in (("subject", by_subject), ("window", by_window)):
+        per = O.splits_of(df).agg(F.count("*").alias("n_subjects"), F.sum("n_windows").alias("n_windows"),
+                                  F.count(F.when(F.col("n_splits") > 1, 1)).alias("n_leaking"))
+        parts.append(per.select(F.lit(name).alias("split_by"), "n_subjects", "n_windows", "n_leaking"))
+    return parts[0].unionByName(parts[1])
 
 
 def q_semi_split(spark, sf):
+    """Windows of the training subjects: the split meets one row per key,
+    before windows are enumerated."""
     train = O.subject_split(_subjects(spark, sf)).where(F.col("split") == "train")
-    return _windows_keys(spark, sf).join(train, "subject_id", "left_semi")
+    return _keys_of(T.eligible(_bounds(spark, sf), SPEC).join(train, "subject_id", "left_semi"))
 
 
 def q_anti_split(spark, sf):
     train = O.subject_split(_subjects(spark, sf)).where(F.col("split") == "train")
-    return _windows_keys(spark, sf).join(train, "subject_id", "left_anti")
+    return _keys_of(T.eligible(_bounds(spark, sf), SPEC).join(train, "subject_id", "left_anti"))
 
 
 def q_common_activities(spark, sf):
     r = _readings(spark, sf)
     cols = ["subject_id", "device", "activity"]
-    a = r.where(F.col("sensor") == "accel").select(*cols)
-    g = r.where(F.col("sensor") == "gyro").select(*cols)
+    a = r.where(F.col("sensor") == "accel").select(*cols).distinct()
+    g = r.where(F.col("sensor") == "gyro").select(*cols).distinct()
     return a.intersect(g)
 
 
 def q_union_devices(spark, sf):
-    r = _readings(spark, sf).drop("event_id")
-    parts = []
-    for dev in (0, 1):
-        res = build_windows(r.where(F.col("device") == dev), SPEC, SIZE, STEP)
-        parts.append(res.windows.select("subject_id", "device", F.col("activity").alias("label"), "k"))
+    usable = T.eligible(_bounds(spark, sf), SPEC)
+    parts = [_keys_of(usable.where(F.col("device") == dev)) for dev in (0, 1)]
     return parts[0].unionByName(parts[1])
 
 
@@ -254,9 +273,12 @@ def q_filter_eq(spark, sf):
 
 
 def q_clip_to_overlap(spark, sf):
-    r = _readings(spark, sf)
-    ok = T.eligible(_bounds(spark, sf), SPEC)
-    return (r.join(ok, KEY).where(F.col("timestamp").between(F.col("a"), F.col("b")))
+    # joined per time bucket: a hot key's readings spread over its buckets
+    r = T.with_bucket(_readings(spark, sf), SPEC)
+    width = F.lit(SPEC.bucket_width)
+    ok = T.explode_range(T.eligible(_bounds(spark, sf), SPEC), F.floor(F.col("a") / width),
+                         F.floor(F.col("b") / width), "_bucket")
+    return (r.join(ok, [*KEY, "_bucket"]).where(F.col("timestamp").between(F.col("a"), F.col("b")))
             .select("event_id", *KEY, "sensor", "timestamp"))
 
 
@@ -273,16 +295,15 @@ def q_distinct_labels(spark, sf):
 
 def q_row_counts(spark, sf):
     r = _readings(spark, sf).agg(F.count("*").alias("n_readings"))
-    b = _bounds(spark, sf).agg(F.count("*").alias("n_keys"),
-                               F.count(F.when(F.col("reason").isNull(), 1)).alias("n_usable"))
-    w = _windows_keys(spark, sf).agg(F.count("*").alias("n_windows"))
-    return r.select("n_readings", b.select("n_keys").scalar().alias("n_keys"),
-                    b.select("n_usable").scalar().alias("n_usable"),
-                    w.select("n_windows").scalar().alias("n_windows"))
+    usable = F.col("reason").isNull()
+    b = _bounds(spark, sf).agg(F.count("*").alias("n_keys"), F.count(F.when(usable, 1)).alias("n_usable"),
+                               F.sum(F.when(usable, count_windows(F.col("n"), SIZE, STEP))).alias("n_windows"))
+    return r.select(
+        "n_readings", *[b.select(c).scalar().alias(c) for c in ("n_keys", "n_usable", "n_windows")])
 
 
 def _long_values(spark, sf):
-    return ST.channel_values(_windows_raw(spark, sf), CH, keep=["subject_id", "device", "activity", "k"])
+    return melt(_cells(spark, sf), CH, ["subject_id", "device", "activity", "k", "j"])
 
 
 def _r6(df):
@@ -290,7 +311,7 @@ def _r6(df):
 
 
 def q_array_summary(spark, sf):
-    return _r6(ST.array_summary(_windows_raw(spark, sf), len(CH)))
+    return _r6(ST.array_summary(_long_values(spark, sf), len(CH), SIZE))
 
 
 def q_channel_stats(spark, sf):
@@ -302,8 +323,7 @@ def q_finite_check(spark, sf):
 
 
 def q_corr_matrix(spark, sf):
-    wide = ST.window_rows(_windows_raw(spark, sf), CH)
-    return _r6(ST.corr_matrix(wide, CH))
+    return _r6(ST.corr_matrix(_cells(spark, sf), CH))
 
 
 def q_box_stats(spark, sf):
@@ -320,8 +340,7 @@ def q_standardize(spark, sf):
 
 
 def q_melt_channels(spark, sf):
-    m = channel_long(_windows_raw(spark, sf), ["subject_id", "device", "activity", "k"], CH)
-    return _r6(m.withColumnRenamed("activity", "label"))
+    return _r6(_long_values(spark, sf).withColumnsRenamed({"activity": "label", "j": "i", "channel": "axis"}))
 
 
 # -- lookups -----------------------------------------------------------------
@@ -360,30 +379,34 @@ def _emb(spark, sf):
     return e.withColumn("split", F.when(prefix < F.lit(O.hash_threshold(0.8)), "train").otherwise("held_out"))
 
 
-def _model_and_classes(spark, sf):
+def _model_and_classes(spark, sf, fraction=0.8):
+    """The model learned from the rows whose md5 order is below ``fraction``
+    (0.8: the training rows)."""
     e = _emb(spark, sf)
-    model = SC.CentroidModel.fit(e.where(F.col("split") == "train"), "embedding", "label")
+    prefix = F.substring(O.hash_key(42, "vec_id"), 1, 13)
+    model = SC.CentroidModel.fit(e.where(prefix < F.lit(O.hash_threshold(fraction))), "embedding", "label")
     rows = [(i, c) for i, c in enumerate(model.classes)]
     classes = spark.createDataFrame(rows, "idx int, class_name string")
     return e, model, classes
 
 
-def _predictions(spark, sf, split="held_out"):
-    e, model, classes = _model_and_classes(spark, sf)
+def _predictions(spark, sf, split="held_out", fraction=0.8):
+    """Scored rows of a split (None: all rows)."""
+    e, model, classes = _model_and_classes(spark, sf, fraction)
     idx = F.create_map(*[F.lit(x) for i, c in enumerate(model.classes) for x in (c, i)])
     d = e.where(F.col("split") == split) if split else e
-    d = d.select("vec_id", F.try_element_at(idx, F.col("label").cast("string")).alias("y_true"),
+    d = d.select("vec_id", "split", F.try_element_at(idx, F.col("label").cast("string")).alias("y_true"),
                  model.logits("embedding").alias("logits"))
     return SC.with_scores(d, "logits", "y_true"), classes
 
 
 def q_centroid_scores(spark, sf):
-    p, _ = _predictions(spark, sf)
+    p, _ = _predictions(spark, sf, None)
     return _r6(p.select("vec_id", "y_true", "y_pred", "confidence", "xentropy"))
 
 
 def q_softmax_scores(spark, sf):
-    p, _ = _predictions(spark, sf)
+    p, _ = _predictions(spark, sf, None)
     pr = p.select("vec_id", F.posexplode(SC.probabilities("logits")).alias("class_idx", "prob"))
     return _r6(pr)
 
@@ -404,32 +427,31 @@ def q_per_class_accuracy(spark, sf):
 
 
 def q_p95_threshold(spark, sf):
-    p, _ = _predictions(spark, sf)
+    p, _ = _predictions(spark, sf, None)
     return _r6(M.loss_threshold(p, 0.95))
 
 
 def q_alert_flags(spark, sf):
-    p, _ = _predictions(spark, sf)
+    p, _ = _predictions(spark, sf, None)
     return _r6(M.alert_flags(p, M.loss_threshold(p, 0.95)).select("vec_id", "xentropy", "alert"))
 
 
 def _history(spark, sf):
-    """Per-epoch history of an evaluation pass: the training rows are
-    shuffled per epoch (md5 order), cut into batches of 64, and each
-    batch's mean loss and correct count are recorded; val_acc is the
-    held-out accuracy."""
-    tr, _ = _predictions(spark, sf, "train")
-    batches = []
+    """History of a training that sees more of the training rows in every
+    epoch: epoch e of 3 has learned from the first e thirds of them (in md5
+    order).  The training rows are shuffled per epoch, cut into batches of
+    64, and each batch's mean loss and correct count are recorded; val_acc
+    is the accuracy on the held-out rows."""
+    parts = []
     for epoch in (1, 2, 3):
-        b = O.batch_ids(O.shuffle_order(tr, 42, epoch, "vec_id"), 64)
-        batches.append(b.groupBy("batch").agg(
-            F.count("*").alias("n"), F.avg("xentropy").alias("loss"),
-            F.sum((F.col("y_true") == F.col("y_pred")).cast("long")).alias("correct"))
-            .withColumn("epoch", F.lit(epoch)))
-    allb = batches[0].unionByName(batches[1]).unionByName(batches[2])
-    ho, _ = _predictions(spark, sf, "held_out")
-    val = ho.agg(F.avg((F.col("y_true") == F.col("y_pred")).cast("double")).alias("val_acc"))
-    return M.epoch_metrics(allb).withColumn("val_acc", val.scalar())
+        p, _ = _predictions(spark, sf, None, fraction=0.8 * epoch / 3)
+        right = F.col("y_true") == F.col("y_pred")
+        tr = O.batch_ids(O.shuffle_order(p.where(F.col("split") == "train"), 42, epoch, "vec_id"), 64)
+        b = tr.groupBy("batch").agg(F.count("*").alias("n"), F.avg("xentropy").alias("loss"),
+                                    F.sum(right.cast("long")).alias("correct")).withColumn("epoch", F.lit(epoch))
+        val = p.where(F.col("split") == "held_out").agg(F.avg(right.cast("double")).alias("val_acc"))
+        parts.append(M.epoch_metrics(b).withColumn("val_acc", val.scalar()))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def q_epoch_metrics(spark, sf):
@@ -487,8 +509,9 @@ def _letter_embeddings(spark, sf):
     """Embeddings as labelled windows: label i -> the i-th activity code."""
     codes = F.array(*[F.lit(c) for c, _ in SCH.ACTIVITY_NAMES])
     e = _emb(spark, sf)
-    return e.select(F.col("vec_id").cast("string").alias("subject_id"), F.lit(0).alias("device"),
-                    F.element_at(codes, F.col("label") + 1).alias("label"), F.lit(0).cast("long").alias("k"),
+    letter = F.coalesce(F.get(codes, F.col("label")), F.concat(F.lit("Class-"), F.col("label").cast("string")))
+    return e.select(F.col("vec_id").cast("string").alias("subject_id"), (F.col("vec_id") % 2).cast("int").alias("device"),
+                    letter.alias("label"), F.lit(0).cast("long").alias("k"),
                     F.col("embedding").cast("array<double>").alias("features"), "split")
 
 
@@ -513,10 +536,34 @@ def _message_files(spark, sf):
 def _scored_stream(spark, sf):
     path, model = _message_files(spark, sf)
     raw = MS.read_files(spark, path, max_files_per_trigger=FILES_PER_TRIGGER)
-    return CS.score_messages(spark, MS.decode(raw), model, 1, normalize=False), path, model
+    return CS.score_messages(spark, MS.decode(raw, channels=1), model, 1, normalize=False), path, model
+
+
+def q_dead_letter(spark, sf):
+    """Damaged copies among the messages (no features, cut JSON, an empty
+    matrix, a NULL cell): the stream sends them, and only them, to the
+    dead-letter sink."""
+    path, model = _message_files(spark, sf)
+    value, seq = F.col("value"), F.regexp_extract("value", r'"seq":(\d+)', 1).cast("long")
+    sent = spark.read.text(path).withColumn("damage", seq % 7)
+    bad = sent.where(F.col("damage").between(1, 4)).select(
+        F.when(F.col("damage") == 1, F.regexp_replace(value, r'"features":\[.*\]\]', '"features":null'))
+        .when(F.col("damage") == 2, F.regexp_replace(value, r"\}$", ""))
+        .when(F.col("damage") == 3, F.regexp_replace(value, r'"features":\[.*\]\]', '"features":[]'))
+        .otherwise(F.regexp_replace(value, r'"features":\[\[[^\]]*\]', '"features":[[null]')).alias("value"))
+    both = scratch_path(spark, "damaged")
+    MS.publish_files(sent.select("value").unionByName(bad), both, MESSAGES_PER_FILE)
+    decoded = MS.decode(MS.read_files(spark, both, FILES_PER_TRIGGER), len(model.centroids[0]), 1)
+    q, out = CS.run_append(spark, CS.dead_letters(decoded), "dead-letters")
+    q.awaitTermination()
+    return spark.read.parquet(out).select(seq.alias("seq"), (seq % 7).alias("damage"))
+
+
+def q_rejected_readings(spark, sf):
+    return TB.rejected_events(TB.table(spark, sf, "events"))
 
 
-_SCORE_COLS = ["seq", "subject_id", "activity", "pred_letter", "pred_name", "truth_name", "confidence", "correct"]
+_SCORE_COLS = ["seq", "device", "subject_id", "activity", "pred_letter", "pred_name", "truth_name", "confidence", "correct"]
 
 
 def q_stream_scores(spark, sf):
@@ -545,7 +592,7 @@ def q_running_accuracy(spark, sf):
     """Batch twin of the stream: accuracy after each message, per device,
     in publish order."""
     path, model = _message_files(spark, sf)
-    scored = CS.score_messages(spark, MS.decode(spark.read.text(path)), model, 1, normalize=False)
+    scored = CS.score_messages(spark, MS.decode(spark.read.text(path), channels=1), model, 1, normalize=False)
     r = RN.running_accuracy(scored, ["device"], ["seq"])
     return _r6(r.select("device", "seq", "n_seen", "n_correct", "running_accuracy"))
 
@@ -564,6 +611,8 @@ QUERIES = {
     "align_channels": q_align_channels,
     "sliding_windows": q_sliding_windows,
     "zscore_windows": q_zscore_windows,
+    "zscore_sample": q_zscore_sample,
+    "rejected_readings": q_rejected_readings,
     "windows_pipeline": q_windows_pipeline,
     "subject_split": q_subject_split,
     "split_sizes": q_split_sizes,
@@ -610,6 +659,7 @@ QUERIES = {
     "window_messages": q_window_messages,
     "stream_events": q_stream_events,
     "stream_scores": q_stream_scores,
+    "dead_letter": q_dead_letter,
     "stream_accuracy": q_stream_accuracy,
     "latest_per_key": q_latest_per_key,
     "running_accuracy": q_running_accuracy,

@@ -29,7 +29,7 @@ DEDUPED = r"""
 deduped AS (
   SELECT subject_id, device, activity, sensor, timestamp, x, y FROM (
     SELECT *, row_number() OVER (PARTITION BY subject_id, device, activity, sensor, timestamp
-                                 ORDER BY x, y) AS rn
+                                 ORDER BY x IS NULL OR y IS NULL, x, y) AS rn
     FROM readings) WHERE rn = 1
 )"""
 
@@ -39,7 +39,8 @@ bounds AS (
          CASE WHEN n_accel = 0 OR n_gyro = 0 THEN 'missing_sensor'
               WHEN n_accel < 2 OR n_gyro < 2 THEN 'too_few_samples'
               WHEN b - a < 1000000 THEN 'short_overlap'
-              WHEN (b - a) // 3600000000 < 2 THEN 'short_grid' END AS reason
+              WHEN (b - a) // 3600000000 < 2 THEN 'short_grid'
+              WHEN (b - a) // 3600000000 > 100000 * (n_accel + n_gyro) THEN 'sparse' END AS reason
   FROM (
     SELECT subject_id, device, activity,
            count(*) FILTER (WHERE sensor = 'accel') AS n_accel,
@@ -118,7 +119,8 @@ SELECT event_id, subject_id, device, activity, sensor, timestamp, floor((x) * 1e
 FROM readings""",
     "dedupe_series": _with(READINGS) + """
 SELECT subject_id, device, activity, sensor, timestamp, floor((x) * 1e6 + 0.5) / 1e6 AS x, floor((y) * 1e6 + 0.5) / 1e6 AS y FROM (
-  SELECT *, row_number() OVER (PARTITION BY subject_id, device, activity, sensor, timestamp ORDER BY x, y) AS rn
+  SELECT *, row_number() OVER (PARTITION BY subject_id, device, activity, sensor, timestamp
+                               ORDER BY x IS NULL OR y IS NULL, x, y) AS rn
   FROM (SELECT subject_id, device, activity, sensor, timestamp - timestamp % 3600000000 AS timestamp, x, y
         FROM readings)) WHERE rn = 1""",
     "overlap_bounds": _with(READINGS, DEDUPED, BOUNDS) + """
@@ -145,12 +147,9 @@ SELECT subject_id, device, activity AS label, k, j, floor((ax) * 1e6 + 0.5) / 1e
     "windows_pipeline": CORE + """
 SELECT subject_id, device, activity AS label, k, j, floor((ax) * 1e6 + 0.5) / 1e6 AS ax, floor((ay) * 1e6 + 0.5) / 1e6 AS ay,
        floor((gx) * 1e6 + 0.5) / 1e6 AS gx, floor((gy) * 1e6 + 0.5) / 1e6 AS gy
-FROM zwin
-WHERE (subject_id, device, activity, k) NOT IN (
-  SELECT (subject_id, device, activity, k) FROM zwin
-  WHERE ax IS NULL OR ay IS NULL OR gx IS NULL OR gy IS NULL
-     OR isnan(ax) OR isnan(ay) OR isnan(gx) OR isnan(gy)
-     OR isinf(ax) OR isinf(ay) OR isinf(gx) OR isinf(gy))""",
+FROM (SELECT *, bool_and(coalesce(isfinite(ax) AND isfinite(ay) AND isfinite(gx) AND isfinite(gy), FALSE))
+                OVER (PARTITION BY subject_id, device, activity, k) AS finite FROM zwin)
+WHERE finite""",
 }
 
 
@@ -189,12 +188,16 @@ WL = "\nwl AS (" + " UNION ALL ".join(
 ACT_VALUES = ", ".join(f"({i}, '{c}', '{n}')" for i, (c, n) in enumerate(_S.ACTIVITY_NAMES))
 AM = f"\nam AS (SELECT * FROM (VALUES {ACT_VALUES}) t(pos, code, name))"
 
-SCORE = f"""
+def _score(cut: float = 0.8) -> str:
+    """Scoring CTEs; centroids from the training rows below ``cut``."""
+    return f"""
+cutoff AS (SELECT vec_id FROM embeddings
+           WHERE substr(md5('42:' || CAST(vec_id AS VARCHAR)), 1, 13) < '{_thr(cut)}'),
 emb AS (SELECT vec_id, label, embedding,
                CASE WHEN substr(md5('42:' || CAST(vec_id AS VARCHAR)), 1, 13) < '{_thr(0.8)}'
                     THEN 'train' ELSE 'held_out' END AS split FROM embeddings),
 ev AS (SELECT vec_id, label, split, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS d FROM emb),
-cent AS (SELECT CAST(label AS VARCHAR) AS cls, d, avg(v) AS c FROM ev WHERE split = 'train' GROUP BY ALL),
+cent AS (SELECT CAST(label AS VARCHAR) AS cls, d, avg(v) AS c FROM ev JOIN cutoff USING (vec_id) GROUP BY ALL),
 classes AS (SELECT cls, row_number() OVER (ORDER BY cls) - 1 AS idx FROM (SELECT DISTINCT cls FROM cent)),
 dist AS (SELECT e.vec_id, cl.idx, -sum((e.v - c.c) * (e.v - c.c)) AS logit
          FROM ev e JOIN cent c ON e.d = c.d JOIN classes cl ON cl.cls = c.cls
@@ -210,29 +213,34 @@ pred_all AS (SELECT e.vec_id, e.split, CAST(cl.idx AS INTEGER) AS y_true, CAST(l
              JOIN dist dt ON dt.vec_id = e.vec_id AND dt.idx = cl.idx),
 pred AS (SELECT * FROM pred_all WHERE split = 'held_out')"""
 
-HISTORY = """
-shuf AS (""" + " UNION ALL ".join(
-    f"SELECT {e} AS epoch, vec_id, xentropy, y_true, y_pred, "
-    f"(row_number() OVER (ORDER BY md5('42:{e}:' || CAST(vec_id AS VARCHAR)), vec_id) - 1) // 64 AS batch "
-    f"FROM pred_all WHERE split = 'train'" for e in (1, 2, 3)) + """),
-bat AS (SELECT epoch, batch, count(*) AS n, avg(xentropy) AS loss,
-               sum(CASE WHEN y_true = y_pred THEN 1 ELSE 0 END) AS correct FROM shuf GROUP BY epoch, batch),
-hist AS (SELECT epoch, sum(loss * n) / sum(n) AS tr_loss, sum(correct) / sum(n) AS tr_acc,
-                (SELECT avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END) FROM pred) AS val_acc
-         FROM bat GROUP BY epoch)"""
+
+SCORE = _score()
+
+# epoch e of 3 has learned from the first e thirds of the training rows
+HISTORY = "\nhist AS (" + " UNION ALL ".join(f"""SELECT * FROM (
+  WITH {_score(0.8 * e / 3)},
+  shuf AS (SELECT vec_id, xentropy, y_true, y_pred,
+                  (row_number() OVER (ORDER BY md5('42:{e}:' || CAST(vec_id AS VARCHAR)), vec_id) - 1) // 64 AS batch
+           FROM pred_all WHERE split = 'train'),
+  bat AS (SELECT batch, count(*) AS n, avg(xentropy) AS loss,
+                 sum(CASE WHEN y_true = y_pred THEN 1 ELSE 0 END) AS correct FROM shuf GROUP BY batch)
+  SELECT {e} AS epoch, sum(loss * n) / sum(n) AS tr_loss, sum(correct) / sum(n) AS tr_acc,
+         (SELECT avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END) FROM pred) AS val_acc FROM bat)"""
+    for e in (1, 2, 3)) + ")"
 
 CORE_W = CORE + "," + WK + "," + WL
 
 SQL.update({
     "subject_split": _with(SPLIT) + "\nSELECT subject_id, split FROM split",
     "split_sizes": _with(SPLIT) + "\nSELECT split, count(*) AS n_subjects FROM split GROUP BY split",
-    "split_leakage": CORE + "," + WK + "," + SPLIT + """,
-leak AS (SELECT w.subject_id FROM (SELECT DISTINCT subject_id FROM wk) w JOIN split USING (subject_id)
-         GROUP BY w.subject_id HAVING count(DISTINCT split) > 1)
-SELECT s.split, count(DISTINCT w.subject_id) AS n_subjects, count(*) AS n_windows,
-       count(DISTINCT CASE WHEN l.subject_id IS NOT NULL THEN w.subject_id END) AS n_leaking
-FROM wk w JOIN split s USING (subject_id) LEFT JOIN leak l ON l.subject_id = w.subject_id
-GROUP BY s.split""",
+    "split_leakage": CORE + "," + WK + "," + SPLIT + f""",
+hashed AS (SELECT *, substr(md5('42:' || subject_id || ':' || device || ':' || label || ':' || k), 1, 13) AS h FROM wk),
+assigned AS (SELECT 'subject' AS split_by, subject_id, split FROM wk JOIN split USING (subject_id) UNION ALL
+         SELECT 'window', subject_id, CASE WHEN h < '{_thr(0.8)}' THEN 'train' WHEN h < '{_thr(0.9)}' THEN 'val'
+                                           ELSE 'test' END FROM hashed),
+per AS (SELECT split_by, subject_id, count(*) AS n, count(DISTINCT split) AS n_splits FROM assigned GROUP BY ALL)
+SELECT split_by, count(*) AS n_subjects, CAST(sum(n) AS BIGINT) AS n_windows,
+       count(*) FILTER (WHERE n_splits > 1) AS n_leaking FROM per GROUP BY split_by""",
     "semi_split": CORE + "," + WK + "," + SPLIT + """
 SELECT subject_id, device, label, k FROM wk
 WHERE subject_id IN (SELECT subject_id FROM split WHERE split = 'train')""",
@@ -333,10 +341,10 @@ res AS (SELECT c.idx, c.label AS class_name,
 SELECT idx, class_name, letter, coalesce((SELECT name FROM am WHERE am.code = res.letter), class_name) AS activity_name
 FROM res""",
     "centroid_scores": _with(SCORE) + f"""
-SELECT vec_id, y_true, y_pred, {R6('confidence')} AS confidence, {R6('xentropy')} AS xentropy FROM pred""",
+SELECT vec_id, y_true, y_pred, {R6('confidence')} AS confidence, {R6('xentropy')} AS xentropy FROM pred_all""",
     "softmax_scores": _with(SCORE) + f"""
 SELECT d.vec_id, CAST(d.idx AS INTEGER) AS class_idx, {R6('exp(d.logit - l.lse)')} AS prob
-FROM dist d JOIN lse l USING (vec_id) JOIN emb e USING (vec_id) WHERE e.split = 'held_out'""",
+FROM dist d JOIN lse l USING (vec_id)""",
     "confusion_matrix": _with(SCORE) + """
 SELECT CAST(t.idx AS INTEGER) AS y_true, CAST(p.idx AS INTEGER) AS y_pred, count(pr.vec_id) AS count
 FROM classes t JOIN classes p ON TRUE
@@ -364,17 +372,17 @@ UNION ALL SELECT 'weighted avg', {R6('sum(precision * support) / sum(support)')}
 SELECT CAST(c.idx AS INTEGER) AS idx, c.cls AS class_name,
        {R6('coalesce(avg(CASE WHEN p.y_true = p.y_pred THEN 1.0 ELSE 0.0 END), 0.0)')} AS accuracy
 FROM classes c LEFT JOIN pred p ON p.y_true = c.idx GROUP BY c.idx, c.cls""",
-    "p95_threshold": _with(SCORE) + f"\nSELECT {R6('quantile_cont(xentropy, 0.95)')} AS threshold_95 FROM pred",
+    "p95_threshold": _with(SCORE) + f"\nSELECT {R6('quantile_cont(xentropy, 0.95)')} AS threshold_95 FROM pred_all",
     "alert_flags": _with(SCORE) + f"""
 SELECT vec_id, {R6('xentropy')} AS xentropy,
-       xentropy > (SELECT quantile_cont(xentropy, 0.95) FROM pred) AS alert FROM pred""",
-    "epoch_metrics": _with(SCORE, HISTORY) + f"""
+       xentropy > (SELECT quantile_cont(xentropy, 0.95) FROM pred_all) AS alert FROM pred_all""",
+    "epoch_metrics": _with(HISTORY) + f"""
 SELECT epoch, {R6('tr_loss')} AS tr_loss, {R6('tr_acc')} AS tr_acc, {R6('val_acc')} AS val_acc FROM hist""",
-    "best_epoch": _with(SCORE, HISTORY) + f""",
+    "best_epoch": _with(HISTORY) + f""",
 h2 AS (SELECT *, coalesce(max(val_acc) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)
                  AS prev FROM hist)
 SELECT arg_min(epoch, (-val_acc, epoch)) AS best_epoch, {R6('max(val_acc)')} AS best_val_acc,
-       arg_min(epoch, (round(tr_loss, 9), epoch)) AS min_loss_epoch, arg_min(epoch, (-tr_acc, epoch)) AS max_acc_epoch,
+       arg_min(epoch, (tr_loss, epoch)) AS min_loss_epoch, arg_min(epoch, (-tr_acc, epoch)) AS max_acc_epoch,
        CAST(sum(CASE WHEN val_acc > prev THEN 1 ELSE 0 END) AS BIGINT) AS n_improvements FROM h2""",
 })
 
@@ -385,7 +393,8 @@ SELECT arg_min(epoch, (-val_acc, epoch)) AS best_epoch, {R6('max(val_acc)')} AS
 
 STREAM = SCORE + "," + AM + """,
 scored AS (
-  SELECT row_number() OVER (ORDER BY CAST(p.vec_id AS VARCHAR)) - 1 AS seq,
+  SELECT row_number() OVER (ORDER BY p.vec_id % 2, CAST(p.vec_id AS VARCHAR)) - 1 AS seq,
+         CASE p.vec_id % 2 WHEN 0 THEN 'phone' ELSE 'watch' END AS device,
          CAST(p.vec_id AS VARCHAR) AS subject_id, ta.code AS activity, pa.code AS pred_letter,
          pa.name AS pred_name, ta.name AS truth_name, p.confidence, pa.code = ta.code AS correct
   FROM pred p JOIN am ta ON ta.pos = p.y_true JOIN am pa ON pa.pos = p.y_pred)"""
@@ -406,19 +415,21 @@ FROM wk""",
     "stream_events": _with(READINGS) + f"""
 SELECT event_id, subject_id, device, activity, sensor, timestamp, {R6('x')} AS x, {R6('y')} AS y FROM readings""",
     "stream_scores": _with(STREAM) + f"""
-SELECT seq, subject_id, activity, pred_letter, pred_name, truth_name, {R6('confidence')} AS confidence, correct
+SELECT seq, device, subject_id, activity, pred_letter, pred_name, truth_name, {R6('confidence')} AS confidence, correct
 FROM scored""",
     "stream_accuracy": _with(STREAM) + f"""
-SELECT 'phone' AS device, count(*) AS total, CAST(sum(CASE WHEN correct THEN 1 ELSE 0 END) AS BIGINT) AS n_correct,
-       {R6('avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END)')} AS accuracy FROM scored""",
+SELECT device, count(*) AS total, CAST(sum(CASE WHEN correct THEN 1 ELSE 0 END) AS BIGINT) AS n_correct,
+       {R6('avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END)')} AS accuracy FROM scored GROUP BY device""",
     "latest_per_key": _with(STREAM) + f"""
-SELECT 'phone' AS device, seq, subject_id, pred_letter, {R6('confidence')} AS confidence
-FROM scored WHERE seq = (SELECT max(seq) FROM scored)""",
+SELECT device, seq, subject_id, pred_letter, {R6('confidence')} AS confidence
+FROM scored WHERE seq IN (SELECT max(seq) FROM scored GROUP BY device)""",
+    "dead_letter": _with(STREAM) + """
+SELECT seq, seq % 7 AS damage FROM scored WHERE seq % 7 IN (1, 2, 3, 4)""",
     "running_accuracy": _with(STREAM) + f"""
-SELECT 'phone' AS device, seq, row_number() OVER w AS n_seen,
+SELECT device, seq, row_number() OVER w AS n_seen,
        CAST(sum(CASE WHEN correct THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_correct,
        {R6('sum(CASE WHEN correct THEN 1.0 ELSE 0.0 END) OVER w / row_number() OVER w')} AS running_accuracy
-FROM scored WINDOW w AS (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+FROM scored WINDOW w AS (PARTITION BY device ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
 })
 
 SQL.update({
@@ -452,3 +463,17 @@ HAVING bool_and(ax IS NOT NULL AND ay IS NOT NULL AND gx IS NOT NULL AND gy IS N
                 AND NOT (isnan(ax) OR isnan(ay) OR isnan(gx) OR isnan(gy))
                 AND NOT (isinf(ax) OR isinf(ay) OR isinf(gx) OR isinf(gy)))""",
 })
+
+SQL.update({
+    "rejected_readings": """
+SELECT event_type, reason, count(*) AS n_rows FROM (
+  SELECT event_type, CASE
+    WHEN event_type IS NULL OR user_id IS NULL OR ts IS NULL OR value IS NULL OR isnan(value) OR props IS NULL
+      THEN 'null_field'
+    WHEN event_type NOT IN ('view', 'click', 'signup', 'purchase') THEN 'no_sensor' END AS reason FROM events)
+WHERE reason IS NOT NULL GROUP BY ALL""",
+    "zscore_sample": CORE + f"""
+SELECT subject_id, device, activity AS label, k, j, {", ".join(
+    f"{R6(f'({c} - avg({c}) OVER p) / (stddev_samp({c}) OVER p + 1e-5)')} AS {c}" for c in ["ax", "ay", "gx", "gy"])}
+FROM win WINDOW p AS (PARTITION BY subject_id, device, activity, k)""",
+})

@@ -52,6 +52,8 @@ EVENTS_SPEC = SeriesSpec(
     period=US_PER_HOUR,
     min_overlap=US_PER_SECOND,
     min_count=2,
+    # two days: a week's series spreads over four tasks
+    bucket=48 * US_PER_HOUR,
 )
 EVENTS_WINDOW = 24
 EVENTS_STEP = 12
@@ -72,6 +74,19 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_events(spark, table(spark, sf_dir, "events"))
 
 
+def rejected_events(ev: DataFrame) -> DataFrame:
+    """Rows of ``events`` that are no reading, counted by event type and
+    reason: ``null_field`` (the malformed-line rule) or ``no_sensor`` (an
+    event type without a sensor).  With the readings they are all rows."""
+    null = F.isnan("value")
+    for c in ["event_type", "user_id", "ts", "value", "props"]:
+        null = F.col(c).isNull() | null
+    reason = F.when(null, "null_field").when(
+        ~F.col("event_type").isin([t for t, _, _ in EVENT_SENSORS]), "no_sensor")
+    return (ev.select("event_type", reason.alias("reason")).where(F.col("reason").isNotNull())
+            .groupBy("event_type", "reason").agg(F.count("*").alias("n_rows")))
+
+
 def decode_events(spark: SparkSession, ev: DataFrame) -> DataFrame:
     """Events (batch or stream) -> readings.  Rows with a NULL raw field are
     dropped first (the malformed-line rule); the dirty text becomes NULL

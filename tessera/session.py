@@ -10,7 +10,9 @@ which happens in tests and local runs.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -53,13 +55,17 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
-    Reads ``spark.checkpoint.dir``; only when it is unset (tests, a
-    laptop) a folder is created and registered.  Never a per-executor
-    local folder: on a cluster the setting must name shared storage.
+    Reads ``spark.checkpoint.dir``.  Where it is unset a folder is made for
+    a local master alone (tests, a laptop; it is removed at exit): the
+    executors of a cluster do not share one, so there it is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path

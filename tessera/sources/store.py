@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,16 +13,19 @@ from tessera import schemas as S
 
 def read_parquet_excluding(spark: SparkSession, include: str, exclude_name: str | None = None) -> DataFrame:
     """Multi-file Parquet read with an include glob and an exclude-by-name
-    rule.  The exclusion is a filter on ``_metadata.file_name``, pruned at
-    planning time; an empty selection raises ``FileNotFoundError``."""
+    rule on the file's own name (never its folder).  The exclusion is a
+    filter on ``_metadata.file_name``, pruned at planning time; a selection
+    without a file raises ``FileNotFoundError``."""
     try:
         df = spark.read.parquet(include)
-    except Exception as e:  # no file matches the glob
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         raise FileNotFoundError(f"no parquet files match {include}") from e
     if exclude_name:
-        df = df.where(~F.col("_metadata.file_path").contains(exclude_name))
-    if df.isEmpty():
-        raise FileNotFoundError(f"no parquet rows left under {include} after excluding {exclude_name}")
+        if all(exclude_name in os.path.basename(f) for f in df.inputFiles()):
+            raise FileNotFoundError(f"no parquet files left under {include} after excluding {exclude_name}")
+        df = df.where(~F.col("_metadata.file_name").contains(exclude_name))
     return df
 
 

@@ -70,12 +70,18 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, starting: str = "l
     return r.load().select(F.col("value").cast("string").alias("value"), "partition", "offset")
 
 
-def decode(raw: DataFrame) -> DataFrame:
-    """value -> message columns plus ``valid``.  Malformed JSON (or a
-    message without features) is kept with valid = false so it can go to a
-    dead-letter sink instead of stopping the stream."""
+def decode(raw: DataFrame, rows: int | None = None, channels: int | None = None) -> DataFrame:
+    """value -> message columns plus ``valid``.  A message is valid if it is
+    JSON with an activity and a features matrix of equal rows (``rows`` x
+    ``channels`` where given: the shape that the model expects) without
+    NULL, NaN or +-Inf.  Others are kept with valid = false, so that they go
+    to a dead-letter sink and neither stop the stream nor count."""
     m = F.from_json("value", MESSAGE_SCHEMA, {"mode": "PERMISSIVE"})
     d = raw.select("*", m.alias("_m"))
-    valid = F.col("_m").isNotNull() & F.col("_m.features").isNotNull() & F.col("_m.activity").isNotNull()
+    f = F.col("_m.features")
+    width = F.lit(channels) if channels else F.size(F.get(f, F.lit(0)))
+    shaped = ~F.exists(f, lambda r: r.isNull() | (F.size(r) != width)) & finite_array(F.flatten(f))
+    valid = F.coalesce(F.col("_m.activity").isNotNull() & (F.size(f) > 0) & (width > 0)
+                       & (F.size(f) == rows if rows else F.lit(True)) & shaped, F.lit(False))
     return d.select(*raw.columns, *[F.col(f"_m.{f.name}").alias(f.name) for f in MESSAGE_SCHEMA.fields],
                     valid.alias("valid"))
