@@ -11,7 +11,7 @@ group's values nor the copies of one value are ever held in one buffer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.running import running_sums
@@ -71,16 +71,22 @@ def _per_group(stats: DataFrame, group: list[str]) -> DataFrame:
     return F.broadcast(stats) if list(group) == ["channel"] else stats
 
 
-def counted_values(long: DataFrame, group: list[str], value: str = "value") -> DataFrame:
+def _number(weight: str | None) -> Column:
+    """How many rows a group has: one each, or ``weight`` each."""
+    return F.sum(weight) if weight else F.count(F.lit(1))
+
+
+def counted_values(long: DataFrame, group: list[str], value: str = "value", weight: str | None = None) -> DataFrame:
     """Different values of each group with their number ``c`` and the number
     of values up to and including them, ``cum`` (NULL and NaN left out).
+    A row counts ``weight`` times where that is given.
 
     Equal values become one row before anything is sorted, so a value that
     most rows share costs one row; the running count sorts by (group,
     value) over range partitions."""
     v = F.col(value)
     counts = (long.where(v.isNotNull() & ~F.isnan(v)).groupBy(*group, value)
-              .agg(F.count(F.lit(1)).alias("c")))
+              .agg(_number(weight).alias("c")))
     return running_sums(counts, group, [value], {"cum": F.col("c")})
 
 
@@ -109,12 +115,12 @@ def exact_quantiles(long: DataFrame, group: list[str], probs: list[float], value
     return quantiles_from_counts(counted_values(long, group, value), group, probs, value)
 
 
-def box_stats(long: DataFrame, group: list[str] | None = None) -> DataFrame:
+def box_stats(long: DataFrame, group: list[str] | None = None, weight: str | None = None) -> DataFrame:
     """Per channel: quartiles, IQR, whiskers (extreme values within 1.5 IQR
     of the box) and the number of outliers, all from the counted different
     values."""
     g = [*(group or []), "channel"]
-    r = counted_values(long, g)
+    r = counted_values(long, g, weight=weight)
     q = quantiles_from_counts(r, g, [0.25, 0.5, 0.75])
     wide = q.groupBy(*g).agg(F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
                              F.max(F.when(F.col("p") == 0.5, F.col("q"))).alias("median"),
@@ -147,7 +153,8 @@ def automatic_bins(long: DataFrame, group: list[str] | None = None) -> DataFrame
     return n.join(_per_group(iqr, g), g).select(*g, bins.cast("int").alias("bins"))
 
 
-def histogram(long: DataFrame, bins: int = 30, group: list[str] | None = None) -> DataFrame:
+def histogram(long: DataFrame, bins: int = 30, group: list[str] | None = None,
+              weight: str | None = None) -> DataFrame:
     """Equal-width bins over [min, max] per channel, the last bin closed;
     every bin is reported, empty ones with count 0."""
     g = [*(group or []), "channel"]
@@ -156,7 +163,7 @@ def histogram(long: DataFrame, bins: int = 30, group: list[str] | None = None) -
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("value") - F.col("lo")) / width * bins), F.lit(bins - 1))).cast("int")
     counts = long.join(_per_group(rng, g), g).where(F.col("value").isNotNull()).groupBy(*g, b.alias("bin")).agg(
-        F.count("*").alias("count"))
+        _number(weight).alias("count"))
     all_bins = rng.select(*g, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return (all_bins.join(counts, [*g, "bin"], "left")
             .select(*g, "bin",

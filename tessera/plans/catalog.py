@@ -16,7 +16,8 @@ from tessera.operators import order as O
 from tessera.operators import score as SC
 from tessera.operators import stats as ST
 from tessera.operators import running as RN
-from tessera.operators.windows import count_windows, melt, window_cells, window_keys, windows_from_grid, zscore_features
+from tessera.operators.windows import (count_windows, melt, window_cells, window_ids, window_keys, windows_from_grid,
+                                       zscore_features)
 from tessera import schemas as SCH
 from tessera.session import scratch_path
 from tessera.streaming import consumer as CS
@@ -306,6 +307,14 @@ def _long_values(spark, sf):
     return melt(_cells(spark, sf), CH, ["subject_id", "device", "activity", "k", "j"])
 
 
+def _weighted_values(spark, sf):
+    """Long rows of the aligned grid, each with the number ``w`` of windows
+    that hold it: counts over windows without copying rows to them."""
+    a = T.align(_grid(spark, sf), SPEC)
+    a = a.withColumn("w", F.size(window_ids(F.col("i"), F.col("n"), SIZE, STEP)).cast("long"))
+    return melt(a.where(F.col("w") > 0), CH, ["w"])
+
+
 def _r6(df):
     return df.select(*[round6(c).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
@@ -327,11 +336,11 @@ def q_corr_matrix(spark, sf):
 
 
 def q_box_stats(spark, sf):
-    return _r6(ST.box_stats(_long_values(spark, sf)))
+    return _r6(ST.box_stats(_weighted_values(spark, sf), weight="w"))
 
 
 def q_histogram(spark, sf):
-    return _r6(ST.histogram(_long_values(spark, sf), bins=30))
+    return _r6(ST.histogram(_weighted_values(spark, sf), bins=30, weight="w"))
 
 
 def q_standardize(spark, sf):
