@@ -37,6 +37,15 @@ def crc_mod(doc_id: str, m: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % F.lit(m)
 
 
+def packed(df: DataFrame, text: str) -> tuple[DataFrame, int]:
+    """All columns of ``df`` in one struct ``row``, so that names of an
+    operator's outputs cannot clash with them, and the place of the text
+    in it (as a string)."""
+    quoted = {c: F.col("`" + c.replace("`", "``") + "`") for c in df.columns}
+    columns = [x.cast("string").alias(c) if c == text else x for c, x in quoted.items()]
+    return df.select(F.struct(*columns).alias("row")), df.columns.index(text)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column; NULL as the empty text."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

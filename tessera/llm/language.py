@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from .common import packed
+
 SIZES = (2, 3, 4)
 HASHES = 3
 #: Filter rows for each n-gram kept.
@@ -183,7 +185,7 @@ def fit(train: DataFrame, sample: int = SAMPLE) -> Filter:
                          for name in sorted(size)])
 
 
-def _predictor(filter: Filter):
+def _predictor(filter: Filter, text: int):
     names = np.array([*filter.languages, UNKNOWN], dtype=object)
     false = filter.false_positives()
 
@@ -195,12 +197,12 @@ def _predictor(filter: Filter):
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            texts = batch.column(0).field(text).to_pylist()
             counts = np.zeros((len(texts), len(filter.languages)), np.int64)
             n = np.zeros(len(texts), np.int64)
             waiting, owner, held = [], [], 0
-            for i, text in enumerate(texts):
-                for h in grams(text or ""):
+            for i, t in enumerate(texts):
+                for h in grams(t or ""):
                     if len(h):
                         waiting.append(h)
                         owner.append(i)
@@ -216,8 +218,8 @@ def _predictor(filter: Filter):
                 best, score = np.zeros(len(texts), np.int64), np.zeros(len(texts))
             best, score = np.where(n > 0, best, len(filter.languages)), np.where(n > 0, score, 0.0)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(names[best], pa.string()), pa.array(score, pa.float64())],
-                names=[*batch.schema.names[1:], "lang_pred", "score"])
+                [batch.column(0), pa.array(names[best], pa.string()), pa.array(score, pa.float64())],
+                names=["row", "lang_pred", "score"])
 
     return predict
 
@@ -225,8 +227,7 @@ def _predictor(filter: Filter):
 def predict(df: DataFrame, filter: Filter, text: str = "text") -> DataFrame:
     """The columns of ``df`` in a struct ``row``, ``lang_pred`` and
     ``score``.  No shuffle."""
-    rows = df.select(F.col(f"`{text}`").cast("string").alias("text"),
-                     F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    rows, place = packed(df, text)
     schema = StructType([rows.schema["row"], StructField("lang_pred", StringType()),
                          StructField("score", DoubleType())])
-    return rows.mapInArrow(_predictor(filter), schema)
+    return rows.mapInArrow(_predictor(filter, place), schema)

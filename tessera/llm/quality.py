@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import utf8
+from .common import packed, utf8
 
 SAMPLE = 20_000
 #: Shrinkage towards the pooled covariance and towards the diagonal; floor of a variance.
@@ -126,7 +126,7 @@ class Model(NamedTuple):
 def fit_model(x: np.ndarray, y: np.ndarray) -> Model:
     """Means, shrunk covariances and the logistic curve."""
     share = y.mean() if len(y) else 0.5
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         prior = np.clip(share, 1e-6, 1 - 1e-6)
         return Model(np.zeros((0, 0)), np.zeros((0, 0, 0)), np.zeros(0), (0.0, float(np.log(prior / (1 - prior)))))
     groups = [x[y == k] for k in (0, 1)]
@@ -181,10 +181,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return fit_model(rows[FEATURES].to_numpy(float), rows["quality"].to_numpy(float))
 
 
-def _scorer(model: Model):
+def _scorer(model: Model, text: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(utf8(batch.column(1)))
+            x = _matrix(utf8(batch.column(0).field(text)))
             s = model.score(x) if len(x) else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], names=["row", "score"])
 
@@ -194,6 +194,5 @@ def _scorer(model: Model):
 def scores(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The columns of ``df`` in a struct ``row``, and ``score``.  No
     shuffle."""
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-                     F.col(f"`{text}`").cast("string").alias("text"))
-    return rows.mapInArrow(_scorer(model), StructType([rows.schema["row"], StructField("score", DoubleType())]))
+    rows, place = packed(df, text)
+    return rows.mapInArrow(_scorer(model, place), StructType([rows.schema["row"], StructField("score", DoubleType())]))

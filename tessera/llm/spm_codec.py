@@ -30,14 +30,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import BATCH_BYTES, Memo, runs, utf8
+from .common import BATCH_BYTES, Memo, packed, runs, utf8
 
 SPACE = "▁"
 #: Segments a worker remembers (per generation), and their longest length.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 MEMO_BYTES = 48
 
 CODE = "ids array<int>, starts array<int>, ends array<int>, ids_le binary, decoded string"
@@ -211,28 +210,28 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
 
 
-def _coder(path: str, bos: bool, eos: bool, keep: int):
+def _coder(path: str, bos: bool, eos: bool, text: int):
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         first = [c.lib.bos_id()] if bos else []
         last = [c.lib.eos_id()] if eos else []
         for batch in batches:
-            texts = utf8(batch.column(keep))
+            texts = utf8(batch.column(0).field(text))
             # an id array takes several times the text's bytes
             for start, stop in runs([len(t) for t in texts], BATCH_BYTES // 2):
                 ids, starts, ends, decoded = [], [], [], []
-                for text in texts[start:stop]:
-                    i, s, e = c.encode(text)
+                for t in texts[start:stop]:
+                    i, s, e = c.encode(t)
                     i = np.concatenate([first, i, last]).astype("<u4")
                     ids.append(i)
-                    starts.append(np.concatenate([[0] * bos, s, [len(text)] * eos]))
-                    ends.append(np.concatenate([[0] * bos, e, [len(text)] * eos]))
+                    starts.append(np.concatenate([[0] * bos, s, [len(t)] * eos]))
+                    ends.append(np.concatenate([[0] * bos, e, [len(t)] * eos]))
                     decoded.append(c.decode(i))
                 part = batch.slice(start, stop - start)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:keep], _lists(ids), _lists(starts), _lists(ends),
+                    [part.column(0), _lists(ids), _lists(starts), _lists(ends),
                      pa.array([i.tobytes() for i in ids], pa.binary()), pa.array(decoded, pa.string())],
-                    names=[*part.schema.names[:keep], "ids", "starts", "ends", "ids_le", "decoded"])
+                    names=["row", "ids", "starts", "ends", "ids_le", "decoded"])
 
     return code
 
@@ -245,7 +244,6 @@ def encode(df: DataFrame, path: str, text: str = "text", bos: bool = True, eos:
     the ids as little-endian unsigned 32-bit integers; ``decoded``, what
     the library decodes the ids to.  No shuffle.
     """
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-                     F.col(f"`{text}`").cast("string").alias("text"))
+    rows, place = packed(df, text)
     schema = StructType([rows.schema["row"], *StructType.fromDDL(CODE).fields])
-    return rows.mapInArrow(_coder(path, bos, eos, 1), schema)
+    return rows.mapInArrow(_coder(path, bos, eos, place), schema)
