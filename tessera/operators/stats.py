@@ -13,8 +13,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tessera.operators.running import running_sums
+from tessera.session import checkpoint_dir
 
 
 def array_summary(long: DataFrame, channels: int, size: int) -> DataFrame:
@@ -60,6 +61,10 @@ def corr_matrix(wide: DataFrame, channels: list[str]) -> DataFrame:
     return one.select(F.explode(pairs).alias("p")).select("p.c1", "p.c2", "p.corr")
 
 
+#: Name of a constant group.
+ONE_GROUP = "_g"
+
+
 def _per_group(stats: DataFrame, group: list[str]) -> DataFrame:
     """The per-group statistics side of a join back to the values.
 
@@ -68,7 +73,7 @@ def _per_group(stats: DataFrame, group: list[str]) -> DataFrame:
     channel keys would put a whole channel into one task.  With wider
     groups its size grows with the data, so the join is left to the
     planner (AQE broadcasts it at run time if small, else sort-merge)."""
-    return F.broadcast(stats) if list(group) == ["channel"] else stats
+    return F.broadcast(stats) if list(group) in (["channel"], [ONE_GROUP]) else stats
 
 
 def _number(weight: str | None) -> Column:
@@ -77,35 +82,45 @@ def _number(weight: str | None) -> Column:
 
 
 def counted_values(long: DataFrame, group: list[str], value: str = "value", weight: str | None = None) -> DataFrame:
-    """Different values of each group with their number ``c`` and the number
-    of values up to and including them, ``cum`` (NULL and NaN left out).
-    A row counts ``weight`` times where that is given.
+    """Different values of each group with their number ``c`` (NULL and NaN
+    left out), sorted by (group, value) over range partitions ``_pid`` and
+    checkpointed.  A row counts ``weight`` times where that is given.
 
     Equal values become one row before anything is sorted, so a value that
-    most rows share costs one row; the running count sorts by (group,
-    value) over range partitions."""
+    most rows share costs one row."""
     v = F.col(value)
     counts = (long.where(v.isNotNull() & ~F.isnan(v)).groupBy(*group, value)
               .agg(_number(weight).alias("c")))
-    return running_sums(counts, group, [value], {"cum": F.col("c")})
+    checkpoint_dir(long.sparkSession)
+    return counts.orderBy(*group, value).withColumn("_pid", F.spark_partition_id()).checkpoint()
 
 
 def quantiles_from_counts(counted: DataFrame, group: list[str], probs: list[float],
                           value: str = "value") -> DataFrame:
     """(group..., p, q) from ``counted_values``: the order statistics around
-    ``p * (n - 1)``, interpolated linearly.  A value knows the positions it
-    holds, so both are found in one aggregate; nothing is joined but the
-    groups' sizes."""
-    n = counted.groupBy(*group).agg(F.sum("c").alias("_n"))
-    j = counted.join(_per_group(n, group), group)
-    ps = F.array(*[F.lit(float(p)) for p in probs])
-    j = j.select(*group, value, "c", "cum", "_n", F.explode(ps).alias("p"))
+    ``p * (n - 1)``, interpolated linearly.
+
+    The totals of the partitions (one row a partition and group) tell which
+    partition holds a position; only those are counted through."""
+    at = ["_pid", *group]
+    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    parts = counted.groupBy(*at).agg(F.sum("c").alias("_t"))
+    parts = parts.select(*at, "_t", (F.sum("_t").over(before) - F.col("_t")).alias("_o"),
+                         F.sum("_t").over(Window.partitionBy(*group)).alias("_n"))
     h = F.col("p") * (F.col("_n") - 1).cast("double")
-    holds = lambda pos: (pos >= F.col("cum") - F.col("c")) & (pos < F.col("cum"))
-    lo, hi = F.floor(h), F.ceil(h)
-    q = j.groupBy(*group, "p").agg(F.max(F.when(holds(lo), F.col(value))).alias("_vlo"),
-                                   F.max(F.when(holds(hi), F.col(value))).alias("_vhi"),
-                                   F.max(h - lo).alias("_f"))
+    want = (parts.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+            .withColumns({"_lo": F.floor(h), "_f": h - F.floor(h), "_hi": F.ceil(h)})
+            .withColumn("_pos", F.explode(F.array_distinct(F.array("_lo", "_hi"))))
+            .where((F.col("_pos") >= F.col("_o")) & (F.col("_pos") < F.col("_o") + F.col("_t")))
+            .select(*at, "p", "_lo", "_hi", "_f", "_pos", "_o"))
+    rows = counted.join(_per_group(want.select(*at).distinct(), group), at, "left_semi")
+    run = Window.partitionBy(*at).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.select(*at, value, "c", F.sum("c").over(run).alias("_cum"))
+    end = F.col("_o") + F.col("_cum")
+    got = rows.join(_per_group(want, group), at).where((F.col("_pos") >= end - F.col("c")) & (F.col("_pos") < end))
+    q = got.groupBy(*group, "p").agg(F.max(F.when(F.col("_pos") == F.col("_lo"), F.col(value))).alias("_vlo"),
+                                     F.max(F.when(F.col("_pos") == F.col("_hi"), F.col(value))).alias("_vhi"),
+                                     F.max("_f").alias("_f"))
     return q.select(*group, "p", (F.col("_vlo") + F.col("_f") * (F.col("_vhi") - F.col("_vlo"))).alias("q"))
 
 

@@ -85,7 +85,7 @@ def test_values_that_most_rows_share_fill_no_partition(spark):
                                       F.when(F.col("id") % 10 < 9, 0.0).otherwise(F.col("id").cast("double")).alias("value"))
     r = ST.counted_values(long, ["channel"])
     sizes = [x["count"] for x in r.groupBy(F.spark_partition_id().alias("p")).count().collect()]
-    assert sum(sizes) == 6001 and r.agg(F.max("cum")).first()[0] == 60_000
+    assert sum(sizes) == 6001 and r.agg(F.sum("c")).first()[0] == 60_000
     values = np.array([x["value"] for x in long.collect()])
     got = {x["p"]: x["q"] for x in ST.exact_quantiles(long, ["channel"], [0.0, 0.25, 0.9, 0.95, 0.999, 1.0]).collect()}
     for p, q in got.items():
