@@ -36,7 +36,7 @@ from .common import BATCH_BYTES, Memo, packed, runs, utf8
 
 SPACE = "▁"
 #: Segments a worker remembers (per generation), and their longest length.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 MEMO_BYTES = 48
 
 CODE = "ids array<int>, starts array<int>, ends array<int>, ids_le binary, decoded string"
