@@ -359,26 +359,49 @@ def interpolate(seg: DataFrame, bb: DataFrame, spec: SeriesSpec,
     return j.select(*spec.key, spec.sensor, "_bucket", "i", "n", *vals, *(keep or []))
 
 
-def interpolation_error(seg: DataFrame, bb: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Interpolation check: every grid value is computed a second way, as
-    ``v1 + (t_i - t1) * slope`` with the grid time clamped to the segment
-    (the clamped ``interp`` form), and compared with the resampled value.
+def interpolation_error(grid: DataFrame, deduped: DataFrame, ok_bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Check a stored grid against a fresh interpolation of the readings.
+
+    The readings around every grid time are looked up anew, by order: grid
+    times and readings of a (series, time bucket) are sorted together, and
+    the last reading before and the first one after a grid time are its
+    bracket (from the nearest bucket with readings where its own has none
+    on that side).  Nothing of the resampling's index arithmetic is used.
     Output: key, sensor, n_points and, per axis, the largest absolute
-    difference.  Same segment join as ``interpolate``, so it scales the
-    same way (no series is gathered into one task)."""
-    g = interpolate(seg.withColumn("_t1", F.col("t")).withColumn("_t2", F.col("t2"))
-                    .withColumns({f"_{x}1": F.col(x) for x in spec.axes})
-                    .withColumns({f"_{x}2": F.col(f"{x}_2") for x in spec.axes}),
-                    bb, spec, keep=["a", "b", "_t1", "_t2", *[f"_{x}{e}" for x in spec.axes for e in (1, 2)]])
-    a, b, n = F.col("a"), F.col("b"), F.col("n")
-    ti = a.cast("double") + F.col("i").cast("double") * (b - a).cast("double") / (n - 1).cast("double")
-    ti = F.least(F.greatest(ti, F.col("_t1").cast("double")), F.col("_t2").cast("double"))
+    difference."""
+    sk, at = spec.series_key, [*spec.series_key, "_bucket"]
+    bw = F.lit(spec.bucket_width)
+    reading = F.struct(F.col(spec.ts).cast("double").alias("t"), *[F.col(x) for x in spec.axes])
+    r = (deduped if "_bucket" in deduped.columns else with_bucket(deduped, spec)).select(*at, reading.alias("r"))
+    a, n = F.col("a").cast("double"), F.col("n")
+    ti = a + F.col("i").cast("double") * (F.col("b") - F.col("a")).cast("double") / (n - 1).cast("double")
+    g = (grid.select(*sk, "i", *[F.col(x).alias(f"_g_{x}") for x in spec.axes])
+         .join(ok_bounds.select(*spec.key, "a", "b", "n"), on=list(spec.key)).withColumn("t", ti)
+         .withColumn("_bucket", F.floor(F.col("t") / bw).cast("long")))
+    none = F.lit(None)
+    rows = r.select(*at, F.col("r.t").alias("t"), "r", none.cast("long").alias("i"),
+                    *[none.cast("double").alias(f"_g_{x}") for x in spec.axes])
+    kind = rows.schema["r"].dataType
+    rows = rows.unionByName(g.select(*at, "t", none.cast(kind).alias("r"), "i", *[f"_g_{x}" for x in spec.axes]))
+    # first and last reading of every bucket that has a row, and of the nearest ones on both sides
+    ends = rows.groupBy(*at).agg(F.min("r").alias("f"), F.max("r").alias("l"))
+    series = Window.partitionBy(*sk).orderBy("_bucket")
+    ends = ends.select(*at, F.last("l", True).over(series.rowsBetween(Window.unboundedPreceding, -1)).alias("_p"),
+                       F.first("f", True).over(series.rowsBetween(1, Window.unboundedFollowing)).alias("_q"))
+    # a reading comes before a grid time that falls on it
+    w = Window.partitionBy(*at).orderBy("t", F.col("r").isNull())
+    rows = rows.select("*", F.last("r", True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_before"),
+                       F.first("r", True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("_after"))
+    rows = (rows.where(F.col("i").isNotNull()).join(ends, at)
+            .withColumns({"p": F.coalesce("_before", "_p"), "q": F.coalesce("_after", "_q")}))
+    span = F.col("q.t") - F.col("p.t")
     errs = []
     for x in spec.axes:
-        slope = (F.col(f"_{x}2") - F.col(f"_{x}1")) / (F.col("_t2") - F.col("_t1")).cast("double")
-        again = F.col(f"_{x}1") + (ti - F.col("_t1").cast("double")) * slope
-        errs.append(F.max(F.abs(F.col(x) - again)).alias(f"max_err_{x}"))
-    return g.groupBy(*spec.key, spec.sensor).agg(F.count("*").alias("n_points"), *errs)
+        on_line = F.col(f"p.{x}") + (F.col(f"q.{x}") - F.col(f"p.{x}")) * ((F.col("t") - F.col("p.t")) / span)
+        again = F.when(F.col("q").isNull() | (span == 0), F.col(f"p.{x}")).when(
+            F.col("p").isNull(), F.col(f"q.{x}")).otherwise(on_line)
+        errs.append(F.max(F.abs(F.col(f"_g_{x}") - again)).alias(f"max_err_{x}"))
+    return rows.groupBy(*spec.key, spec.sensor).agg(F.count("*").alias("n_points"), *errs)
 
 
 def resample(deduped: DataFrame, spec: SeriesSpec, bounds: DataFrame | None = None,

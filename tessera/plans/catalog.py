@@ -124,8 +124,8 @@ def q_interp_error(spark, sf):
     dd = _deduped(spark, sf)
     summary = T.bucket_summary(dd, SPEC)
     bounds = T.bounds_from_buckets(summary, SPEC)
-    bb = T.bounds_by_bucket(T.eligible(T.classify(bounds, SPEC), SPEC), bounds, SPEC)
-    e = T.interpolation_error(T.segments(dd, SPEC, summary), bb, SPEC)
+    grid = T.resample(dd, SPEC, bounds, summary)
+    e = T.interpolation_error(grid, dd, T.eligible(T.classify(bounds, SPEC), SPEC), SPEC)
     return e.select(*KEY, "sensor", "n_points", *[round6(f"max_err_{x}").alias(f"max_err_{x}") for x in SPEC.axes])
 
 

@@ -58,6 +58,19 @@ def test_one_far_off_reading_leaves_the_other_series_as_they_are(spark):
     assert alone and both == alone and not none and rejected == {"bad": "sparse"}
 
 
+def test_a_stored_grid_with_errors_is_found_out(spark):
+    rows = [(k, s, t, math.sin(t / 900), float(t)) for k in ("u", "v") for s in ("a", "b")
+            for t in [*range(0, 9000, 37), *range(31000, 40000, 11)]]  # a gap over several buckets
+    dd = T.dedupe(T.with_bucket(spark.createDataFrame(rows, SCHEMA), SPEC), SPEC)
+    bounds = T.classify(T.overlap_bounds(dd, SPEC), SPEC)
+    grid, ok = T.resample(dd, SPEC, bounds), T.eligible(bounds, SPEC)
+    for r in T.interpolation_error(grid, dd, ok, SPEC).collect():
+        assert r["max_err_x"] < 1e-9 and r["max_err_y"] < 1e-6 and r["n_points"] == 3999
+    wrong = grid.withColumn("x", F.when((F.col("sid") == "u") & (F.col("i") == 2000), F.col("x") + 0.25).otherwise(F.col("x")))
+    got = {(r["sid"], r["sensor"]): r["max_err_x"] for r in T.interpolation_error(wrong, dd, ok, SPEC).collect()}
+    assert got["u", "a"] == pytest.approx(0.25) and got["v", "a"] < 1e-9
+
+
 def test_ranges_are_expanded_in_bounded_steps(spark, monkeypatch):
     monkeypatch.setattr(T, "EXPAND", 7)
     df = spark.createDataFrame([(0, 20), (5, 5), (13, 29)], "lo long, hi long")
