@@ -37,6 +37,17 @@ def crc_mod(doc_id: str, m: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % F.lit(m)
 
 
+#: Columns that tell rows of documents apart, NULL ids too.
+ROW_KEY = ["__id", "__null", "__text"]
+
+
+def row_key(text_hash: Column) -> list[Column]:
+    """``ROW_KEY`` of a row by its ``doc_id`` and its text's hash; never
+    NULL, so that it joins and groups like any key."""
+    return [F.coalesce(F.col("doc_id"), F.lit(0)).alias("__id"), F.col("doc_id").isNull().alias("__null"),
+            text_hash.alias("__text")]
+
+
 def packed(df: DataFrame, text: str) -> tuple[DataFrame, int]:
     """All columns of ``df`` in one struct ``row``, so that names of an
     operator's outputs cannot clash with them, and the place of the text

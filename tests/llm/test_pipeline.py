@@ -60,6 +60,28 @@ def test_mixing_stage_follows_the_rates(spark, sf_small, stages):
     assert ids(stages[4]) == sorted(want)
 
 
+def test_mixing_stage_keeps_clean_documents(spark, tmp_path):
+    # next to no low document is left: the clean ones must not go with them
+    rows = [(i if i % 3 else None, f"lovely words number x{i} of some text", "en", "s", 9) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, 0, int(i != 1)) for i in range(300) if i % 3], "doc_id long, toxic int, quality int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    kept = corpus_pipeline.mix(spark, docs, str(tmp_path))
+    assert kept.where("doc_id <> 1").distinct().count() > 0.95 * 199
+
+
+def test_mixing_stage_draws_rows_without_an_id(spark, tmp_path, monkeypatch):
+    rows = [(i if i % 2 else None, ("awful " if i % 4 < 2 else "lovely ") + f"text x{i}", "en", "s", 9) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(i, int(i % 4 < 2), 1) for i in range(400) if i % 2], "doc_id long, toxic int, quality int"
+                          ).write.parquet(str(tmp_path / "labels.parquet"))
+    monkeypatch.setattr(queries, "TARGETS", {"clean": 0.9, "toxic": 0.1})
+    kept = corpus_pipeline.mix(spark, docs, str(tmp_path)).where("doc_id IS NULL")
+    toxic = kept.where("text LIKE 'awful%'").count()
+    assert 0 < toxic < 60  # of 100
+    assert kept.count() - toxic > 150  # of 100, repeated
+
+
 def test_last_stage_encodes_what_is_left(stages):
     import sentencepiece
 

@@ -71,6 +71,31 @@ def test_mixing_learns_domains_and_meets_targets(spark):
     assert min(r["rate"] for r in rows if r["doc_id"] % 4) > 0.95
 
 
+def _members(spark, masses):
+    """Documents of ten tokens that lie in one domain each."""
+    rows = [(10 * i, [float(i == j) for j in range(len(masses))]) for i, n in enumerate(masses) for _ in range(n)]
+    return spark.createDataFrame([(n, 10, p) for n, (_, p) in enumerate(rows)], "doc_id long, tokens long, p array<double>")
+
+
+@pytest.mark.parametrize("masses, want", [
+    ([900, 20, 80], [0.9 / 0.9, 0.06 / 0.02, 0.04 / 0.08]),  # scarce, but enough to aim at: repeated
+    ([910, 2, 88], [0.998 * 0.9 / 0.94 / 0.91, 1.0, 0.998 * 0.04 / 0.94 / 0.088]),  # next to nothing: kept as it is
+])
+def test_a_scarce_domain_does_not_shrink_the_mix(spark, masses, want):
+    rates = mixing.fit_rates(_members(spark, masses), ["clean", "low", "toxic"], queries.TARGETS, most=None)
+    got = [r["r"] for r in rates.groupBy("p").agg(F.avg("rate").alias("r")).orderBy(F.desc("p")).collect()]
+    assert np.allclose(got, want, rtol=0.05)
+    tokens = rates.agg(F.sum(F.col("rate") * F.col("tokens"))).first()[0]
+    assert tokens > 0.95 * 10 * sum(masses)
+
+
+def test_priors_are_those_of_the_documents_present(spark):
+    docs = spark.createDataFrame([(i, "some words x%d" % i) for i in range(100)], "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "low" if i >= 95 else "clean") for i in range(1000)], "doc_id long, domain string")
+    model = mixing.fit_classifier(docs, labelled)
+    assert np.allclose(np.exp(model.priors), [0.95, 0.05])
+
+
 def test_mixing_odd_and_empty(spark, odd, empty):
     labelled = spark.createDataFrame([(2, "a"), (3, "b"), (99, None), (None, "a")], "doc_id long, domain string")
     for labels in (labelled, labelled.limit(0)):
