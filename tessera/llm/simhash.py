@@ -89,17 +89,18 @@ def _fingerprints(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t, n) for t in utf8(batch.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))],
-                                             names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(prints.view(np.int64))],
+                                             names=["doc_id", "text_hash", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a long), materialised: 16 bytes
-    a document, so texts are hashed once."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return cut(rows.mapInArrow(_fingerprints(n), "doc_id long, fp long"))
+    """``doc_id``, ``text_hash`` and ``fp`` (the 64 bits as a long),
+    materialised: 24 bytes a document, so texts are hashed once."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       F.xxhash64("text").alias("text_hash"))
+    return cut(rows.mapInArrow(_fingerprints(n), "doc_id long, text_hash long, fp long"))
 
 
 # ---- comparison within runs of equal keys ------------------------------
@@ -323,5 +324,16 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS) ->
     return prints.join(label, "fp").select("doc_id", hex16("fp").alias("fingerprint"), "component_id")
 
 
+def survivors(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``doc_id`` and ``text_hash`` of one row of every component: the
+    smallest ``doc_id`` (NULL last), of its texts the one with the smallest
+    hash."""
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    best = fingerprints(docs, n).groupBy("fp").agg(F.min(row).alias("row"))
+    members = components(links(best.select("fp"), radius)).withColumnRenamed("node", "fp")
+    whole = best.join(members, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("row").alias("row"))
+    return whole.select("row.doc_id", "row.text_hash")
+
+
 def hex16(fp: str) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

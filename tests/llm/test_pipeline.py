@@ -54,6 +54,16 @@ def test_near_duplicate_stage_keeps_one_of_each_group(stages):
     assert ids(stages[3]) == sorted(set(found.values()))
 
 
+def test_near_duplicate_stage_goes_by_rows(spark, sf_small):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(40)) for w in ("alpha", "beta", "gamma", "delta"))
+    rows = [(3, a), (7, a), (7, b), (9, b), (9, c), (9, c), (None, a), *[(None, d)] * 50, (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, sf_small).collect()
+    kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in got)
+    assert kept == [(0, ""), (0, d), (3, a), (7, b), (9, c)]
+
+
 def test_mixing_stage_follows_the_rates(spark, sf_small, stages):
     rates, _ = mixing.mix(stages[3], queries.labelled(spark, sf_small), queries.TARGETS)
     want = [r["doc_id"] for r in rates.withColumn("n", mixing.copies(F.col("rate"), F.col("doc_id"))).collect() if r["n"]]
