@@ -138,6 +138,37 @@ def test_notices_find_every_planted_line(documents, texts):
     assert want <= got and {i for i, _ in got} == {i for i, _ in want}
 
 
+def _found(text):
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    return [(n.license, not n.missing and not n.added) for _, n in scanner.scan(text.encode())]
+
+
+@pytest.mark.parametrize("name", sorted(licenses.TEMPLATES))
+def test_wrapped_notices_are_found_word_for_word(name):
+    import textwrap
+
+    around = ["Nothing of note is said in the lines here.", "", "And so on it goes for the rest of the file."]
+    for width in (20, 70, 76, 80):
+        for prefix in ("", "# ", "// ", " * ", "-- ", ";; "):
+            lines = textwrap.wrap(licenses.TEMPLATES[name], width, break_on_hyphens=False, break_long_words=False)
+            text = "\n".join(prefix + x for x in [*around[:2], *lines, *around[1:]])
+            assert _found(text) == [(name, True)], (width, prefix)
+
+
+@pytest.mark.parametrize("name", sorted(licenses.TEMPLATES))
+def test_notices_are_found_at_any_distance_from_another_cue(name):
+    for gap in range(0, 260, 9):
+        for pieces in (("licences", licenses.TEMPLATES[name]), (licenses.TEMPLATES[name], "licences")):
+            assert _found(f" {'word ' * gap}".join(pieces)) == [(name, True)], gap
+
+
+def test_notices_are_found_in_long_runs_of_cues():
+    header, mit = licenses.TEMPLATES["apache-2.0-header"], licenses.TEMPLATES["mit"]
+    many = [mit, header, "Permission and licence of all kinds.", "All rights reserved."] * 60
+    want = [n for n in ("mit", "apache-2.0-header", None, "all-rights-reserved") if n] * 60
+    assert _found(" ".join(many)) == [(n, True) for n in want]
+
+
 def test_compression_ranks_the_right_template_first():
     scanner = licenses.Scanner(licenses.TEMPLATES)
     for name, text in licenses.TEMPLATES.items():
