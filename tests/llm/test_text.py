@@ -169,6 +169,17 @@ def test_notices_are_found_in_long_runs_of_cues():
     assert _found(" ".join(many)) == [(n, True) for n in want]
 
 
+def test_a_long_form_does_not_hide_a_short_one():
+    warranty = ("The software is provided as is, without warranty of any kind, express or implied, including but not limited "
+                "to the warranties of merchantability, fitness for a particular purpose and noninfringement.")
+    assert _found(f"Copyright 2020 by the authors of this file. {licenses.TEMPLATES['mit']} {warranty}") == [("mit", True)]
+    text = ("Copyright 2019 the original author or authors, with permission of the copyright holders and of all the "
+            "contributors listed. ")
+    assert _found(text + licenses.TEMPLATES["apache-2.0"]) == [("apache-2.0", True)]
+    for name, notice in licenses.TEMPLATES.items():
+        assert _found(f"{text}{notice} {warranty}") == [(name, True)]
+
+
 def test_compression_ranks_the_right_template_first():
     scanner = licenses.Scanner(licenses.TEMPLATES)
     for name, text in licenses.TEMPLATES.items():
