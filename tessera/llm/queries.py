@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
-from . import ann, language, licenses, mixing, quality, sharding, simhash, spm_codec, token_files, topk
+from . import ann, language, licenses, mixing, negatives, quality, sharding, simhash, spm_codec, token_files, topk
 from .common import crc_mod, ship, table
 
 PIECES = "piece_bpe_32k.model"
@@ -111,9 +111,18 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh vector's label is moved on by one."""
+    ship(spark)
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_mixing, op2_license_scan, op3_quality, op4_sharding, op5_sentencepiece,
-                                    op6_nearest, op7_simhash, op8_token_files, op9_language, op10_topk)}
+                                    op6_nearest, op7_simhash, op8_token_files, op9_language, op10_topk,
+                                    op13_hard_negatives)}
 
 
 def topk_sql(k: int = 5, every: int = 50, scale: int = 256) -> str:
@@ -132,4 +141,4 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {k}
 def all_sql() -> dict[str, str]:
     """Queries that SQL expresses; the others are tested against
     brute-force versions."""
-    return {"op4_sharding": sharding.place_sql(), "op10_topk": topk_sql()}
+    return {"op4_sharding": sharding.place_sql(), "op10_topk": topk_sql(), "op13_hard_negatives": negatives.mine_sql()}
