@@ -40,6 +40,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from math import ceil, isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -71,16 +72,28 @@ def integers(x: np.ndarray, scale: int) -> np.ndarray:
     return np.array([[int(Fraction(v) * scale // 1) for v in row] for row in x.tolist()], object)
 
 
+def exact(z: np.ndarray) -> np.ndarray:
+    return np.array([[int(v) for v in row] for row in z.tolist()], object).reshape(z.shape)
+
+
+#: Bounds of scores beyond doubles are integers in units of 1 / ``UNIT``.
+UNIT = 1 << 40
+
+
 def lengths(z: np.ndarray) -> np.ndarray:
-    f = z.astype(float)
-    return np.sqrt((f * f).sum(axis=1))
+    """Lengths of the rows, or integers not below them."""
+    if z.dtype == object:
+        return np.array([isqrt(sum(v * v for v in row)) + 1 for row in z.tolist()], object)
+    return np.sqrt((z * z).sum(axis=1))
 
 
 def directions(z: np.ndarray) -> np.ndarray:
     """Unit vectors; the zero vector stays as it is."""
-    f = z.astype(float)
-    most = np.abs(f).max(axis=1, initial=0)[:, None]
-    f = f / np.where(most > 0, most, 1)
+    if z.dtype == object:
+        most = [max(map(abs, row), default=0) or 1 for row in z.tolist()]
+        z = np.array([[v * UNIT // m for v in row] for row, m in zip(z.tolist(), most)], float).reshape(z.shape)
+    most = np.abs(z).max(axis=1, initial=0)[:, None]
+    f = z / np.where(most > 0, most, 1)
     n = np.sqrt((f * f).sum(axis=1))[:, None]
     return f / np.where(n > 0, n, 1)
 
@@ -114,16 +127,19 @@ class Block:
         u = directions(members)
         c = u.sum(axis=0)
         n = np.sqrt(c @ c)
-        if not n > 0:
-            bound = self.length
-        else:
+        share = np.ones(len(self.ids))
+        if n > 0:
             c = c / n
             # a zero member scores 0 with all and needs no angle
             some = np.abs(u).max(axis=1, initial=0) > 0
             theta = np.arccos(np.clip(u[some] @ c, -1, 1)).max(initial=0)
             phi = np.arccos(np.clip(self.unit @ c, -1, 1))
-            bound = self.length * np.cos(np.clip(phi - theta - SLACK, 0, np.pi))
-        bound = bound + np.abs(bound) * GUARD
+            share = np.cos(np.clip(phi - theta - SLACK, 0, np.pi))
+        share = share + np.abs(share) * GUARD
+        if self.length.dtype == object:
+            bound = self.length * np.array([ceil(x * UNIT) for x in share.tolist()], object)
+        else:
+            bound = self.length * share
         order = np.argsort(-bound, kind="stable")
         return order, bound[order]
 
@@ -147,23 +163,25 @@ def walk(block: Block, ids: np.ndarray, labels: np.ndarray, q: np.ndarray, k: in
     kind = object if q.dtype == object or block.z.dtype == object else float
     least = -np.inf if kind is float else -(1 << 2200)
     best = np.full((len(q), bands, k), least, dtype=kind)
+    # a bound of a block beyond doubles is in units, and so is one of such members
+    unit = UNIT if bound.dtype == object else 1
     length = lengths(q)
     open_ = np.arange(len(q))
     if low is not None:
-        open_ = open_[(low <= high).any(axis=1)]
+        open_ = open_[(low <= high).astype(bool).any(axis=1)]
     member, band, place, score = [], [], [], []
     for start in range(0, len(order), STRIDE):
         here = order[start:start + STRIDE]
         if start:
             reach = bound[start] * length[open_]
-            reach = reach + np.abs(reach) * GUARD
+            reach = reach * (1 + GUARD * np.sign(reach)) if unit == 1 else reach
             last = best[open_].min(axis=2)  # of each band
             if low is not None:
                 floor = low[open_] / 100 if kind is float else np.array(
                     [[x // 100 for x in row] for row in low[open_]], object).reshape(len(open_), bands)
                 last = np.maximum(last, floor)
                 last = np.where(low[open_] <= high[open_], last, -least)
-            open_ = open_[(reach[:, None] >= last).any(axis=1)]
+            open_ = open_[(reach[:, None] >= last * unit).astype(bool).any(axis=1)]
         if not len(open_):
             break
         s = q[open_] @ block.z[here].T
@@ -228,6 +246,8 @@ def search(k: int, scale: int, lower: int, upper: int, same: bool):
         t = pa.Table.from_batches(rows)
         ids = t.column("id").to_numpy()
         q = integers(vectors_of(t, "v"), scale)
+        if (q.dtype == object) != (block.z.dtype == object):  # both exact integers, or both doubles
+            q, block = exact(q), block if block.z.dtype == object else Block(block.ids, block.labels, exact(block.z))
         labels = t.column("label").to_numpy()
         low = high = None
         if not same:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
-from . import ann, language, licenses, mixing, negatives, quality, sharding, simhash, spm_codec, token_files, topk
+from . import ann, language, licenses, mixing, negatives, quality, repair, sharding, simhash, spm_codec, token_files, topk
 from .common import crc_mod, ship, table
 
 PIECES = "piece_bpe_32k.model"
@@ -111,6 +111,12 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    ship(spark)
+    return repair.report(repair.edits(repair.damage(table(spark, sf_dir, "conversations"))))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every hundredth vector; every seventh vector's label is moved on by one."""
     ship(spark)
@@ -122,7 +128,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_mixing, op2_license_scan, op3_quality, op4_sharding, op5_sentencepiece,
                                     op6_nearest, op7_simhash, op8_token_files, op9_language, op10_topk,
-                                    op13_hard_negatives)}
+                                    op12_conversation_repair, op13_hard_negatives)}
 
 
 def topk_sql(k: int = 5, every: int = 50, scale: int = 256) -> str:
