@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
 
-from . import ann, language, licenses, mixing, negatives, quality, repair, sharding, simhash, spm_codec, token_files, topk
+from . import ann, language, licenses, mixing, negatives, quality, repair, sharding, simhash, spm_codec, suffix_dedup, token_files, topk
 from .common import crc_mod, ship, table
 
 PIECES = "piece_bpe_32k.model"
@@ -111,6 +111,14 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to passages of 400 bytes that start elsewhere too."""
+    cut = suffix_dedup.remove(_documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every damaged conversation."""
     ship(spark)
@@ -128,7 +136,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_mixing, op2_license_scan, op3_quality, op4_sharding, op5_sentencepiece,
                                     op6_nearest, op7_simhash, op8_token_files, op9_language, op10_topk,
-                                    op12_conversation_repair, op13_hard_negatives)}
+                                    op11_suffix_dedup, op12_conversation_repair, op13_hard_negatives)}
 
 
 def topk_sql(k: int = 5, every: int = 50, scale: int = 256) -> str:
