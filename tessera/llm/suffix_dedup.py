@@ -24,12 +24,13 @@ Shards
     of weight two or more are repeated.
 Merging
     The entries of an anchor that fill more than a shard are dealt over
-    several.  Each sends one row for every class of such entries: a 128-bit
-    digest of its window and its weight, in order of the digest.  These
-    sorted runs are merged, one range of digests in a task, by binary search
-    of every run's digests among all; a class that weighs one in its shard
-    and two or more in the sum is repeated.  A digest stands for 400 bytes,
-    so merging costs the entries' size, not its square.
+    several.  Each makes a sorted run of the classes of such entries: a
+    128-bit digest of the window, its weight and, where that is one, its
+    place.  The runs are cut at the same digests, and a task merges what lies
+    in one range, by binary search of every run's digests among all; a class
+    that weighs one in its shard and two or more in the sum is repeated.  A
+    digest stands for 400 bytes, so merging costs the entries' size, not its
+    square.
 Texts
     The repeated windows of the entries go back to the texts by the texts'
     128-bit hash; texts travel compressed.  A text that over a thousandth of
@@ -61,7 +62,7 @@ SPAN, GRAM = 400, 32
 SHARD = 1 << 20
 #: Bytes of text that are hashed together (a longer text comes in pieces).
 PIECE = 1 << 16
-#: Classes of split anchors that a task merges.
+#: Windows of split anchors that a task merges.
 MERGED = 1 << 20
 #: Texts with more copies than a ``HOT``-th of the rows are split.
 HOT = 1000
@@ -235,9 +236,14 @@ def classes(x: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
 
 # -- shards --------------------------------------------------------------------
 
-def shard(span: int):
+#: A class of a run: digest (in two halves), weight, entry and window.
+CLASS = np.dtype([("high", ">u8"), ("low", ">u8"), ("weight", "<i8"), ("a", "<i8"), ("c", "<i8"), ("offset", "<i4")])
+
+
+def shard(span: int, ranges: int):
     """The function of a shard: its entries -> a bit for each window
-    (``flags``), and the classes of split anchors in order of their digest."""
+    (``flags``), and the run of its classes of split anchors, a row for each
+    of ``ranges`` ranges of digests."""
 
     def run(table: pa.Table) -> pa.Table:
         parts = table.column("bytes").to_pylist()
@@ -261,49 +267,51 @@ def shard(span: int):
         again[at] = weighs[number] >= 2
         flags = [np.packbits(again[b:b + n - span + 1]).tobytes() for b, n in zip(begin.tolist(), size.tolist())]
         some = [i for i, bits in enumerate(flags) if split[i] or any(bits)]
-        rows = [pa.table({"a": a[some], "c": c[some], "flags": pa.array([flags[i] for i in some], pa.binary())})]
+        found = {"a": a[some].tolist(), "c": c[some].tolist(), "flags": [flags[i] for i in some],
+                 "range": [None] * len(some), "run": [None] * len(some)}
         one = split[entry[at]]
         if one.any():
             at, number = at[one], number[one]
-            number, some = np.unique(number, return_index=True)
-            at, total = at[some], weighs[number].astype(np.int64)
-            digest = np.array([xxhash.xxh3_128_digest(text[i:i + span]) for i in at.tolist()], "S16")
-            digest = np.frombuffer(digest.tobytes(), ">u8").reshape(-1, 2).astype(np.uint64).view(np.int64)
-            order = np.lexsort(digest.T[::-1])
-            e = entry[at][order]
-            rows.append(pa.table({"a": a[e], "c": c[e], "high": digest[order, 0], "low": digest[order, 1],
-                                  "offset": (at[order] - begin[e]).astype(np.int32), "weight": total[order],
-                                  "shard": pa.array(np.full(len(e), table.column("shard")[0].as_py()), pa.int32())}))
-        return pa.concat_tables([_wide(r) for r in rows])
+            number, first = np.unique(number, return_index=True)
+            at = at[first]
+            sorted_ = np.zeros(len(at), CLASS)
+            digest = b"".join(xxhash.xxh3_128_digest(text[i:i + span]) for i in at.tolist())
+            halves = np.frombuffer(digest, ">u8").reshape(-1, 2)
+            sorted_["high"], sorted_["low"], sorted_["weight"] = halves[:, 0], halves[:, 1], weighs[number]
+            sorted_["a"], sorted_["c"], sorted_["offset"] = a[entry[at]], c[entry[at]], at - begin[entry[at]]
+            sorted_ = sorted_[np.lexsort([halves[:, 1], halves[:, 0]])]
+            edges = np.searchsorted(sorted_["high"].astype(np.uint64), _cuts(ranges))
+            for i, (m, n) in enumerate(zip([0, *edges], [*edges, len(sorted_)])):
+                if n > m:
+                    for column, value in (("a", None), ("c", None), ("flags", None), ("range", i), ("run", sorted_[m:n].tobytes())):
+                        found[column].append(value)
+        return pa.table(found, schema=_SHARD)
 
     return run
 
 
-_SHARD = pa.schema([("a", pa.int64()), ("c", pa.int64()), ("flags", pa.binary()), ("high", pa.int64()), ("low", pa.int64()),
-                    ("offset", pa.int32()), ("weight", pa.int64()), ("shard", pa.int32())])
-_SHARD_DDL = "a long, c long, flags binary, high long, low long, offset int, weight long, shard int"
+def _cuts(ranges: int) -> np.ndarray:
+    """The digests' first halves at which runs are cut."""
+    return np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
 
 
-def _wide(t: pa.Table) -> pa.Table:
-    """``t`` with all columns of a shard's result."""
-    return pa.table([t.column(f.name).cast(f.type) if f.name in t.column_names else pa.nulls(len(t), f.type)
-                     for f in _SHARD], schema=_SHARD)
+_SHARD = pa.schema([("a", pa.int64()), ("c", pa.int64()), ("flags", pa.binary()), ("range", pa.int64()), ("run", pa.binary())])
+_SHARD_DDL = "a long, c long, flags binary, range long, run binary"
 
 
 def merge(table: pa.Table) -> pa.Table:
-    """Runs of classes (sorted by digest, one a shard) -> the windows that
+    """The runs of one range of digests, one a shard -> the windows that
     weigh one in their shard and more in all."""
-    keys = np.zeros(len(table), [("high", np.int64), ("low", np.int64)])
-    keys["high"], keys["low"] = table.column("high").to_numpy(), table.column("low").to_numpy()
-    weight, of = table.column("weight").to_numpy(), table.column("shard").to_numpy()
-    every = np.unique(keys)
-    total, place = np.zeros(len(every), np.int64), np.zeros(len(keys), np.int64)
-    for run in np.unique(of):
-        rows = np.flatnonzero(of == run)
-        place[rows] = np.searchsorted(every, keys[rows])  # the run's digests among all
-        total[place[rows]] += weight[rows]  # a run holds a digest once
-    more = (weight < 2) & (total[place] >= 2)
-    return table.filter(pa.array(more)).select(["a", "c", "offset"])
+    runs_ = [np.frombuffer(r, CLASS) for r in table.column("run").to_pylist()]
+    keys = [r[["high", "low"]].astype([("high", np.uint64), ("low", np.uint64)]) for r in runs_]
+    every = np.unique(np.concatenate(keys))
+    places = [np.searchsorted(every, k) for k in keys]  # each run's digests among all
+    total = np.zeros(len(every), np.int64)
+    for r, place in zip(runs_, places):
+        total[place] += r["weight"]  # a run holds a digest once
+    found = np.concatenate([r[(r["weight"] < 2) & (total[place] >= 2)] for r, place in zip(runs_, places)])
+    return pa.table({"a": found["a"].astype(np.int64), "c": found["c"].astype(np.int64),
+                     "offset": found["offset"].astype(np.int32)})
 
 
 # -- texts ---------------------------------------------------------------------
@@ -427,12 +435,15 @@ def _cut(span: int):
     return run
 
 
-def joined(many: DataFrame, few: DataFrame, keys: list[str], counts: DataFrame, row: Column, how: str = "inner") -> DataFrame:
+def joined(many: DataFrame, few: DataFrame, keys: list[str], counts: DataFrame, row: Column, how: str = "inner",
+           total: int | None = None) -> DataFrame:
     """``many`` joined with ``few`` (one row a key).  ``counts`` (keys, ``k``)
-    tells the rows of ``many`` by key: a key with over a ``HOT``-th of all is
+    tells the rows of ``many`` by key (those of large keys suffice if the
+    ``total`` is given): a key with over a ``HOT``-th of all is
     split by the hash ``row`` over as many keys as it has ``HOT``-ths; there
     are fewer than ``HOT`` of these, which bounds the broadcast."""
-    total = counts.agg(F.sum("k").alias("s")).first()["s"] or 0
+    if total is None:
+        total = counts.agg(F.sum("k").alias("s")).first()["s"] or 0
     hot = F.broadcast(counts.where(F.col("k") * HOT > total).select(
         *keys, F.ceil(F.col("k") * HOT / F.lit(max(total, 1))).cast("long").alias("ways")))
     ways = F.coalesce("ways", F.lit(1).cast("long"))
@@ -452,10 +463,12 @@ def repeated(docs: DataFrame, span: int, gram: int) -> DataFrame:
     # one text for each different entry, and its shard
     one = found.groupBy("a", "c").agg(F.sum("k").alias("weight"), *[F.first(x).alias(x) for x in ("d1", "d2", "place")])
     one = written(one.withColumn("size", F.col("place").bitwiseAND(511) + (span - 1)), "different")
-    total = one.agg(F.sum("size").alias("s")).first()["s"] or 0
-    large = one.groupBy("a").agg(F.sum("size").alias("all")).where(F.col("all") > SHARD)
+    total, rows = one.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    large = one.groupBy("a").agg(F.sum("size").alias("all"), F.count(F.lit(1)).alias("k")).where(F.col("all") > SHARD)
+    large = written(large, "large")
+    windows = large.agg(F.sum(F.col("all") - F.col("k") * (span - 1)).alias("s")).first()["s"] or 0
     part = F.pmod("c", F.ceil(F.col("all") / SHARD).cast("long"))
-    one = one.join(large, "a", "left").select(
+    one = joined(one, large.select("a", "all"), ["a"], large, F.xxhash64("c"), "left", rows).select(
         "d1", "d2", F.struct(F.pmod(F.xxhash64("a", F.coalesce(part, F.lit(0).cast("long"))),
                                     F.lit(max(1, -(-total // SHARD)))).cast("int").alias("shard"),
                              "a", "c", "weight", F.col("all").isNotNull().alias("split"), "place").alias("w"))
@@ -465,11 +478,10 @@ def repeated(docs: DataFrame, span: int, gram: int) -> DataFrame:
         wanted.alias("w"), (F.col("t.d1") == F.col("w.d1")) & (F.col("t.d2") == F.col("w.d2")) & F.col("t.id").eqNullSafe(F.col("w.i")))
     taken = texts.select("z", "wanted").mapInArrow(
         _take(span), "shard int, a long, c long, weight long, split boolean, bytes binary")
-    judged = written(taken.groupBy("shard").applyInArrow(shard(span), _SHARD_DDL), "judged")
+    judge = shard(span, max(1, -(-windows // MERGED)))
+    judged = written(taken.groupBy("shard").applyInArrow(judge, _SHARD_DDL), "judged")
     # classes of anchors that fill several shards
-    apart = judged.where(F.col("flags").isNull())
-    ranges = max(1, -(-apart.count() // MERGED))
-    more = (apart.withColumn("r", F.pmod("high", F.lit(ranges))).groupBy("r")
+    more = (judged.where(F.col("run").isNotNull()).select("range", "run").groupBy("range")
             .applyInArrow(merge, "a long, c long, offset int")
             .groupBy("a", "c").agg(F.collect_set("offset").alias("more")))
     flags = judged.where(F.col("flags").isNotNull()).select("a", "c", "flags").join(more, ["a", "c"], "left")

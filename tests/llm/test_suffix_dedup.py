@@ -107,15 +107,15 @@ def test_anchors_depend_on_the_window_alone():
 
 def test_merging_adds_the_runs():
     rng = np.random.default_rng(2)
-    rows = []
+    runs, total = [], Counter()
     for run in range(5):
-        keys = rng.choice(200, 80, replace=False)
-        rows += [(int(k) % 3 - 1, int(k), run, int(rng.integers(1, 3))) for k in sorted(keys, key=lambda k: (k % 3, k))]
-    high, low, of, weight = (np.array(c) for c in zip(*rows))
-    t = pa.table({"a": low, "c": of, "high": high, "low": low, "offset": np.arange(len(rows), dtype=np.int32), "weight": weight,
-                  "shard": of.astype(np.int32)})
-    total = Counter()
-    for h, k, _, w in rows:
-        total[h, k] += w
-    want = [i for i, (h, k, _, w) in enumerate(rows) if w < 2 and total[h, k] > 1]
-    assert suffix_dedup.merge(t).column("offset").to_pylist() == want
+        keys = sorted(rng.choice(200, 80, replace=False).tolist(), key=lambda k: (k % 3, k))
+        r = np.zeros(80, suffix_dedup.CLASS)
+        r["high"], r["low"] = [(k % 3) << 62 for k in keys], keys
+        r["weight"], r["a"], r["c"], r["offset"] = rng.integers(1, 3, 80), run, keys, range(80)
+        runs.append(r)
+        for k, w in zip(keys, r["weight"].tolist()):
+            total[k] += w
+    want = [(int(x["a"]), int(x["c"]), int(x["offset"])) for r in runs for x in r if x["weight"] < 2 and total[int(x["c"])] > 1]
+    got = suffix_dedup.merge(pa.table({"run": [r.tobytes() for r in runs]})).to_pylist()
+    assert [tuple(x.values()) for x in got] == want and want
