@@ -63,6 +63,49 @@ def global_rank(df: DataFrame, order: list[Column | str], name: str = "rank",
     return out.drop("_pid", "_mid", "_off", "_tot")
 
 
+#: Consecutive ``k`` whose rows are numbered together.
+SEQUENCE_BLOCK = 1024
+
+
+def sequence_numbers(df: DataFrame, key: list[str], k: str, name: str = "seq", within: dict[str, list[str]] | None = None,
+                     block: int = SEQUENCE_BLOCK) -> DataFrame:
+    """Add each row's 0-based place in the order (key..., k), as
+    ``global_rank`` does, without sorting the rows: the ``k`` of a key are
+    counted in blocks, the blocks' counts are summed up in order by a
+    distributed prefix sum, and a row finds its place in its block.  What is
+    sorted is a row per block; a long key spreads over its blocks.
+
+    ``within`` adds places among the rows that share a prefix of the key:
+    name -> columns.  (key, k) must be unique; NULLs count as keys.  ``df`` is
+    read twice: write it first where it is dear to compute."""
+    from tessera.functions.columns import idiv
+    from tessera.operators.running import running_sums
+
+    at = idiv(F.col(k), F.lit(block)).alias("_block")
+    cols = [*key, "_block"]
+    counted = df.groupBy(*key, at).agg(F.sort_array(F.collect_list(k)).alias("_ks"))
+    sums = running_sums(counted, [], cols, {"_end": F.size("_ks").cast("long")})
+    sums = sums.select(*cols, "_ks", (F.col("_end") - F.size("_ks")).alias("_base"))
+    names = {}
+    for i, (other, prefix) in enumerate((within or {}).items()):
+        starts = sums.groupBy(*prefix).agg(F.min("_base").alias(f"_start_{i}"))
+        sums = null_safe_join(sums, starts, prefix)
+        names[other] = f"_start_{i}"
+    out = null_safe_join(df.withColumn("_block", at), sums, cols)
+    place = F.col("_base") + F.array_position("_ks", F.col(k)) - 1
+    return (out.withColumns({name: place.cast("long"), **{o: (place - F.col(c)).cast("long") for o, c in names.items()}})
+            .drop("_block", "_ks", "_base", *names.values()))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join on equal or both NULL columns."""
+    renamed = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
+    return left.join(renamed, cond).drop(*[f"_on_{c}" for c in on])
+
+
 def split_sizes(n: int, train: float = S.SPLIT_TRAIN, val: float = S.SPLIT_VAL) -> tuple[int, int, int]:
     n_train = math.ceil(train * n)
     n_val = math.floor(val * n)

@@ -18,7 +18,8 @@ from tessera.session import checkpoint_dir
 
 def running_sums(df: DataFrame, key: list[str], order: list[str], values: dict[str, Column]) -> DataFrame:
     """Add, for each name -> expression in ``values``, its cumulative sum
-    over rows of the same key in ``order`` (current row included)."""
+    over rows of the same key in ``order`` (current row included); without a
+    key over all rows."""
     checkpoint_dir(df.sparkSession)
     base = df.select("*", *[e.alias(f"_v_{n}") for n, e in values.items()])
     s = (base.orderBy(*key, *order)

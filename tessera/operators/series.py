@@ -14,11 +14,12 @@ sensor data: subject, device, activity).  The operators here
 Scale notes.  A single series may hold a large share of all rows, so no
 operator puts a whole series into one task: readings are clustered by
 ``(key, sensor, bucket)`` where ``bucket`` is a fixed slice of time.
-The next-reading lookup (``lead``) runs inside a bucket; the one segment
-that crosses a bucket edge is completed from a per-bucket table of first
-readings, which is tiny (one row per bucket).  The per-key bounds are
-joined per bucket as well, so the reading side is never re-shuffled and
-no broadcast is needed whatever the number of keys.
+The next-reading lookup (``lead``) runs inside a bucket; the segments
+that cross a bucket edge come from a table of each bucket's first and last
+reading (one row per bucket with readings), and what they cover is dealt
+over tasks, so that a gap of any length is filled by many.  The per-key
+bounds are joined per bucket as well, so the reading side is never
+re-shuffled and no broadcast is needed whatever the number of keys.
 
 Grid index ranges are computed in exact integer arithmetic on offsets
 from the range start (``decimal(38,0)``), never on absolute float
@@ -28,15 +29,17 @@ float ``ceil`` misplaces points that fall exactly on a reading.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera import schemas as S
 from tessera.functions.columns import idiv
+from tessera.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -52,9 +55,10 @@ class SeriesSpec:
                the grid has n = (b - a) div period points
     min_overlap  shortest accepted common range, timestamp units
     min_count  fewest distinct timestamps per sensor
-    max_fill   most grid points per reading; sparser keys (a reading far off
-               all others would fill the range between with points made of
-               nothing) are rejected
+    max_fill   most grid points per reading, where given: sparser keys (a
+               reading far off all others fills the range between with
+               points made of nothing) are then rejected; by default none
+               is, and long gaps are filled by many tasks
     bucket     width of the time slices that spread one series over tasks;
                default 65,536 grid steps
     """
@@ -67,7 +71,7 @@ class SeriesSpec:
     period: int | Fraction = S.NS_PER_SECOND // S.FREQ_HZ
     min_overlap: int = S.MIN_OVERLAP_NS
     min_count: int = 2
-    max_fill: int = 100_000
+    max_fill: int | None = None
     bucket: int | None = None
     channel_names: tuple[str, ...] = field(default=())
 
@@ -75,6 +79,12 @@ class SeriesSpec:
     def bucket_width(self) -> int:
         return self.bucket if self.bucket else int(self.period * 65_536)
 
+    @property
+    def bucket_points(self) -> int:
+        """Most grid points that a bucket holds (their distance is at least
+        a period)."""
+        return int(self.bucket_width / self.period) + 2
+
     @property
     def channels(self) -> list[str]:
         if self.channel_names:
@@ -102,16 +112,32 @@ def _cdiv(num: Column, n: Column, span: Column) -> Column:
 EXPAND = 65_536
 
 
-def explode_range(df: DataFrame, lo: Column, hi: Column, name: str) -> DataFrame:
-    """One row for every integer from ``lo`` to ``hi`` (``lo <= hi``), in two
-    steps, so that no array holds more than ``EXPAND`` of them."""
-    part = F.col("_part")
-    return (df.withColumns({"_from": lo.cast("long"), "_to": hi.cast("long")})
-            .withColumn("_part", F.explode(F.sequence(idiv(F.col("_from"), F.lit(EXPAND)),
-                                                      idiv(F.col("_to"), F.lit(EXPAND)))))
-            .withColumn(name, F.explode(F.sequence(F.greatest(F.col("_from"), part * EXPAND),
-                                                   F.least(F.col("_to"), part * EXPAND + (EXPAND - 1)))))
-            .drop("_from", "_to", "_part"))
+def explode_range(df: DataFrame, lo: Column, hi: Column, name: str, deal: list[str] | None = None,
+                  most: int | None = None) -> DataFrame:
+    """One row for every integer from ``lo`` to ``hi`` (``lo <= hi``), in
+    three steps (pieces of pieces), so that no array holds more than
+    ``EXPAND`` of them up to ``EXPAND ** 3`` integers a row (in one step if
+    a row has at most ``most``, no more than that).  With ``deal`` the pieces are dealt over tasks by the hash of those columns and the
+    piece's number: a long range is then expanded by many tasks, and what is
+    shuffled is a row for every ``EXPAND`` integers."""
+    if deal is None and most is not None and most <= EXPAND:
+        return df.withColumn(name, F.explode(F.sequence(lo.cast("long"), hi.cast("long"))))
+    start, stop, block = F.col("_from"), F.col("_to"), EXPAND * EXPAND
+
+    def pieces(rows: DataFrame, col: str, size: int, low: Column, high: Column) -> DataFrame:
+        return rows.withColumn(col, F.explode(F.sequence(idiv(low, F.lit(size)), idiv(high, F.lit(size)))))
+
+    # ranges start at zero for the division below (it truncates)
+    rows = df.withColumns({"_base": lo.cast("long"), "_from": F.lit(0).cast("long"), "_to": (hi - lo).cast("long")})
+    rows = pieces(rows, "_block", block, start, stop)
+    at = F.col("_block") * block
+    rows = pieces(rows, "_part", EXPAND, at, F.least(stop, at + (block - 1)))
+    if deal is not None:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartition(n, *deal, "_block", "_part")
+    at, base = F.col("_part") * EXPAND, F.col("_base")
+    return (rows.withColumn(name, F.explode(F.sequence(base + at, base + F.least(stop, at + (EXPAND - 1)))))
+            .drop("_base", "_from", "_to", "_block", "_part"))
 
 
 # ---------------------------------------------------------------------------
@@ -142,31 +168,34 @@ def cluster(readings: DataFrame, spec: SeriesSpec, partitions: int | None = None
     return df.repartition(n, *cols)
 
 
-def clustered_readings(readings: DataFrame, spec: SeriesSpec, partitions: int | None = None,
-                       materialize: bool = False) -> DataFrame:
-    """Cluster and de-duplicate the readings (optionally checkpointed).
+def clustered_readings(readings: DataFrame, spec: SeriesSpec, partitions: int | None = None) -> DataFrame:
+    """Cluster and de-duplicate the readings.
 
     Its consumers in ``resample`` (the segment window and the bucket
     summary, from which the bounds are derived) read the same columns, so
-    Spark reuses one exchange of the readings for both.  ``materialize``
-    writes a reliable checkpoint to the shared checkpoint folder instead:
-    it keeps the hash partitioning (so readers do not shuffle again) and
-    cuts the lineage, for plans that read the readings many more times."""
-    from tessera.session import checkpoint_dir
+    Spark reuses one exchange of the readings for both.  Plans that read the
+    readings many more times take ``kept_readings``."""
+    return dedupe(cluster(readings, spec, partitions), spec)
+
 
+def kept_readings(readings: DataFrame, spec: SeriesSpec, partitions: int | None = None,
+                  table: str | None = None) -> DataFrame:
+    """Clustered, de-duplicated readings kept as a table that is bucketed by
+    (key, sensor, time bucket) and sorted by time, one file a bucket, in the
+    shared folder.  Whatever groups or joins it by those columns, now or in a
+    later plan, shuffles no reading.  ``drop_kept`` forgets it."""
     spark = readings.sparkSession
-    if not materialize:
-        return dedupe(cluster(readings, spec, partitions), spec)
-    checkpoint_dir(spark)
-    # planned without AQE: an adaptive plan reports no output partitioning,
-    # and the checkpoint must carry the (key, sensor, bucket) hashing
-    prev = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        dd = dedupe(cluster(readings, spec, partitions), spec).checkpoint(eager=True)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", prev)
-    return dd
+    cols = [*spec.series_key, "_bucket"]
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = table or f"tessera_readings_{uuid.uuid4().hex[:12]}"
+    (dedupe(cluster(readings, spec, n), spec).write.format("parquet").bucketBy(n, *cols).sortBy(*cols, spec.ts)
+     .option("path", scratch_path(spark, name)).saveAsTable(name))
+    return spark.table(name)
+
+
+def drop_kept(spark: SparkSession, table: str) -> None:
+    """Forget a kept table; its files go with the shared folder."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 def dedupe(readings: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -209,14 +238,14 @@ def overlap_bounds(deduped: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 
 def bucket_summary(deduped: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """One row per (series, bucket): first reading (as a struct), last
-    timestamp and reading count.  It reads every column of ``deduped``,
+    """One row per (series, bucket): first and last reading (as structs),
+    last timestamp and reading count.  It reads every column of ``deduped``,
     like the segment window, so both share one exchange of the readings."""
     sk = spec.series_key
     df = deduped if "_bucket" in deduped.columns else with_bucket(deduped, spec)
-    return df.groupBy(*sk, "_bucket").agg(
-        F.min(F.struct(F.col(spec.ts).alias("t"), *[F.col(a) for a in spec.axes])).alias("f"),
-        F.max(spec.ts).alias("last"), F.count("*").alias("cnt"))
+    reading = F.struct(F.col(spec.ts).alias("t"), *[F.col(a) for a in spec.axes])
+    return df.groupBy(*sk, "_bucket").agg(F.min(reading).alias("f"), F.max(reading).alias("l"),
+                                          F.max(spec.ts).alias("last"), F.count("*").alias("cnt"))
 
 
 def bounds_from_buckets(summary: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -244,7 +273,7 @@ def classify(bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
     Reasons, first match wins: ``missing_sensor`` (a sensor has no
     reading), ``too_few_samples`` (< min_count distinct timestamps),
     ``short_overlap`` (b - a < min_overlap), ``short_grid`` (n < 2),
-    ``sparse`` (more than ``max_fill`` grid points per reading).
+    ``sparse`` (more than ``max_fill`` grid points per reading, if given).
     """
     missing = None
     few = None
@@ -264,8 +293,9 @@ def classify(bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
     reason = (F.when(missing, F.lit("missing_sensor"))
               .when(few, F.lit("too_few_samples"))
               .when(span < F.lit(spec.min_overlap), F.lit("short_overlap"))
-              .when(n < 2, F.lit("short_grid"))
-              .when(n > readings * F.lit(spec.max_fill), F.lit("sparse")))
+              .when(n < 2, F.lit("short_grid")))
+    if spec.max_fill is not None:
+        reason = reason.when(n > readings * F.lit(spec.max_fill), F.lit("sparse"))
     return bounds.withColumn("n", n).withColumn("reason", reason)
 
 
@@ -288,7 +318,7 @@ def time_grid(ok_bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
     ``t_off`` = floor(i (b - a) / (n - 1)) is the exact integer offset
     from ``a``.  One row per grid point; use ``resample`` for values."""
     span = F.col("b") - F.col("a")
-    return (explode_range(ok_bounds, F.lit(0), F.col("n") - 1, "i")
+    return (explode_range(ok_bounds, F.lit(0), F.col("n") - 1, "i", list(spec.key))
             .withColumn("t_off", idiv(F.col("i").cast("decimal(38,0)") * span.cast("decimal(38,0)"),
                                       (F.col("n") - 1).cast("decimal(38,0)")).cast("long")))
 
@@ -297,66 +327,59 @@ def time_grid(ok_bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
 # T6  linear interpolation onto the grid
 # ---------------------------------------------------------------------------
 
-def segments(deduped: DataFrame, spec: SeriesSpec, summary: DataFrame | None = None) -> DataFrame:
-    """Consecutive reading pairs [t, t2) of each series, with the values at
-    both ends.  ``lead`` runs per (series, bucket); the last reading of a
-    bucket takes its partner from the first reading of the next non-empty
-    bucket (the bucket summary, one row per bucket)."""
+def segments(deduped: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Consecutive readings [t, t2) of each series in one time bucket, with
+    the values at both ends (``lead`` per (series, bucket))."""
     sk = spec.series_key
     df = deduped if "_bucket" in deduped.columns else with_bucket(deduped, spec)
-    if summary is None:
-        summary = bucket_summary(df, spec)
     w = Window.partitionBy(*sk, "_bucket").orderBy(spec.ts)
-    seg = df.select(
-        *sk, "_bucket", F.col(spec.ts).alias("t"),
-        *[F.col(a) for a in spec.axes],
-        F.lead(spec.ts).over(w).alias("t2"),
-        *[F.lead(a).over(w).alias(f"{a}_2") for a in spec.axes],
-    )
-    wb = Window.partitionBy(*sk).orderBy("_bucket")
-    nxt = summary.select(*sk, "_bucket", F.lead("f").over(wb).alias("nf"))
-    seg = seg.join(nxt, on=[*sk, "_bucket"], how="left")
-    tail = F.col("t2").isNull()
-    return seg.select(
-        *sk, "_bucket", "t", *spec.axes,
-        F.when(tail, F.col("nf.t")).otherwise(F.col("t2")).alias("t2"),
-        *[F.when(tail, F.col(f"nf.{a}")).otherwise(F.col(f"{a}_2")).alias(f"{a}_2") for a in spec.axes],
-    )
-
-
-def bounds_by_bucket(ok_bounds: DataFrame, deduped_bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Usable bounds replicated to every (sensor, bucket) a series spans
-    from its first reading to ``b``; one row per bucket, so it stays a
-    small fraction of the readings and joins co-partitioned."""
-    rows = []
-    for s in spec.sensors:
-        rows.append(F.struct(F.lit(s).alias("s"), F.col(f"min_{s}").alias("lo")))
-    bw = F.lit(spec.bucket_width)
-    return (ok_bounds.join(deduped_bounds.select(*spec.key, *[f"min_{s}" for s in spec.sensors]), on=list(spec.key))
-            .select(*spec.key, "a", "b", "n", F.explode(F.array(*rows)).alias("_s"))
-            .select(*spec.key, F.col("_s.s").alias(spec.sensor), "a", "b", "n",
-                    F.explode(F.sequence(F.floor(F.col("_s.lo") / bw).cast("long"),
-                                         F.floor(F.col("b") / bw).cast("long"))).alias("_bucket")))
-
-
-def interpolate(seg: DataFrame, bb: DataFrame, spec: SeriesSpec,
-                keep: list[str] | None = None) -> DataFrame:
-    """Grid values from segments: each segment [t, t2) emits the grid
-    indices it covers (the one reaching ``b`` also emits n-1) and the
-    linear value at each.  Segments entirely outside [a, b] emit nothing."""
+    seg = df.select(*sk, "_bucket", F.col(spec.ts).alias("t"), *spec.axes, F.lead(spec.ts).over(w).alias("t2"),
+                    *[F.lead(a).over(w).alias(f"{a}_2") for a in spec.axes])
+    return seg.where(F.col("t2").isNotNull())
+
+
+def crossings(summary: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """The other segments: from the last reading of a bucket to the first of
+    the next bucket with readings.  They come from the bucket summary alone,
+    a row per bucket, so the readings take no part; gaps longer than a bucket
+    are always among them."""
     sk = spec.series_key
-    j = seg.join(bb, on=[*sk, "_bucket"], how="inner")
+    w = Window.partitionBy(*sk).orderBy("_bucket")
+    seg = summary.select(*sk, "_bucket", "l", F.lead("f").over(w).alias("nf")).where(F.col("nf").isNotNull())
+    return seg.select(*sk, "_bucket", "l.t", *[F.col(f"l.{a}").alias(a) for a in spec.axes], F.col("nf.t").alias("t2"),
+                      *[F.col(f"nf.{a}").alias(f"{a}_2") for a in spec.axes])
+
+
+def bounds_by_bucket(ok_bounds: DataFrame, summary: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Usable bounds for every (series, bucket) that has readings: a row per
+    bucket, joined with the readings co-partitioned.  Buckets without
+    readings (a gap, however long) cost nothing."""
+    # the test of ``f`` (never NULL) has this branch read the same columns as
+    # the others, so that all share one exchange of the readings
+    return summary.where(F.col("f").isNotNull()).select(*spec.series_key, "_bucket").join(ok_bounds, on=list(spec.key))
+
+
+def _covered(j: DataFrame) -> DataFrame:
+    """Segments with bounds -> those that cover grid indices, and which:
+    [t, t2), and n - 1 for the one that reaches ``b``."""
     a, b, n, t, t2 = (F.col(c) for c in ("a", "b", "n", "t", "t2"))
     span = b - a
-    j = j.where(t2.isNotNull() & (t < b) & (t2 > a))
+    j = j.where((t < b) & (t2 > a))
     lo = _cdiv(F.greatest(t - a, F.lit(0)), n, span)
     hi = F.when(t2 >= b, n - 1).otherwise(_cdiv(t2 - a, n, span) - 1)
-    j = j.select("*", lo.alias("_lo"), hi.alias("_hi")).where(F.col("_lo") <= F.col("_hi"))
-    j = explode_range(j, F.col("_lo"), F.col("_hi"), "i")
-    step = span.cast("double") / (n - 1).cast("double")
+    return j.select("*", lo.alias("_lo"), hi.alias("_hi")).where(F.col("_lo") <= F.col("_hi"))
+
+
+def interpolate(seg: DataFrame, spec: SeriesSpec, deal: bool = False) -> DataFrame:
+    """Grid values from segments with bounds: each emits the grid indices it
+    covers and the linear value at each.  With ``deal`` a long segment's
+    pieces are dealt over tasks; without, segments lie within a bucket."""
+    a, b, n, t, t2 = (F.col(c) for c in ("a", "b", "n", "t", "t2"))
+    j = explode_range(_covered(seg), F.col("_lo"), F.col("_hi"), "i", spec.series_key if deal else None, spec.bucket_points)
+    step = (b - a).cast("double") / (n - 1).cast("double")
     frac = (F.col("i").cast("double") * step - (t - a).cast("double")) / (t2 - t).cast("double")
     vals = [(F.col(x) + (F.col(f"{x}_2") - F.col(x)) * frac).alias(x) for x in spec.axes]
-    return j.select(*spec.key, spec.sensor, "_bucket", "i", "n", *vals, *(keep or []))
+    return j.select(*spec.key, spec.sensor, "i", "n", *vals)
 
 
 def interpolation_error(grid: DataFrame, deduped: DataFrame, ok_bounds: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -375,8 +398,10 @@ def interpolation_error(grid: DataFrame, deduped: DataFrame, ok_bounds: DataFram
     r = (deduped if "_bucket" in deduped.columns else with_bucket(deduped, spec)).select(*at, reading.alias("r"))
     a, n = F.col("a").cast("double"), F.col("n")
     ti = a + F.col("i").cast("double") * (F.col("b") - F.col("a")).cast("double") / (n - 1).cast("double")
-    g = (grid.select(*sk, "i", *[F.col(x).alias(f"_g_{x}") for x in spec.axes])
-         .join(ok_bounds.select(*spec.key, "a", "b", "n"), on=list(spec.key)).withColumn("t", ti)
+    # bounds meet the grid by blocks of its indices: a long grid spreads over its blocks
+    blocks = explode_range(ok_bounds.select(*spec.key, "a", "b", "n"), F.lit(0), idiv(n - 1, F.lit(EXPAND)), "_chunk")
+    g = (grid.select(*sk, "i", *[F.col(x).alias(f"_g_{x}") for x in spec.axes], idiv(F.col("i"), F.lit(EXPAND)).alias("_chunk"))
+         .join(blocks, on=[*spec.key, "_chunk"]).withColumn("t", ti)
          .withColumn("_bucket", F.floor(F.col("t") / bw).cast("long")))
     none = F.lit(None)
     rows = r.select(*at, F.col("r.t").alias("t"), "r", none.cast("long").alias("i"),
@@ -414,8 +439,89 @@ def resample(deduped: DataFrame, spec: SeriesSpec, bounds: DataFrame | None = No
     if bounds is None:
         bounds = bounds_from_buckets(summary, spec)
     ok = eligible(classify(bounds, spec), spec)
-    bb = bounds_by_bucket(ok, bounds, spec)
-    return interpolate(segments(deduped, spec, summary), bb, spec).drop("_bucket")
+    inside = segments(deduped, spec).join(bounds_by_bucket(ok, summary, spec), [*spec.series_key, "_bucket"])
+    across = crossings(summary, spec).join(ok, list(spec.key))
+    return interpolate(inside, spec).unionByName(interpolate(across, spec, deal=True))
+
+
+# ---------------------------------------------------------------------------
+# T6b  clip first, keep duplicate times, extrapolate at the edges
+# ---------------------------------------------------------------------------
+
+def reading_times(clustered: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """One row per (series, bucket, timestamp) with the first (``f``) and
+    the last (``l``) of the readings at that time, in the order by which
+    ``dedupe`` prefers them, and their number ``c``.  Readings between the
+    two bear on no grid value."""
+    partial = F.array_contains(F.array(*[F.col(a).isNull() for a in spec.axes]), True).alias("_partial")
+    ranked = F.struct(partial, *[c for a in spec.axes for c in (F.col(a).isNull().alias(f"_no_{a}"), F.col(a))])
+    return clustered.groupBy(*spec.series_key, "_bucket", F.col(spec.ts).alias("t")).agg(
+        F.min(ranked).alias("f"), F.max(ranked).alias("l"), F.count("*").alias("c"))
+
+
+def times_bounds(times: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """``overlap_bounds`` of all readings, duplicates counted."""
+    per = times.groupBy(*spec.series_key, "_bucket").agg(F.struct(F.min("t").alias("t")).alias("f"), F.max("t").alias("last"),
+                                                         F.sum("c").alias("cnt"))
+    return bounds_from_buckets(per, spec)
+
+
+def resample_clipped(readings: DataFrame, spec: SeriesSpec, partitions: int | None = None) -> DataFrame:
+    """The exploratory variant of ``resample``: readings outside the common
+    range are cut off first, several readings of one time stay, and grid
+    points beyond a sensor's first or last reading in the range lie on the
+    line of its first or last two times.
+
+    Of several readings at one time the first (in the order of ``dedupe``)
+    ends the segment before it and gives the value at that time, the last
+    starts the segment after it.  Counts for eligibility are of all readings
+    before the cut; keys of which a sensor keeps fewer than two different
+    times in the range give no rows.  Output as ``resample``.
+
+    Each series' first and last segments are known from a row per time
+    bucket, so a hot series is never in one task."""
+    sk, at = spec.series_key, [*spec.series_key, "_bucket"]
+    times = reading_times(cluster(readings, spec, partitions), spec)
+    ok = eligible(classify(times_bounds(times, spec), spec), spec)
+    where_ = times.select(*at).distinct().join(ok, list(spec.key))
+    cut = times.join(where_, at).where(F.col("t").between(F.col("a"), F.col("b")))
+    reading = F.struct("t", "f", "l")
+    per = cut.groupBy(*at, "a", "b", "n").agg(F.min(reading).alias("first"), F.max(reading).alias("final"),
+                                              F.count("*").alias("c"))
+    series = Window.partitionBy(*sk)
+    ends = per.select("*", F.min("first.t").over(series).alias("_x0"), F.max("final.t").over(series).alias("_xm"),
+                      F.sum("c").over(series).alias("_times"), F.lead("first").over(series.orderBy("_bucket")).alias("_next"))
+    both = (ends.where(F.col("_times") > 1).select(*sk).distinct().groupBy(*spec.key).agg(F.count("*").alias("_s"))
+            .where(F.col("_s") == len(spec.sensors)).select(*spec.key))
+    ends = ends.join(both, list(spec.key))
+    near = Window.partitionBy(*at).orderBy("t")
+    inside = (cut.select(*at, "t", "f", "l", F.lead("t").over(near).alias("t2"), F.lead("f").over(near).alias("f2"))
+              .where(F.col("t2").isNotNull()).join(ends.select(*at, "a", "b", "n", "_x0", "_xm"), at))
+    across = ends.where(F.col("_next").isNotNull()).select(
+        *at, "final.t", "final.f", "final.l", F.col("_next.t").alias("t2"), F.col("_next.f").alias("f2"), "a", "b", "n", "_x0", "_xm")
+    return _on_lines(inside, spec, False).unionByName(_on_lines(across, spec, True))
+
+
+def _on_lines(seg: DataFrame, spec: SeriesSpec, deal: bool) -> DataFrame:
+    """Grid values of segments (t, t2]; a series' first segment reaches back
+    to the grid's start, its last one on to the grid's end."""
+    a, b, n, t, t2 = (F.col(c) for c in ("a", "b", "n", "t", "t2"))
+    span, d = b - a, "decimal(38,0)"
+
+    def below(x: Column) -> Column:
+        return idiv((x - a).cast(d) * (n - 1).cast(d), span.cast(d)).cast("long")
+
+    lo = F.when(t == F.col("_x0"), F.lit(0).cast("long")).otherwise(below(t) + 1)
+    hi = F.when(t2 == F.col("_xm"), n - 1).otherwise(below(t2))
+    j = seg.select("*", lo.alias("_lo"), hi.alias("_hi")).where(F.col("_lo") <= F.col("_hi"))
+    # (the first and last segments reach beyond their bucket)
+    j = explode_range(j, F.col("_lo"), F.col("_hi"), "i", spec.series_key if deal else None)
+    on_first = (t == F.col("_x0")) & (F.col("i").cast(d) * span.cast(d) == (t - a).cast(d) * (n - 1).cast(d))
+    step = span.cast("double") / (n - 1).cast("double")
+    frac = (F.col("i").cast("double") * step - (t - a).cast("double")) / (t2 - t).cast("double")
+    vals = [F.when(on_first, F.col(f"f.{x}")).otherwise(
+        F.col(f"l.{x}") + (F.col(f"f2.{x}") - F.col(f"l.{x}")) * frac).alias(x) for x in spec.axes]
+    return j.select(*spec.key, spec.sensor, "i", "n", *vals)
 
 
 # ---------------------------------------------------------------------------

@@ -151,16 +151,16 @@ def box_stats(long: DataFrame, group: list[str] | None = None, weight: str | Non
         F.coalesce(F.sum(F.when((v < lo_f) | (v > hi_f), F.col("c"))), F.lit(0)).alias("n_outliers"))
 
 
-def automatic_bins(long: DataFrame, group: list[str] | None = None) -> DataFrame:
+def automatic_bins(long: DataFrame, group: list[str] | None = None, weight: str | None = None) -> DataFrame:
     """Number of bins per channel by the larger of two rules: Sturges
     (log2 n + 1) and Freedman-Diaconis (width 2 IQR / cube root of n), as
     plotting libraries choose it; at least 1."""
     g = [*(group or []), "channel"]
-    q = exact_quantiles(long, g, [0.25, 0.75])
+    q = quantiles_from_counts(counted_values(long, g, weight=weight), g, [0.25, 0.75])
     iqr = q.groupBy(*g).agg((F.max("q") - F.min("q")).alias("_iqr"))
     v = F.col("value")
     n = long.where(v.isNotNull() & ~F.isnan(v)).groupBy(*g).agg(
-        F.count(F.lit(1)).alias("_n"), (F.max("value") - F.min("value")).alias("_range"))
+        _number(weight).alias("_n"), (F.max("value") - F.min("value")).alias("_range"))
     width = 2 * F.col("_iqr") / F.pow(F.col("_n").cast("double"), F.lit(1.0 / 3))
     sturges = F.ceil(F.log2(F.col("_n").cast("double")) + 1)
     wide = F.when(width > 0, F.ceil(F.col("_range") / width)).otherwise(F.lit(1))
@@ -168,22 +168,27 @@ def automatic_bins(long: DataFrame, group: list[str] | None = None) -> DataFrame
     return n.join(_per_group(iqr, g), g).select(*g, bins.cast("int").alias("bins"))
 
 
-def histogram(long: DataFrame, bins: int = 30, group: list[str] | None = None,
+def histogram(long: DataFrame, bins: int | DataFrame = 30, group: list[str] | None = None,
               weight: str | None = None) -> DataFrame:
     """Equal-width bins over [min, max] per channel, the last bin closed;
-    every bin is reported, empty ones with count 0."""
+    every bin is reported, empty ones with count 0.  ``bins`` is a number, or
+    a table with a number for each group (as ``automatic_bins`` gives)."""
     g = [*(group or []), "channel"]
-    rng = long.groupBy(*g).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    width = (F.col("hi") - F.col("lo"))
-    b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("value") - F.col("lo")) / width * bins), F.lit(bins - 1))).cast("int")
-    counts = long.join(_per_group(rng, g), g).where(F.col("value").isNotNull()).groupBy(*g, b.alias("bin")).agg(
+    v = F.col("value")
+    rng = long.where(v.isNotNull() & ~F.isnan(v)).groupBy(*g).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    if isinstance(bins, DataFrame):
+        rng = rng.join(_per_group(bins.select(*g, F.col("bins").alias("_bins")), g), g)
+    else:
+        rng = rng.withColumn("_bins", F.lit(bins))
+    n, width = F.col("_bins"), F.col("hi") - F.col("lo")
+    b = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor((v - F.col("lo")) / width * n), n - 1)).cast("int")
+    counts = long.join(_per_group(rng, g), g).where(v.isNotNull() & ~F.isnan(v)).groupBy(*g, b.alias("bin")).agg(
         _number(weight).alias("count"))
-    all_bins = rng.select(*g, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    all_bins = rng.select(*g, "lo", "hi", "_bins", F.explode(F.sequence(F.lit(0), n - 1)).alias("bin"))
     return (all_bins.join(counts, [*g, "bin"], "left")
             .select(*g, "bin",
-                    (F.col("lo") + F.col("bin") * width / bins).alias("edge_lo"),
-                    (F.col("lo") + (F.col("bin") + 1) * width / bins).alias("edge_hi"),
+                    (F.col("lo") + F.col("bin") * width / n).alias("edge_lo"),
+                    (F.col("lo") + (F.col("bin") + 1) * width / n).alias("edge_hi"),
                     F.coalesce("count", F.lit(0)).cast("long").alias("count")))
 
 

@@ -43,10 +43,11 @@ def window_keys(ok_bounds: DataFrame, key: list[str], size: int = S.WINDOW_SIZE,
     index has a row and windows k = 0 .. (n - size) div step are all
     complete.  Key-only consumers (counts, splits, publish order) take
     this instead of resampling and gathering the windows: one row per
-    window from one row per key, no shuffle of grid rows."""
+    window from one row per key, no shuffle of grid rows (of a long key's
+    windows, a row for every 65,536)."""
     n = F.col("n")
     last = count_windows(n, size, step) - 1
-    return explode_range(ok_bounds.where(n >= size), F.lit(0), last, "k").select(*key, "k")
+    return explode_range(ok_bounds.where(n >= size), F.lit(0), last, "k", key).select(*key, "k")
 
 
 def window_cells(aligned: DataFrame, key: list[str], channels: list[str], size: int = S.WINDOW_SIZE,
@@ -165,14 +166,3 @@ def zscore_features(df: DataFrame, channels: int, features: str = "features", dd
 def finite_windows(windows: DataFrame, features: str = "features", check_inf: bool = True) -> DataFrame:
     """Drop windows holding NULL, NaN or (with ``check_inf``) +-Inf."""
     return windows.where(finite_array(features, check_inf))
-
-
-def channel_long(windows: DataFrame, key: list[str], channels: list[str],
-                 features: str = "features") -> DataFrame:
-    """Wide window -> long rows (key..., i, axis, value): one row per grid
-    index and channel, for plotting or per-channel statistics."""
-    nc = len(channels)
-    ex = windows.select(*key, F.posexplode(features).alias("_p", "value"))
-    names = F.array(*[F.lit(c) for c in channels])
-    return ex.select(*key, idiv(F.col("_p"), F.lit(nc)).alias("i"),
-                     F.element_at(names, (F.col("_p") % nc) + 1).alias("axis"), "value")

@@ -16,7 +16,7 @@ from tessera.operators import order as O
 from tessera.operators import score as SC
 from tessera.operators import stats as ST
 from tessera.operators import running as RN
-from tessera.operators.windows import (count_windows, melt, window_cells, window_ids, window_keys, windows_from_grid,
+from tessera.operators.windows import (count_windows, finite_windows, melt, window_cells, window_ids, window_keys, windows_from_grid,
                                        zscore_features)
 from tessera import schemas as SCH
 from tessera.session import scratch_path
@@ -24,6 +24,8 @@ from tessera.streaming import consumer as CS
 from tessera.streaming import messages as MS
 from tessera.plans import tables as TB
 from tessera.plans.pipeline import build_windows, rejections
+from tessera.plans import training as TR
+from tessera.sources import sensor_files, store
 from tessera.sources.sensor_files import device_name
 
 SPEC = TB.EVENTS_SPEC
@@ -80,9 +82,7 @@ def q_sensor_readings(spark, sf):
 def q_dedupe_series(spark, sf):
     """Duplicates made by an hourly timestamp: one whole reading kept per
     (series, hour), the smallest (x, y)."""
-    r = _readings(spark, sf).drop("event_id")
-    r = r.withColumn("timestamp", F.col("timestamp") - F.col("timestamp") % TB.US_PER_HOUR)
-    dd = T.clustered_readings(r, SPEC)
+    dd = T.clustered_readings(_coarse(spark, sf, 1), SPEC)
     return dd.select(*KEY, "sensor", "timestamp", round6("x").alias("x"), round6("y").alias("y"))
 
 
@@ -108,6 +108,56 @@ def q_resample_linear(spark, sf):
     return g.select(*KEY, "sensor", "i", round6("x").alias("x"), round6("y").alias("y"))
 
 
+def _coarse(spark, sf, hours: int):
+    """Readings at a coarser time, so that several share one."""
+    r = _readings(spark, sf).drop("event_id")
+    return r.withColumn("timestamp", F.col("timestamp") - F.col("timestamp") % (hours * TB.US_PER_HOUR))
+
+
+def q_resample_clipped(spark, sf):
+    """Clip to the common range first, keep duplicate times (made by
+    six-hourly timestamps), extrapolate at the edges."""
+    g = T.resample_clipped(_coarse(spark, sf, 6), SPEC)
+    return g.select(*KEY, "sensor", "i", "n", round6("x").alias("x"), round6("y").alias("y"))
+
+
+def q_resample_kept(spark, sf):
+    """The grid from readings kept as a bucketed table."""
+    g = T.resample(T.kept_readings(_readings(spark, sf).drop("event_id"), SPEC), SPEC)
+    return g.select(*KEY, "sensor", "i", round6("x").alias("x"), round6("y").alias("y"))
+
+
+# windows of a slice
+SLICE = 200
+
+
+def q_window_slices(spark, sf):
+    """Windows written by split in slices of about 200 rows: files and rows
+    of each split, read back."""
+    w = _windows_raw(spark, sf).withColumnRenamed("activity", "label")
+    w = w.join(O.subject_split(_subjects(spark, sf)), "subject_id")
+    path = scratch_path(spark, "slices")
+    store.write_windows(w, path, ["split"], SLICE, key=["subject_id", "device", "label", "k"])
+    return spark.read.parquet(path).groupBy("split").agg(
+        F.count_distinct("_metadata.file_name").alias("n_files"), F.count("*").alias("n_windows"))
+
+
+# a far-off reading: this much after the reading it copies (11.4 years, 100,000 grid points)
+FAR = 100_000 * TB.US_PER_HOUR
+
+
+def q_resample_far(spark, sf):
+    """A reading far off all others: the readings of every 50th user, and
+    copies of those of the month's last days 100,000 hours later.  The gap is
+    filled like any other, and the other series are as without it."""
+    r = _readings(spark, sf).drop("event_id").where(F.col("subject_id").cast("long") % 50 == 0)
+    r = r.withColumn("activity", F.lit("all"))
+    last = r.groupBy(*KEY, "sensor").agg(F.max("timestamp").alias("timestamp"))
+    far = r.join(last, [*KEY, "sensor", "timestamp"], "left_semi").withColumn("timestamp", F.col("timestamp") + F.lit(FAR))
+    dd = T.clustered_readings(r.unionByName(far), SPEC)
+    return T.resample(dd, SPEC).select(*KEY, "sensor", "i", "n", round6("x").alias("x"), round6("y").alias("y"))
+
+
 def q_paired_series(spark, sf):
     """Series keys read by both sensors, with the reading count of each
     (the pair test and inner join of the two sensors, as one aggregate:
@@ -225,11 +275,18 @@ def q_anti_split(spark, sf):
 
 
 def q_common_activities(spark, sf):
-    r = _readings(spark, sf)
-    cols = ["subject_id", "device", "activity"]
-    a = r.where(F.col("sensor") == "accel").select(*cols).distinct()
-    g = r.where(F.col("sensor") == "gyro").select(*cols).distinct()
-    return a.intersect(g)
+    """Activities that both sensors recorded, per subject and device: the
+    intersection of two distinct lists, as one aggregate."""
+    has = [F.bool_or(F.col("sensor") == s).alias(f"_{s}") for s in SPEC.sensors]
+    both = _readings(spark, sf).groupBy(*KEY).agg(*has)
+    for s in SPEC.sensors:
+        both = both.where(F.col(f"_{s}"))
+    return both.select(*KEY)
+
+
+def q_paired_subjects(spark, sf):
+    """Subjects and devices with readings of every sensor."""
+    return sensor_files.paired_subjects(_readings(spark, sf))
 
 
 def q_union_devices(spark, sf):
@@ -343,6 +400,12 @@ def q_histogram(spark, sf):
     return _r6(ST.histogram(_weighted_values(spark, sf), bins=30, weight="w"))
 
 
+def q_histogram_auto(spark, sf):
+    """Histograms whose number of bins follows from the values."""
+    long = _weighted_values(spark, sf)
+    return _r6(ST.histogram(long, ST.automatic_bins(long, weight="w"), weight="w"))
+
+
 def q_standardize(spark, sf):
     s = ST.standardize(_long_values(spark, sf))
     return _r6(s.withColumnRenamed("activity", "label"))
@@ -388,25 +451,20 @@ def _emb(spark, sf):
     return e.withColumn("split", F.when(prefix < F.lit(O.hash_threshold(0.8)), "train").otherwise("held_out"))
 
 
-def _model_and_classes(spark, sf, fraction=0.8):
+def _model(spark, sf, fraction=0.8):
     """The model learned from the rows whose md5 order is below ``fraction``
-    (0.8: the training rows)."""
+    (0.8: the training rows), and all rows with their class's index."""
     e = _emb(spark, sf)
     prefix = F.substring(O.hash_key(42, "vec_id"), 1, 13)
     model = SC.CentroidModel.fit(e.where(prefix < F.lit(O.hash_threshold(fraction))), "embedding", "label")
-    rows = [(i, c) for i, c in enumerate(model.classes)]
-    classes = spark.createDataFrame(rows, "idx int, class_name string")
-    return e, model, classes
+    return model, model.index(e, "label", "y_true")
 
 
 def _predictions(spark, sf, split="held_out", fraction=0.8):
-    """Scored rows of a split (None: all rows)."""
-    e, model, classes = _model_and_classes(spark, sf, fraction)
-    idx = F.create_map(*[F.lit(x) for i, c in enumerate(model.classes) for x in (c, i)])
+    """Scored rows of a split (None: all rows) and the model's classes."""
+    model, e = _model(spark, sf, fraction)
     d = e.where(F.col("split") == split) if split else e
-    d = d.select("vec_id", "split", F.try_element_at(idx, F.col("label").cast("string")).alias("y_true"),
-                 model.logits("embedding").alias("logits"))
-    return SC.with_scores(d, "logits", "y_true"), classes
+    return model.score(d.select("vec_id", "split", "embedding", "y_true"), "embedding", "y_true").drop("embedding"), model.classes()
 
 
 def q_centroid_scores(spark, sf):
@@ -415,8 +473,9 @@ def q_centroid_scores(spark, sf):
 
 
 def q_softmax_scores(spark, sf):
-    p, _ = _predictions(spark, sf, None)
-    pr = p.select("vec_id", F.posexplode(SC.probabilities("logits")).alias("class_idx", "prob"))
+    model, e = _model(spark, sf)
+    d = model.with_logits(e, "embedding")
+    pr = d.select("vec_id", F.posexplode(SC.probabilities("logits")).alias("class_idx", "prob"))
     return _r6(pr)
 
 
@@ -440,6 +499,33 @@ def q_p95_threshold(spark, sf):
     return _r6(M.loss_threshold(p, 0.95))
 
 
+def q_score_histograms(spark, sf):
+    """Distribution of the confidence (30 bins) and of the loss (50 bins)."""
+    p, _ = _predictions(spark, sf)
+    parts = [ST.histogram(melt(p, [c], []), bins=n) for c, n in (("confidence", 30), ("xentropy", 50))]
+    return _r6(parts[0].unionByName(parts[1]))
+
+
+def q_train_windows(spark, sf):
+    """A classifier trained on the windows of the training subjects: does it
+    tell calm from busy windows (first channel's mean under or over that of
+    all) of the others better than their more frequent label does?"""
+    cells = _cells(spark, sf)
+    mean = cells.agg(F.avg(CH[0])).scalar()
+    features = TR.window_features(cells, KEY, CH)
+    features = features.withColumn("label", F.when(F.col(f"{CH[0]}_mean") > mean, "busy").otherwise("calm"))
+    split = O.subject_split(_subjects(spark, sf)).withColumn("part", F.when(F.col("split") == "train", "train").otherwise("held_out"))
+    path = scratch_path(spark, "features")
+    features.join(split.select("subject_id", "part"), "subject_id").write.parquet(path)
+    rows = spark.read.parquet(path)
+    model = TR.fit(rows.where(F.col("part") == "train"), CH)
+    right = F.avg((F.col("y_pred") == F.col("y_true")).cast("double"))
+    busy = F.avg((F.col("label") == "busy").cast("double"))
+    return model.transform(rows).groupBy("part").agg(
+        F.count("*").alias("n_windows"), F.count_distinct("label").alias("n_labels"),
+        (right > F.greatest(busy, 1 - busy)).alias("beats_majority"))
+
+
 def q_alert_flags(spark, sf):
     p, _ = _predictions(spark, sf, None)
     return _r6(M.alert_flags(p, M.loss_threshold(p, 0.95)).select("vec_id", "xentropy", "alert"))
@@ -474,15 +560,21 @@ def q_best_epoch(spark, sf):
 # -- arrays, JSON, messages and streaming ------------------------------------
 
 def q_json_roundtrip(spark, sf):
+    """JSON decoded and encoded again; every seventh text is damaged and
+    gives NULL."""
     ev = TB.table(spark, sf, "events")
+    ev = ev.withColumn("props", F.when(F.col("event_id") % 7 == 0, F.replace("props", F.lit(":"), F.lit(";"))).otherwise(F.col("props")))
     parsed = F.from_json("props", "k int")
-    return ev.select("event_id", parsed["k"].alias("k"), F.to_json(parsed).alias("json"))
+    return ev.select("event_id", parsed["k"].alias("k"), F.when(parsed["k"].isNotNull(), F.to_json(parsed)).alias("json"))
 
 
 def q_finite_windows(spark, sf):
-    """Windows kept by the finite filter (no NULL, NaN or +-Inf value)."""
-    from tessera.operators.windows import finite_windows
-    w = finite_windows(_windows_raw(spark, sf))
+    """Windows kept by the finite filter (no NULL, NaN or +-Inf value), of a
+    grid with some of each."""
+    x, i = F.col("x"), F.col("i")
+    dirty = (F.when(i % 97 == 5, F.lit(float("nan"))).when(i % 89 == 7, F.lit(float("-inf")))
+             .when(i % 83 == 11, F.lit(None).cast("double")).otherwise(x))
+    w = finite_windows(windows_from_grid(_grid(spark, sf).withColumn("x", dirty), SPEC, SIZE, STEP))
     return w.select("subject_id", "device", F.col("activity").alias("label"), "k")
 
 
@@ -545,7 +637,7 @@ def _message_files(spark, sf):
 def _scored_stream(spark, sf):
     path, model = _message_files(spark, sf)
     raw = MS.read_files(spark, path, max_files_per_trigger=FILES_PER_TRIGGER)
-    return CS.score_messages(spark, MS.decode(raw, channels=1), model, 1, normalize=False), path, model
+    return CS.score_messages(MS.decode(raw, channels=1), model, 1, normalize=False), path, model
 
 
 def q_dead_letter(spark, sf):
@@ -562,7 +654,7 @@ def q_dead_letter(spark, sf):
         .otherwise(F.regexp_replace(value, r'"features":\[\[[^\]]*\]', '"features":[[null]')).alias("value"))
     both = scratch_path(spark, "damaged")
     MS.publish_files(sent.select("value").unionByName(bad), both, MESSAGES_PER_FILE)
-    decoded = MS.decode(MS.read_files(spark, both, FILES_PER_TRIGGER), len(model.centroids[0]), 1)
+    decoded = MS.decode(MS.read_files(spark, both, FILES_PER_TRIGGER), model.dims, 1)
     q, out = CS.run_append(spark, CS.dead_letters(decoded), "dead-letters")
     q.awaitTermination()
     return spark.read.parquet(out).select(seq.alias("seq"), (seq % 7).alias("damage"))
@@ -584,7 +676,7 @@ def q_stream_scores(spark, sf):
 
 def q_stream_accuracy(spark, sf):
     scored, _, _ = _scored_stream(spark, sf)
-    q, log = CS.run_update(spark, CS.accuracy_state(scored, ["device"]), "stream-accuracy")
+    q, log = CS.run_update(spark, CS.accuracy_state(scored, ["device"]), "stream-accuracy", ["device"])
     q.awaitTermination()
     return _r6(CS.read_changelog(spark, log, ["device"]))
 
@@ -592,19 +684,108 @@ def q_stream_accuracy(spark, sf):
 def q_latest_per_key(spark, sf):
     scored, _, _ = _scored_stream(spark, sf)
     agg = CS.latest_state(scored, ["device"], "seq", ["subject_id", "pred_letter", "confidence"])
-    q, log = CS.run_update(spark, agg, "latest")
+    q, log = CS.run_update(spark, agg, "latest", ["device"])
     q.awaitTermination()
     return _r6(CS.read_changelog(spark, log, ["device"]))
 
 
+def q_stream_scores_windows(spark, sf):
+    """Real windows (24 x 4) in the stream, normalised per window and channel
+    by the consumer: activities are letters by week, the model knows the
+    normalised windows of the training subjects, the others' are sent."""
+    codes = F.array(*[F.lit(c) for c, _ in SCH.ACTIVITY_NAMES])
+    week = F.substring("activity", 2, 9).cast("int")
+    w = _windows_raw(spark, sf).withColumn("label", F.get(codes, week % len(SCH.ACTIVITY_NAMES))).drop("activity")
+    train = O.subject_split(_subjects(spark, sf)).where(F.col("split") == "train").select("subject_id", F.lit(True).alias("train"))
+    path = scratch_path(spark, "windows")
+    w.join(train, "subject_id", "left").write.parquet(path)
+    w = spark.read.parquet(path)
+    model = SC.CentroidModel.fit(zscore_features(w.where("train"), len(CH)), "features", "label")
+    sent = scratch_path(spark, "messages")
+    MS.publish_files(MS.window_messages(w.where("train is null").drop("train"), len(CH)), sent, MESSAGES_PER_FILE)
+    decoded = MS.decode(MS.read_files(spark, sent, FILES_PER_TRIGGER), SIZE, len(CH))
+    scored = CS.score_messages(decoded, model, len(CH), normalize=True)
+    q, out = CS.run_append(spark, scored.select(*_SCORE_COLS), "stream-windows")
+    q.awaitTermination()
+    return _r6(spark.read.parquet(out))
+
+
 def q_running_accuracy(spark, sf):
     """Batch twin of the stream: accuracy after each message, per device,
     in publish order."""
     path, model = _message_files(spark, sf)
-    scored = CS.score_messages(spark, MS.decode(spark.read.text(path), channels=1), model, 1, normalize=False)
+    scored = CS.score_messages(MS.decode(spark.read.text(path), channels=1), model, 1, normalize=False)
     r = RN.running_accuracy(scored, ["device"], ["seq"])
     return _r6(r.select("device", "seq", "n_seen", "n_correct", "running_accuracy"))
 
+
+def q_latest_per_subject(spark, sf):
+    """The last window sent of every subject and device, from the stream of
+    real windows; small triggers and a log that is compacted on the way."""
+    w = _windows_raw(spark, sf).withColumnRenamed("activity", "label")
+    path = scratch_path(spark, "messages")
+    MS.publish_files(MS.window_messages(w, len(CH)), path, rows_per_file=MESSAGES_PER_FILE)
+    key = ["device", "subject_id"]
+    msgs = MS.decode(MS.read_files(spark, path, 2)).where("valid")
+    agg = CS.latest_state(msgs.withColumn("last_x", F.element_at("features", -1)[0]), key, "seq", ["activity", "last_x"])
+    q, log = CS.run_update(spark, agg, "latest-subject", key, compact_every=2)
+    q.awaitTermination()
+    return _r6(CS.read_changelog(spark, log, key))
+
+
+def q_message_progress(spark, sf):
+    """Messages sent, damaged copies sent, and what the consumer read of
+    them: all, valid, dead letters."""
+    progress = CS.Progress()
+    lw = _letter_embeddings(spark, sf)
+    msgs = MS.window_messages(lw.where(F.col("split") == "held_out").drop("split"), 1)
+    path = scratch_path(spark, "messages")
+    MS.publish_files(progress.counted(msgs, "sent"), path, rows_per_file=MESSAGES_PER_FILE)
+    damaged = spark.read.text(path).where(F.regexp_extract("value", r'"seq":(\d+)', 1).cast("long") % 7 == 2)
+    cut = damaged.select(F.regexp_replace("value", r"\}$", "").alias("value"))
+    MS.publish_files(progress.counted(cut, "damaged"), f"{path}-damaged", rows_per_file=MESSAGES_PER_FILE)
+    spark.streams.addListener(progress)
+    try:
+        msgs = MS.decode(MS.read_files(spark, f"{path}*", FILES_PER_TRIGGER), channels=1)
+        msgs = progress.counted(msgs, "read", valid=F.col("valid"), dead=~F.col("valid"))
+        q, _ = CS.run_append(spark, msgs.select("seq", "valid"), "progress")
+        progress.await_end(q)
+    finally:
+        spark.streams.removeListener(progress)
+    read = progress.totals("read")
+    rows = [("sent", progress.totals("sent")["rows"]), ("damaged", progress.totals("damaged")["rows"]),
+            ("read", read["rows"]), ("valid", read["valid"]), ("dead", read["dead"])]
+    return spark.createDataFrame(rows, "counter string, n long")
+
+
+def q_stream_alert_flags(spark, sf):
+    """The alerts of ``alert_flags``, in a stream of the embeddings with the
+    stored threshold read for every micro-batch."""
+    p, _ = _predictions(spark, sf, None)
+    path = scratch_path(spark, "threshold")
+    M.loss_threshold(p, 0.95).write.parquet(path)
+    model, _ = _model(spark, sf)
+    schema = TB.table(spark, sf, "embeddings").schema
+    src = (spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet")
+           .option("maxFilesPerTrigger", 1).parquet(sf))
+    rows = model.with_logits(model.index(src, "label", "y_true"), "embedding")
+    scored = SC.with_scores(rows, "logits", "y_true").select("vec_id", "xentropy")
+    q, out = CS.run_alerts(spark, scored, path, "stream-alerts")
+    q.awaitTermination()
+    return _r6(CS.read_batches(spark, out).select("vec_id", "xentropy", "alert"))
+
+
+def q_stream_running_accuracy(spark, sf):
+    """The report line of every message in the stream, with the accuracy
+    after it, per device, in the order in which messages were sent."""
+    path, model = _message_files(spark, sf)
+    raw = MS.read_files(spark, path, max_files_per_trigger=FILES_PER_TRIGGER)
+    scored = CS.score_messages(MS.place_of(MS.decode(raw, channels=1)), model, 1, normalize=False, keep_invalid=True)
+    q, out = CS.run_append(spark, CS.running_accuracy_state(scored, ["device"]), "stream-running")
+    q.awaitTermination()
+    return _r6(spark.read.parquet(out))
+
+
 QUERIES = {
     "clean_numeric": q_clean_numeric,
     "device_code": q_device_code,
@@ -615,6 +796,10 @@ QUERIES = {
     "rejected_series": q_rejected_series,
     "time_grid": q_time_grid,
     "resample_linear": q_resample_linear,
+    "resample_clipped": q_resample_clipped,
+    "resample_far": q_resample_far,
+    "resample_kept": q_resample_kept,
+    "window_slices": q_window_slices,
     "paired_series": q_paired_series,
     "interp_error": q_interp_error,
     "align_channels": q_align_channels,
@@ -647,6 +832,10 @@ QUERIES = {
     "corr_matrix": q_corr_matrix,
     "box_stats": q_box_stats,
     "histogram": q_histogram,
+    "histogram_auto": q_histogram_auto,
+    "score_histograms": q_score_histograms,
+    "train_windows": q_train_windows,
+    "paired_subjects": q_paired_subjects,
     "standardize": q_standardize,
     "melt_channels": q_melt_channels,
     "code_lookup": q_code_lookup,
@@ -668,10 +857,15 @@ QUERIES = {
     "window_messages": q_window_messages,
     "stream_events": q_stream_events,
     "stream_scores": q_stream_scores,
+    "stream_scores_windows": q_stream_scores_windows,
     "dead_letter": q_dead_letter,
     "stream_accuracy": q_stream_accuracy,
     "latest_per_key": q_latest_per_key,
     "running_accuracy": q_running_accuracy,
+    "stream_running_accuracy": q_stream_running_accuracy,
+    "latest_per_subject": q_latest_per_subject,
+    "message_progress": q_message_progress,
+    "stream_alert_flags": q_stream_alert_flags,
 }
 
 

@@ -39,8 +39,7 @@ bounds AS (
          CASE WHEN n_accel = 0 OR n_gyro = 0 THEN 'missing_sensor'
               WHEN n_accel < 2 OR n_gyro < 2 THEN 'too_few_samples'
               WHEN b - a < 1000000 THEN 'short_overlap'
-              WHEN (b - a) // 3600000000 < 2 THEN 'short_grid'
-              WHEN (b - a) // 3600000000 > 100000 * (n_accel + n_gyro) THEN 'sparse' END AS reason
+              WHEN (b - a) // 3600000000 < 2 THEN 'short_grid' END AS reason
   FROM (
     SELECT subject_id, device, activity,
            count(*) FILTER (WHERE sensor = 'accel') AS n_accel,
@@ -404,7 +403,7 @@ SQL.update({
 SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
        CASE WHEN json_extract(props, '$.k') IS NULL THEN NULL
             ELSE '{"k":' || CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS VARCHAR) || '}' END AS json
-FROM events""",
+FROM (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN props END AS props FROM events)""",
     "flatten_reshape": CORE + "," + WK + """
 SELECT subject_id, device, label, k, 24 AS n_rows, 4 AS n_cols, TRUE AS same FROM wk""",
     "window_messages": CORE + "," + WK + """
@@ -456,7 +455,10 @@ SELECT subject_id, device, activity, sensor, count(*) AS n_points,
        floor((max(abs(x - (x1 + (ti - t::DOUBLE) * ((x2 - x1) / (t2 - t)::DOUBLE))))) * 1e6 + 0.5) / 1e6 AS max_err_x,
        floor((max(abs(y - (y1 + (ti - t::DOUBLE) * ((y2 - y1) / (t2 - t)::DOUBLE))))) * 1e6 + 0.5) / 1e6 AS max_err_y
 FROM chk GROUP BY subject_id, device, activity, sensor""",
-    "finite_windows": CORE + """
+    "finite_windows": CORE.replace("aligned AS (", """dirty AS (
+  SELECT * REPLACE (CASE WHEN i % 97 = 5 THEN 'nan'::DOUBLE WHEN i % 89 = 7 THEN '-inf'::DOUBLE
+                         WHEN i % 83 = 11 THEN NULL ELSE x END AS x) FROM grid),
+aligned AS (""").replace("FROM grid GROUP BY subject_id, device, activity, i, n", "FROM dirty GROUP BY subject_id, device, activity, i, n") + """
 SELECT subject_id, device, activity AS label, k FROM win
 GROUP BY subject_id, device, activity, k
 HAVING bool_and(ax IS NOT NULL AND ay IS NOT NULL AND gx IS NOT NULL AND gy IS NOT NULL
@@ -477,3 +479,121 @@ SELECT subject_id, device, activity AS label, k, j, {", ".join(
     f"{R6(f'({c} - avg({c}) OVER p) / (stddev_samp({c}) OVER p + 1e-5)')} AS {c}" for c in ["ax", "ay", "gx", "gy"])}
 FROM win WINDOW p AS (PARTITION BY subject_id, device, activity, k)""",
 })
+
+
+# readings at six-hourly times, duplicates kept, cut to the common range
+CLIPPED = r"""
+deduped AS (SELECT subject_id, device, activity, sensor, timestamp - timestamp % 21600000000 AS timestamp, x, y
+            FROM readings)""" + "," + BOUNDS + r""",
+cut AS (SELECT r.*, ok.a, ok.b, ok.n, x IS NULL OR y IS NULL AS part FROM deduped r JOIN ok USING (subject_id, device, activity)
+        WHERE timestamp BETWEEN a AND b),
+times AS (
+  SELECT subject_id, device, activity, sensor, timestamp AS t, a, b, n,
+         first(x ORDER BY part, x IS NULL, x, y IS NULL, y) AS fx, first(y ORDER BY part, x IS NULL, x, y IS NULL, y) AS fy,
+         first(x ORDER BY part DESC, x IS NULL DESC, x DESC, y IS NULL DESC, y DESC) AS lx,
+         first(y ORDER BY part DESC, x IS NULL DESC, x DESC, y IS NULL DESC, y DESC) AS ly
+  FROM cut GROUP BY ALL),
+kept AS (SELECT subject_id, device, activity FROM
+         (SELECT subject_id, device, activity, sensor FROM times GROUP BY ALL HAVING count(*) > 1)
+         GROUP BY ALL HAVING count(*) = 2),
+seg AS (
+  SELECT *, lead(t) OVER w AS t2, lead(fx) OVER w AS fx2, lead(fy) OVER w AS fy2, row_number() OVER w AS r,
+         count(*) OVER (PARTITION BY subject_id, device, activity, sensor) AS m
+  FROM times JOIN kept USING (subject_id, device, activity)
+  WINDOW w AS (PARTITION BY subject_id, device, activity, sensor ORDER BY t)),
+pts AS (SELECT s.*, i, (i * ((b - a)::DOUBLE / (n - 1)) - (t - a)::DOUBLE) / (t2 - t)::DOUBLE AS f
+        FROM seg s, unnest(range(n)) u(i)
+        WHERE t2 IS NOT NULL AND (r = 1 OR i::HUGEINT * (b - a) > (t - a)::HUGEINT * (n - 1))
+          AND (r = m - 1 OR i::HUGEINT * (b - a) <= (t2 - a)::HUGEINT * (n - 1)))"""
+
+# the readings of every 50th user as one activity, the last ones again 100,000 hours later
+FAR = r"""
+own AS (SELECT subject_id, device, 'all' AS activity, sensor, timestamp, x, y FROM readings
+        WHERE CAST(subject_id AS BIGINT) % 50 = 0),
+more AS (SELECT * FROM own UNION ALL
+         SELECT subject_id, device, activity, sensor, timestamp + 360000000000000, x, y FROM own
+         QUALIFY timestamp = max(timestamp) OVER (PARTITION BY subject_id, device, activity, sensor)),
+""" + DEDUPED.lstrip().replace("FROM readings)", "FROM more)")
+
+SQL.update({
+    "stream_running_accuracy": _with(STREAM) + f"""
+SELECT device, seq, subject_id, activity, pred_letter, pred_name, truth_name, {R6('confidence')} AS confidence, correct,
+       row_number() OVER w AS n_seen, CAST(sum(CASE WHEN correct THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_correct,
+       {R6('sum(CASE WHEN correct THEN 1.0 ELSE 0.0 END) OVER w / row_number() OVER w')} AS running_accuracy
+FROM scored WINDOW w AS (PARTITION BY device ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "latest_per_subject": CORE + "," + WK + f""",
+sent AS (SELECT wk.*, row_number() OVER (ORDER BY device, subject_id, label, k) - 1 AS seq FROM wk),
+last AS (SELECT device, subject_id, max(seq) AS seq FROM sent GROUP BY ALL)
+SELECT CASE sent.device WHEN 0 THEN 'phone' ELSE 'watch' END AS device, subject_id, seq, label AS activity, {R6('win.ax')} AS last_x
+FROM last JOIN sent USING (device, subject_id, seq)
+JOIN win ON win.device = sent.device AND win.subject_id = sent.subject_id AND win.activity = label AND win.k = sent.k AND win.j = 23""",
+    "message_progress": _with(STREAM) + """
+SELECT c.counter, CASE c.counter WHEN 'sent' THEN n WHEN 'damaged' THEN d WHEN 'read' THEN n + d WHEN 'valid' THEN n ELSE d END AS n
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE seq % 7 = 2) AS d FROM scored) s,
+     (VALUES ('sent'), ('damaged'), ('read'), ('valid'), ('dead')) c(counter)""",
+    "stream_alert_flags": SQL["alert_flags"],
+    "resample_kept": SQL["resample_linear"],
+    "paired_subjects": _with(READINGS) + """
+SELECT subject_id, device FROM readings GROUP BY ALL HAVING count(DISTINCT sensor) = 2""",
+    "histogram_auto": CORE_W + f""",
+rule AS (SELECT channel, min(value) AS lo, max(value) AS hi, count(value) AS n,
+                2 * (quantile_cont(value, 0.75) - quantile_cont(value, 0.25)) / pow(count(value)::DOUBLE, 1.0::DOUBLE / 3) AS width
+         FROM wl GROUP BY channel),
+rng AS (SELECT channel, lo, hi, CAST(CASE WHEN hi = lo THEN 1 ELSE greatest(ceil(log2(n::DOUBLE) + 1),
+               CASE WHEN width > 0 THEN ceil((hi - lo) / width) ELSE 1 END) END AS BIGINT) AS nb FROM rule),
+cnt AS (SELECT channel, CAST(CASE WHEN hi - lo = 0 THEN 0
+                                  ELSE least(floor((value - lo) / (hi - lo) * nb), nb - 1) END AS INTEGER) AS bin,
+               count(*) AS count
+        FROM wl JOIN rng USING (channel) WHERE value IS NOT NULL GROUP BY ALL),
+bins AS (SELECT channel, lo, hi, nb, CAST(unnest(range(nb)) AS INTEGER) AS bin FROM rng)
+SELECT b.channel, b.bin, {R6('lo + b.bin * (hi - lo) / nb')} AS edge_lo,
+       {R6('lo + (b.bin + 1) * (hi - lo) / nb')} AS edge_hi, coalesce(c.count, 0) AS count
+FROM bins b LEFT JOIN cnt c ON b.channel = c.channel AND b.bin = c.bin""",
+    "score_histograms": _with(SCORE) + f""",
+vals AS (SELECT 'confidence' AS channel, 30 AS nb, confidence AS value FROM pred UNION ALL
+         SELECT 'xentropy', 50, xentropy FROM pred),
+rng AS (SELECT channel, nb, min(value) AS lo, max(value) AS hi FROM vals GROUP BY ALL),
+cnt AS (SELECT channel, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((value - lo) / (hi - lo) * nb), nb - 1) END AS INTEGER)
+               AS bin, count(*) AS count FROM vals JOIN rng USING (channel, nb) GROUP BY ALL),
+bins AS (SELECT channel, lo, hi, nb, CAST(unnest(range(nb)) AS INTEGER) AS bin FROM rng)
+SELECT b.channel, b.bin, {R6('lo + b.bin * (hi - lo) / nb')} AS edge_lo,
+       {R6('lo + (b.bin + 1) * (hi - lo) / nb')} AS edge_hi, coalesce(c.count, 0) AS count
+FROM bins b LEFT JOIN cnt c ON b.channel = c.channel AND b.bin = c.bin""",
+    "train_windows": CORE + "," + SPLIT + """,
+of AS (SELECT subject_id, device, activity, k, avg(ax) AS m FROM win GROUP BY ALL
+       HAVING bool_and(ax IS NOT NULL AND ay IS NOT NULL AND gx IS NOT NULL AND gy IS NOT NULL))
+SELECT CASE WHEN split = 'train' THEN 'train' ELSE 'held_out' END AS part, count(*) AS n_windows,
+       count(DISTINCT m > (SELECT avg(ax) FROM win)) AS n_labels, TRUE AS beats_majority
+FROM of JOIN split USING (subject_id) GROUP BY ALL""",
+    "stream_scores_windows": CORE + "," + WK + "," + SPLIT + "," + AM + f""",
+lettered AS (SELECT w.subject_id, w.device, w.activity, w.k, am.code AS label, s.split = 'train' AS train
+             FROM (SELECT DISTINCT subject_id, device, activity, k FROM win) w JOIN split s USING (subject_id)
+             JOIN am ON am.pos = CAST(substr(w.activity, 2) AS BIGINT) % (SELECT count(*) FROM am)),
+zl AS (""" + " UNION ALL ".join(
+        f"SELECT subject_id, device, activity, k, j * 4 + {c} AS d, {ch} AS v FROM zwin"
+        for c, ch in enumerate(["ax", "ay", "gx", "gy"])) + f"""),
+zv AS (SELECT * FROM zl JOIN lettered USING (subject_id, device, activity, k)),
+cent AS (SELECT label AS cls, d, avg(v) AS c FROM zv WHERE train GROUP BY ALL),
+sent AS (SELECT *, row_number() OVER (ORDER BY device, subject_id, label, k) - 1 AS seq FROM lettered WHERE NOT train),
+dist AS (SELECT z.subject_id, z.device, z.activity, z.k, c.cls, -sum((z.v - c.c) * (z.v - c.c)) AS logit
+         FROM zv z JOIN cent c ON z.d = c.d WHERE NOT z.train GROUP BY ALL),
+best AS (SELECT subject_id, device, activity, k, max(logit) AS m, arg_min(cls, (-logit, cls)) AS cls FROM dist GROUP BY ALL),
+conf AS (SELECT d.subject_id, d.device, d.activity, d.k, b.cls, 1 / sum(exp(d.logit - b.m)) AS confidence
+         FROM dist d JOIN best b ON d.subject_id = b.subject_id AND d.device = b.device AND d.activity = b.activity AND d.k = b.k
+         GROUP BY ALL)
+SELECT seq, CASE s.device WHEN 0 THEN 'phone' ELSE 'watch' END AS device, s.subject_id, s.label AS activity,
+       c.cls AS pred_letter, p.name AS pred_name, t.name AS truth_name, {R6('confidence')} AS confidence, c.cls = s.label AS correct
+FROM sent s JOIN conf c USING (subject_id, device, activity, k) JOIN am p ON p.code = c.cls JOIN am t ON t.code = s.label""",
+    "window_slices": CORE + "," + WK + "," + SPLIT + """
+SELECT split, CAST(ceil(count(*) / 200) AS BIGINT) AS n_files, count(*) AS n_windows
+FROM wk JOIN split USING (subject_id) GROUP BY split""",
+    "resample_clipped": _with(READINGS, CLIPPED) + """
+SELECT subject_id, device, activity, sensor, i, n,
+       floor((CASE WHEN r = 1 AND i::HUGEINT * (b - a) = (t - a)::HUGEINT * (n - 1) THEN fx
+                   ELSE lx + (fx2 - lx) * f END) * 1e6 + 0.5) / 1e6 AS x,
+       floor((CASE WHEN r = 1 AND i::HUGEINT * (b - a) = (t - a)::HUGEINT * (n - 1) THEN fy
+                   ELSE ly + (fy2 - ly) * f END) * 1e6 + 0.5) / 1e6 AS y FROM pts""",
+    "resample_far": _with(READINGS, FAR, BOUNDS, GRID) + """
+SELECT subject_id, device, activity, sensor, i, n,
+       floor(x * 1e6 + 0.5) / 1e6 AS x, floor(y * 1e6 + 0.5) / 1e6 AS y FROM grid""",
+})

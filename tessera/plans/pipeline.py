@@ -38,9 +38,11 @@ def build_windows(readings: DataFrame, spec: T.SeriesSpec, size: int = S.WINDOW_
     the bucket summary (first row, last timestamp, count per bucket; the
     bounds come from it) read the same columns and reuse that exchange;
     small exchanges for the bucket table and the bounds; one exchange of
-    grid rows on (key, window).
+    grid rows on (key, window).  With ``materialize`` the readings are
+    kept as a bucketed table instead, which later plans read without an
+    exchange.
     """
-    dd = T.clustered_readings(readings, spec, partitions, materialize)
+    dd = (T.kept_readings if materialize else T.clustered_readings)(readings, spec, partitions)
     summary = T.bucket_summary(dd, spec)
     bounds = T.classify(T.bounds_from_buckets(summary, spec), spec)
     grid = T.resample(dd, spec, bounds, summary)

@@ -66,41 +66,9 @@ RAW_READING = T.StructType([
     T.StructField("z_raw", T.StringType(), True),
 ])
 
-WINDOW_ROW = T.StructType([
-    T.StructField("subject_id", T.StringType(), True),
-    T.StructField("device", T.IntegerType(), True),
-    T.StructField("label", T.StringType(), True),
-    T.StructField("k", T.LongType(), True),
-    T.StructField("features", T.ArrayType(T.DoubleType()), True),
-])
-
 MESSAGE = T.StructType([
     T.StructField("device", T.StringType(), True),
     T.StructField("subject_id", T.StringType(), True),
     T.StructField("activity", T.StringType(), True),
     T.StructField("features", T.ArrayType(T.ArrayType(T.DoubleType())), True),
 ])
-
-PREDICTION = T.StructType([
-    T.StructField("y_true", T.IntegerType(), True),
-    T.StructField("y_pred", T.IntegerType(), True),
-    T.StructField("confidence", T.DoubleType(), True),
-    T.StructField("xentropy", T.DoubleType(), True),
-])
-
-HISTORY = T.StructType([
-    T.StructField("epoch", T.IntegerType(), False),
-    T.StructField("tr_loss", T.DoubleType(), True),
-    T.StructField("tr_acc", T.DoubleType(), True),
-    T.StructField("val_acc", T.DoubleType(), True),
-])
-
-ACTIVITY_MAP = T.StructType([
-    T.StructField("code", T.StringType(), False),
-    T.StructField("name", T.StringType(), False),
-])
-
-SPLIT = T.StructType([
-    T.StructField("subject_id", T.StringType(), True),
-    T.StructField("split", T.StringType(), False),
-])

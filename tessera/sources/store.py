@@ -7,8 +7,11 @@ import os
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera import schemas as S
+from tessera.operators.order import null_safe_join
+from tessera.operators.running import running_sums
 
 
 def read_parquet_excluding(spark: SparkSession, include: str, exclude_name: str | None = None) -> DataFrame:
@@ -29,14 +32,34 @@ def read_parquet_excluding(spark: SparkSession, include: str, exclude_name: str
     return df
 
 
+#: Partition values up to which their sizes are broadcast.
+FEW_VALUES = 10_000
+
+
 def write_windows(windows: DataFrame, path: str, partition_by: list[str] | None = None,
-                  rows_per_file: int = S.ROWS_PER_FILE, mode: str = "overwrite") -> None:
-    """Windows sink: files of at most ``rows_per_file`` rows, optionally
-    partitioned (e.g. by split) so readers prune folders."""
-    w = windows.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+                  rows_per_file: int = S.ROWS_PER_FILE, mode: str = "overwrite", key: list[str] | None = None) -> None:
+    """Windows sink: slices of about ``rows_per_file`` rows, one file each,
+    optionally partitioned (e.g. by split) so readers prune folders.
+
+    The rows of each partition value are counted, and a row's slice is its
+    value's share of the slices by the hash of ``key`` (default: all columns
+    that are no arrays): the number of files follows from the rows, not from
+    the tasks that made them, and a value with most of the rows is written by
+    as many tasks as it has slices.  ``windows`` is read twice."""
+    by = partition_by or []
+    key = key or [f.name for f in windows.schema.fields if not isinstance(f.dataType, T.ArrayType)]
+    sizes = windows.groupBy(*by).agg(F.count("*").alias("_n"))
+    sizes = sizes.select(*by, F.ceil(F.col("_n") / rows_per_file).cast("long").alias("_slices"))
+    sizes = running_sums(sizes, [], by or ["_slices"], {"_end": F.col("_slices")})
+    values, slices = sizes.agg(F.count("*"), F.coalesce(F.sum("_slices"), F.lit(0))).first()
+    if by:
+        w = null_safe_join(windows, F.broadcast(sizes) if values <= FEW_VALUES else sizes, by)
+    else:
+        w = windows.withColumns({c: F.lit(slices).cast("long") for c in ("_end", "_slices")})
+    at = F.col("_end") - F.col("_slices") + F.pmod(F.xxhash64(*key), F.greatest(F.col("_slices"), F.lit(1).cast("long")))
+    w = w.withColumn("_slice", at.cast("int")).repartitionById(max(1, slices), "_slice").drop("_slice", "_end", "_slices")
+    out = w.write.mode(mode)
+    (out.partitionBy(*by) if by else out).parquet(path)
 
 
 def save_validation(predictions: DataFrame, threshold: DataFrame, path: str) -> None:

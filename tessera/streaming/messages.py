@@ -1,9 +1,11 @@
 """Window messages: the JSON payload of one window, and its sinks/sources.
 
 A message is ``{"device": "phone"|"watch", "subject_id": str,
-"activity": str, "features": [[...], ...] (size x channels), "seq": n}``.
-``seq`` is the publish position (device, subject, label, window order);
-on Kafka the (partition, offset) pair gives the same order.
+"activity": str, "features": [[...], ...] (size x channels), "seq": n,
+"pos": m}``.  ``seq`` is the publish position (device, subject, label,
+window order), ``pos`` the position among the messages of the device: both
+count from 0 without gaps, so that a consumer can restore the order in which
+messages were sent, whatever order they arrive in, and sees what is missing.
 
 Producing is a batch DataFrame write (executors write in parallel), not
 a per-message loop; windows with NULL/NaN/Inf are skipped before encoding
@@ -18,26 +20,33 @@ from pyspark.sql import types as T
 
 from tessera import schemas as S
 from tessera.functions.columns import finite_array, reshape
-from tessera.operators.order import global_rank
+from tessera.operators.order import sequence_numbers
+from tessera.session import scratch_path
 from tessera.sources.sensor_files import device_name
 
-MESSAGE_SCHEMA = T.StructType([*S.MESSAGE.fields, T.StructField("seq", T.LongType(), True)])
+MESSAGE_SCHEMA = T.StructType([*S.MESSAGE.fields, T.StructField("seq", T.LongType(), True),
+                               T.StructField("pos", T.LongType(), True)])
 
 
 def window_messages(windows: DataFrame, channels: int, features: str = "features",
                     label: str = "label", with_seq: bool = True) -> DataFrame:
     """Windows (subject_id, device, label, k, features) -> (key, value)
-    rows ready for a Kafka or file sink; ``key`` = subject_id keeps one
-    subject's messages in order on one Kafka partition."""
+    rows ready for a Kafka or file sink; ``key`` = subject_id sends one
+    subject's messages to one Kafka partition.  Windows are written to the
+    shared folder once and numbered from counts per key: the features are
+    never sorted."""
     w = windows.where(finite_array(features, check_inf=True))
     if with_seq:
-        w = global_rank(w, ["device", "subject_id", label, "k"], "seq")
+        path = scratch_path(w.sparkSession, "windows")
+        w.write.parquet(path)
+        w = sequence_numbers(w.sparkSession.read.parquet(path), ["device", "subject_id", label], "k",
+                             within={"pos": ["device"]})
     payload = F.struct(
         device_name("device").alias("device"),
         F.col("subject_id").cast("string").alias("subject_id"),
         F.col(label).cast("string").alias("activity"),
         reshape(features, channels).alias("features"),
-        *([F.col("seq")] if with_seq else []))
+        *([F.col("seq"), F.col("pos")] if with_seq else []))
     return w.select(F.col("subject_id").cast("string").alias("key"), F.to_json(payload).alias("value"))
 
 
@@ -85,3 +94,11 @@ def decode(raw: DataFrame, rows: int | None = None, channels: int | None = None)
                        & (F.size(f) == rows if rows else F.lit(True)) & shaped, F.lit(False))
     return d.select(*raw.columns, *[F.col(f"_m.{f.name}").alias(f.name) for f in MESSAGE_SCHEMA.fields],
                     valid.alias("valid"))
+
+
+def place_of(decoded: DataFrame) -> DataFrame:
+    """Decoded messages with the device and position of those, too, that did
+    not decode, as far as their text still tells them."""
+    device = F.nullif(F.regexp_extract("value", r'"device":"([^"]*)"', 1), F.lit(""))
+    pos = F.regexp_extract("value", r'"pos":(\d{1,18})(?!\d)', 1).try_cast("long")
+    return decoded.withColumns({"device": F.coalesce("device", device), "pos": F.coalesce("pos", pos)})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from tessera import session
 from tessera.operators import order as O
 from tessera.operators import series as T
 from tessera.operators import stats as ST
-from tessera.operators.score import CentroidModel, score_with
+from tessera.operators.score import MODEL, CentroidModel, score_with
 from tessera.operators.windows import window_cells
 from tessera.plans import catalog as C
 from tessera.plans import tables as TB
@@ -45,13 +46,15 @@ def test_a_complete_reading_wins_over_one_with_a_null(spark):
 
 
 def test_one_far_off_reading_leaves_the_other_series_as_they_are(spark):
+    """With a limit of grid points per reading its series is turned away."""
+    spec = replace(SPEC, max_fill=100_000)
     good = readings(spark, "good", range(0, 2000, 7))
     bad = readings(spark, "bad", [0, 10, 20, 10 ** 15])
 
     def windows(rows):
-        res = build_windows(spark.createDataFrame(rows, SCHEMA), SPEC, size=24, step=12)
+        res = build_windows(spark.createDataFrame(rows, SCHEMA), spec, size=24, step=12)
         return ({(r["sid"], r["k"]): tuple(r["features"]) for r in res.windows.collect()},
-                {r["sid"]: r["reason"] for r in rejections(res.bounds, SPEC).collect()})
+                {r["sid"]: r["reason"] for r in rejections(res.bounds, spec).collect()})
 
     alone, none = windows(good)
     both, rejected = windows(good + bad)
@@ -137,7 +140,7 @@ def test_sample_of_everything_keeps_everything(spark):
 def test_model_of_many_classes(spark):
     df = spark.range(3000).select(F.col("id").cast("string").alias("label"),
                                   F.array(F.col("id").cast("double"), F.lit(1.0)).alias("features"))
-    assert len(CentroidModel.fit(df).classes) == 3000
+    assert CentroidModel.fit(df).n_classes == 3000
 
 
 def test_score_with_hands_over_floats_and_keeps_the_session(spark):
@@ -190,11 +193,11 @@ def test_only_messages_of_the_right_shape_count(spark, tmp_path):
              (good % 4).replace("[0.0,0.0]", "[null,0.0]"), (good % 5).replace("[[0.0,0.0],[1.0,1.0]]", "[]"),
              (good % 6).replace('"activity":"A",', ""), "{bad", "", (good % 7).replace("[0.0,0.0]", "null")]
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(str(tmp_path / "m"))
-    model = CentroidModel(["A", "B"], [[0.0, 0.0, 1.0, 1.0], [5.0, 5.0, 5.0, 5.0]])
+    model = CentroidModel.of(spark.createDataFrame([(0, "A", [0.0, 0.0, 1.0, 1.0]), (1, "B", [5.0, 5.0, 5.0, 5.0])], MODEL))
     decoded = MS.decode(spark.read.text(str(tmp_path / "m")), 2, 2)
     assert [r["seq"] for r in decoded.where("valid").orderBy("seq").collect()] == [0, 1]
-    scored = CS.score_messages(spark, MS.decode(MS.read_files(spark, str(tmp_path / "m")), 2, 2), model, 2)
-    q, log = CS.run_update(spark, CS.accuracy_state(scored, ["device"]), "t-shapes")
+    scored = CS.score_messages(MS.decode(MS.read_files(spark, str(tmp_path / "m")), 2, 2), model, 2)
+    q, log = CS.run_update(spark, CS.accuracy_state(scored, ["device"]), "t-shapes", ["device"])
     q.awaitTermination()
     (r,) = CS.read_changelog(spark, log, ["device"]).collect()
     assert r["total"] == 2

@@ -29,8 +29,8 @@ def test_stream_equals_batch(spark):
     model, w = _model_and_windows(spark)
     path = tempfile.mkdtemp(prefix="msgs-")
     _publish(spark, w, path)
-    batch = CS.score_messages(spark, MS.decode(spark.read.text(path)), model, 2, normalize=False)
-    stream = CS.score_messages(spark, MS.decode(MS.read_files(spark, path, 1)), model, 2, normalize=False)
+    batch = CS.score_messages(MS.decode(spark.read.text(path)), model, 2, normalize=False)
+    stream = CS.score_messages(MS.decode(MS.read_files(spark, path, 1)), model, 2, normalize=False)
     q, out = CS.run_append(spark, stream.select("seq", "pred_letter", "correct"), "t-scores")
     q.awaitTermination()
     a = sorted(tuple(r) for r in batch.select("seq", "pred_letter", "correct").collect())
@@ -48,8 +48,8 @@ def test_restart_keeps_counts(spark):
     _publish(spark, w.where(F.col("subject_id") == "s1"), os.path.join(src, "part1"))
 
     def run():
-        stream = CS.score_messages(spark, MS.decode(MS.read_files(spark, src + "/*")), model, 2, normalize=False)
-        q, _ = CS.run_update(spark, CS.accuracy_state(stream, ["device"]), "t-acc", checkpoint=ckpt, changelog=log)
+        stream = CS.score_messages(MS.decode(MS.read_files(spark, src + "/*")), model, 2, normalize=False)
+        q, _ = CS.run_update(spark, CS.accuracy_state(stream, ["device"]), "t-acc", ["device"], checkpoint=ckpt, changelog=log)
         q.awaitTermination()
 
     run()
@@ -65,8 +65,8 @@ def test_latest_per_key(spark):
     model, w = _model_and_windows(spark)
     path = tempfile.mkdtemp(prefix="msgs-")
     _publish(spark, w, path)
-    stream = CS.score_messages(spark, MS.decode(MS.read_files(spark, path, 2)), model, 2, normalize=False)
-    q, log = CS.run_update(spark, CS.latest_state(stream, ["device"], "seq", ["subject_id"]), "t-latest")
+    stream = CS.score_messages(MS.decode(MS.read_files(spark, path, 2)), model, 2, normalize=False)
+    q, log = CS.run_update(spark, CS.latest_state(stream, ["device"], "seq", ["subject_id"]), "t-latest", ["device"])
     q.awaitTermination()
     got = {r["device"]: (r["seq"], r["subject_id"]) for r in CS.read_changelog(spark, log, ["device"]).collect()}
     assert got == {"phone": (3, "s2"), "watch": (4, "s3")}
