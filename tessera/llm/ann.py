@@ -2,9 +2,9 @@
 
 Vectors become binary codes: centred, turned onto their principal axes and
 then by a rotation learned so that the signs lose as little as possible
-(iterative quantisation).  A code is split into substrings of ``WIDTH``
-bits, and each substring is an index of its own: its value's bucket lists
-the rows.  By the pigeonhole principle a code within ``r = m q + a`` bits of
+(iterative quantisation).  A code is split into substrings of 8 or, where a
+block of rows fills them, 16 bits, and each substring is an index of its
+own: its value's bucket lists the rows.  By the pigeonhole principle a code within ``r = m q + a`` bits of
 the query (``m`` substrings, ``0 <= a < m``) is within ``q`` bits of it in
 one of the first ``a + 1`` substrings or within ``q - 1`` in one of the
 others; probing all buckets that near retrieves every such code.  Those
@@ -24,6 +24,7 @@ rows with the same id one counts, and none is its own neighbour; fewer than
 
 from __future__ import annotations
 
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -34,14 +35,20 @@ from . import vectors
 from .common import cut
 
 BITS = 64
-WIDTH = 8
+#: Rows of a block from which on its substrings have 16 bits.
+WIDE = 1 << 13
 SAMPLE = 4096
 SAMPLE_QUERIES = 256
 TARGET = 0.98
 ROUNDS = 30
 
-#: Number of differing bits of two substrings.
-_APART = np.array([[(a ^ b).bit_count() for b in range(1 << WIDTH)] for a in range(1 << WIDTH)], np.uint8)
+@cache
+def masks(width: int) -> tuple[np.ndarray, np.ndarray]:
+    """All values of ``width`` bits in order of the bits that are set, and
+    how many have at most 0, 1, 2, ... of them."""
+    values = np.arange(1 << width)
+    bits = np.bitwise_count(values)
+    return values[np.argsort(bits, kind="stable")], np.cumsum(np.bincount(bits))
 
 
 class Coder(NamedTuple):
@@ -91,32 +98,47 @@ def learn_radius(coder: Coder, ids: np.ndarray, v: np.ndarray, k: int) -> int:
 class Index:
     """Buckets of every substring over one block of codes."""
 
-    def __init__(self, codes: np.ndarray):
+    def __init__(self, codes: np.ndarray, width: int | None = None):
         self.codes = codes
+        wide = len(codes) >= WIDE and not codes.shape[1] % 2
+        self.width = width or (16 if wide else 8)
         self.rows, self.starts = [], []
-        for column in codes.T:
+        for column in self._split(codes).T:
             self.rows.append(np.argsort(column, kind="stable"))
-            self.starts.append(np.concatenate([[0], np.cumsum(np.bincount(column, minlength=1 << WIDTH))]))
+            self.starts.append(np.concatenate([[0], np.cumsum(np.bincount(column, minlength=1 << self.width))]))
+
+    def _split(self, codes: np.ndarray) -> np.ndarray:
+        return codes if self.width == 8 else np.ascontiguousarray(codes).view(np.uint16)
 
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """Rows whose code is within ``radius`` bits, in ascending order."""
-        m = self.codes.shape[1]
-        q, a = divmod(radius, m)
+        parts = self._split(code[None, :])[0]
+        q, a = divmod(radius, len(parts))
+        values, most = masks(self.width)
         seen = np.zeros(len(self.codes), bool)
-        for j, value in enumerate(code):
+        for j, value in enumerate(parts):
             near = q if j <= a else q - 1
             if near < 0:
                 continue
-            starts = self.starts[j]
-            for bucket in np.flatnonzero((_APART[value] <= near) & (starts[1:] > starts[:-1])):
-                seen[self.rows[j][starts[bucket]:starts[bucket + 1]]] = True
+            buckets = values[:most[min(near, self.width)]] ^ int(value)
+            begin, end = self.starts[j][buckets], self.starts[j][buckets + 1]
+            full = end > begin
+            begin, size = begin[full], (end - begin)[full]
+            at = np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)
+            seen[self.rows[j][at]] = True
         found = np.flatnonzero(seen)
         return found[hamming(self.codes[found], code) <= radius]
 
 
-def _kernel(coder: Coder, radius: int, k: int):
-    def search(q_ids, qs, ids, v):
-        index, codes = Index(coder.codes(v)), coder.codes(qs)
+def _search(coder: Coder, radius: int, k: int):
+    """How a block is indexed and how its index is asked."""
+
+    def build(ids, v):
+        return Index(coder.codes(v)), ids, v
+
+    def find(block, q_ids, qs):
+        index, ids, v = block
+        codes = coder.codes(qs)
         rows, places, scores = [], [], []
         for i, q in enumerate(qs):
             found = index.within(codes[i], radius)
@@ -128,7 +150,7 @@ def _kernel(coder: Coder, radius: int, k: int):
             scores.append(d[best])
         return np.concatenate(rows), np.concatenate(places), np.concatenate(scores)
 
-    return search
+    return build, find
 
 
 def nearest(df: DataFrame, k: int = 10, every: int = 100, id_column: str = "vec_id",
@@ -136,7 +158,7 @@ def nearest(df: DataFrame, k: int = 10, every: int = 100, id_column: str = "vec_
     """The ``k`` nearest vectors found for every row whose id is divisible
     by ``every``: ``query_id``, ``rank``, ``vec_id``, ``score`` (Euclidean
     distance)."""
-    rows = cut(vectors.clean(df, id_column, column, zero=False))
+    rows = cut(vectors.one_each(vectors.clean(df, id_column, column, zero=False)))
     n, wide = rows.count(), 1 << 30
     limit = min(wide, wide * SAMPLE // max(n, 1))
     some = rows.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(wide)) < F.lit(limit))
@@ -148,13 +170,13 @@ def nearest(df: DataFrame, k: int = 10, every: int = 100, id_column: str = "vec_
     else:
         coder = learn(v)
         radius = learn_radius(coder, ids, v, k)
-    found = cut(vectors.by_blocks(queries, rows, k, "double", _kernel(coder, radius, k)))
-    others = rows.select("id").distinct().count() - 1
+    found = cut(vectors.by_blocks(queries, rows, k, "double", *_search(coder, radius, k)))
+    others = n - 1
     counts = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
-    few = (queries.select(F.col("id").alias("query_id")).distinct().join(counts, "query_id", "left")
+    few = (queries.select(F.col("id").alias("query_id")).join(counts, "query_id", "left")
            .where(F.coalesce("n", F.lit(0)) < F.lit(min(k, others))).select("query_id"))
     if radius >= BITS or few.isEmpty():
         return found
     again = queries.join(few, queries["id"] == few["query_id"], "left_semi")
     return found.join(few, "query_id", "left_anti").unionByName(
-        vectors.by_blocks(again, rows, k, "double", _kernel(coder, BITS, k)))
+        vectors.by_blocks(again, rows, k, "double", *_search(coder, BITS, k)))

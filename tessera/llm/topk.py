@@ -2,22 +2,23 @@
 
 Every component is a list of the candidates sorted by that component, read
 sequentially: from the top for queries whose weight is positive, from the
-bottom for negative ones.  After some depth, a candidate's score lies
-between a lower bound (what was read of it, and the list's last entry for
-what was not) and an upper bound (what was read, and the entry at the depth
-for what was not).  A candidate whose upper bound is below the k-th largest
-lower bound cannot qualify; once those that can are as few as asked for,
-reading stops for the query.  What is left is read to the end, which makes
-both bounds the score.
-
-A task does this for a block of queries and a block of candidates at a
-time (``DEPTHS`` are the shares of the lists read between two looks at the
-bounds); the bounds of all queries and candidates of a block are matrix
-products over the entries read.
-
-Components are ``floor(scale * x)``.  Products are taken in the smallest
-type that holds every partial sum exactly; scores beyond a long are clipped
-to its range.
+bottom for negative ones.  At some depth, a candidate's score is the sum of
+what was read of it, plus between the lowest (the list's last entry) and the
+highest (the entry at the depth) of what was not.  A candidate whose upper
+bound is below the k-th largest lower bound cannot qualify and is dropped.
+Once a query has no more candidates than are asked for, its reading stops;
+others read on to the next depth.  What is left of a query is then resolved:
+the rest of its own candidates' entries is read from the lists and added to
+what was read before.
+
+A task does this for a block of candidates, whose lists are sorted once, and
+a batch of queries at a time; sums and bounds of a batch at a depth are
+matrix products over the entries read (``DEPTHS`` are the shares of the
+lists at which the bounds are looked at).
+
+Components are ``floor(scale * x)``.  Sums are taken in the smallest type
+that holds every one of them exactly, Python's integers beyond doubles;
+scores beyond a long are clipped to its range, and rank as such.
 
 Defined results: vectors that are NULL, hold NULL or non-finite components,
 have a NULL id or another length than most take no part (zero vectors do);
@@ -28,6 +29,8 @@ result.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,13 +39,15 @@ from . import vectors
 from .common import cut
 
 #: Shares of the lists read between two looks at the bounds.
-DEPTHS = (0.25, 0.75)
+DEPTHS = (0.125, 0.25, 0.5)
 LONG = np.iinfo(np.int64)
 
 
 def exact_type(q: np.ndarray, v: np.ndarray):
     """The smallest type in which inner products of ``q`` and ``v`` and
     their partial sums are exact."""
+    if q.dtype == object or v.dtype == object:
+        return object
     most = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * max(q.shape[1], 1)
     return np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else object
 
@@ -51,64 +56,105 @@ def product(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return q @ v.T
 
 
+def integers(x: np.ndarray, scale: int) -> np.ndarray:
+    """``floor(scale * x)``: doubles, or Python's integers where doubles do
+    not hold all sums of products."""
+    with np.errstate(over="ignore"):
+        z = np.floor(scale * x)
+    if exact_type(z, z) is not object:
+        return z
+    return np.array([[int(Fraction(v) * scale // 1) for v in row] for row in x.tolist()], object).reshape(x.shape)
+
+
 class Lists:
     """The sorted lists of a block of candidates, read to a depth."""
 
-    def __init__(self, v: np.ndarray):
-        self.v, self.n = v, len(v)
+    def __init__(self, ids: np.ndarray, v: np.ndarray):
+        self.ids, self.v, self.n = ids, v, len(v)
         order = np.argsort(v, axis=0, kind="stable")
         self.rank = np.empty_like(order)
         np.put_along_axis(self.rank, order, np.arange(self.n)[:, None].repeat(v.shape[1], axis=1), axis=0)
         self.sorted = np.take_along_axis(v, order, axis=0)
 
-    def bounds(self, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper bounds (queries x candidates) when ``depth``
-        entries of each list have been read; ``up`` and ``down`` are the
-        queries' positive and negative weights."""
+    def astype(self, kind) -> Lists:
+        """The same lists in another type of numbers."""
+        if self.v.dtype == kind:
+            return self
+        other = object.__new__(Lists)
+        other.ids, other.n, other.rank = self.ids, self.n, self.rank
+        other.v, other.sorted = converted(self.v, kind), converted(self.sorted, kind)
+        return other
+
+    def read(self, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What ``depth`` entries of each list add up to for each query and
+        candidate, and lower and upper bounds of the scores; ``up`` and
+        ``down`` are the queries' positive and negative weights."""
         top, bottom = self.rank >= self.n - depth, self.rank < depth
         last, first = self.sorted[-1], self.sorted[0]
         at_top, at_bottom = self.sorted[self.n - depth], self.sorted[depth - 1]
-        low = product(up, np.where(top, self.v, first)) + product(down, np.where(bottom, self.v, last))
-        high = product(up, np.where(top, self.v, at_top)) + product(down, np.where(bottom, self.v, at_bottom))
-        return low, high
+        part = product(up, np.where(top, self.v, 0)) + product(down, np.where(bottom, self.v, 0))
+        low = part + product(up, np.where(top, 0, first)) + product(down, np.where(bottom, 0, last))
+        high = part + product(up, np.where(top, 0, at_top)) + product(down, np.where(bottom, 0, at_bottom))
+        return part, low, high
+
+    def rest(self, q: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
+        """What the entries beyond ``depth`` of some candidates add to their
+        scores with one query."""
+        rank = self.rank[places]
+        unread = np.where(q > 0, rank < self.n - depth, rank >= depth)
+        return product(np.where(unread, self.v[places], 0), q[None, :])[:, 0]
+
 
+def converted(x: np.ndarray, kind) -> np.ndarray:
+    if kind is object and x.dtype != object:
+        return np.array([[int(v) for v in row] for row in x.tolist()], object).reshape(x.shape)
+    return x.astype(kind)
 
-def top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int):
+
+def clipped(x: np.ndarray) -> np.ndarray:
+    """Integers clipped to the range of a long."""
+    return np.array([[min(max(int(v), LONG.min), LONG.max) for v in row] for row in x.tolist()], object).reshape(x.shape)
+
+
+def top(lists: Lists, q_ids: np.ndarray, q: np.ndarray, k: int):
     """Rows of queries and candidates and the scores of each query's best
-    ``k`` of a block (``ids`` ascending)."""
-    kind = exact_type(q, v)
-    q, v = q.astype(kind), v.astype(kind)
-    own = q_ids[:, None] == ids[None, :] if len(np.intersect1d(q_ids, ids)) else None
-    alive = np.ones((len(q), len(v)), bool) if own is None else ~own
-    lists = Lists(v) if kind is not object else None
-    open_ = np.arange(len(q))  # queries still reading
-    up, down = np.maximum(q, 0), np.minimum(q, 0)
-    for share in DEPTHS if lists else ():
-        depth = int(share * len(v))
-        if not depth or not len(open_):
-            continue
-        low, high = lists.bounds(up[open_], down[open_], depth)
+    ``k`` of a block (whose ids ascend)."""
+    kind = exact_type(q, lists.v)
+    q, lists, ids = converted(q, kind), lists.astype(kind), lists.ids
+    n = lists.n
+    alive = q_ids[:, None] != ids[None, :]
+    part = np.zeros(alive.shape, kind)  # what has been read
+    read = np.zeros(len(q), int)  # to which depth
+    open_ = np.arange(len(q))
+    up, down = np.where(q > 0, q, 0), np.where(q < 0, q, 0)
+    least = None if kind is object else -np.inf
+    for depth in sorted({int(share * n) for share in DEPTHS} - {0}):
+        if not len(open_):
+            break
+        some, low, high = lists.read(up[open_], down[open_], depth)
+        if kind is object:  # scores are compared as they are returned
+            low, high = clipped(low), clipped(high)
         here = alive[open_]
-        low[~here] = -np.inf
-        if low.shape[1] > k:
-            kth = np.partition(low, low.shape[1] - k, axis=1)[:, -k]
-            here &= high >= kth[:, None]
-            alive[open_] = here
+        for i, row in enumerate(open_):
+            bounds = low[i][here[i]]
+            if len(bounds) > k:
+                if least is None:
+                    here[i] &= (high[i] >= sorted(bounds)[-k]).astype(bool)
+                else:
+                    here[i] &= high[i] >= np.partition(bounds, len(bounds) - k)[-k]
+        alive[open_], part[open_], read[open_] = here, some, depth
         open_ = open_[here.sum(axis=1) > k]
-    # the rest of the lists, for the candidates that can still qualify for some query
     rows, places, scores = [], [], []
-    some = np.flatnonzero(alive.any(axis=0))
-    final = product(q, v[some])
     for i in range(len(q)):
-        mine = np.flatnonzero(alive[i, some])
-        s = final[i, mine]
+        mine = np.flatnonzero(alive[i])
+        s = part[i, mine] + lists.rest(q[i], mine, read[i])
         if kind is object:
-            s = np.array([min(max(int(x), LONG.min), LONG.max) for x in s], object)
-            best = np.array(sorted(range(len(s)), key=lambda j: (-s[j], ids[some[mine[j]]]))[:k], int)
+            s = clipped(s[:, None])[:, 0]
+            best = np.array(sorted(range(len(s)), key=lambda j: (-s[j], ids[mine[j]]))[:k], int)
         else:
-            best = vectors.best_of(-s, ids[some[mine]], k)
+            best = vectors.best_of(-s, ids[mine], k)
         rows.append(np.full(len(best), i))
-        places.append(some[mine[best]])
+        places.append(mine[best])
         scores.append(s[best].astype(np.int64))
     return np.concatenate(rows), np.concatenate(places), np.concatenate(scores)
 
@@ -117,12 +163,12 @@ def search(df: DataFrame, k: int = 5, every: int = 50, scale: int = 256, id_colu
            column: str = "embedding") -> DataFrame:
     """The ``k`` largest integer inner products for every row whose id is
     divisible by ``every``: ``query_id``, ``rank``, ``vec_id``, ``score``."""
-    rows = cut(vectors.clean(df, id_column, column))
+    rows = cut(vectors.one_each(vectors.clean(df, id_column, column)))
+
+    def build(ids, v):
+        return Lists(ids, integers(v, scale))
 
-    def kernel(q_ids, q, ids, v):
-        q, v = np.floor(scale * q), np.floor(scale * v)
-        if exact_type(q, v) is object:  # beyond what doubles add up exactly
-            q, v = (np.array([[int(x) for x in row] for row in m], object) for m in (q, v))
-        return top(q_ids, q, ids, v, k)
+    def find(lists, q_ids, q):
+        return top(lists, q_ids, integers(q, scale), k)
 
-    return vectors.by_blocks(rows.where(F.pmod("id", F.lit(every)) == 0), rows, k, "long", kernel)
+    return vectors.by_blocks(rows.where(F.pmod("id", F.lit(every)) == 0), rows, k, "long", build, find)
