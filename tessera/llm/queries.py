@@ -68,13 +68,13 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of every document's ids, digest of what they decode to, and
-    whether the spans cover the text."""
+    digest of the byte span of every piece."""
     coded = spm_codec.encode(_documents(spark, sf_dir), tokenizer(PIECES))
     return coded.select(F.col("row.doc_id").alias("doc_id"),
                         (F.octet_length("ids_le") / 4).cast("long").alias("n_tokens"),
                         F.sha2("ids_le", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-                        F.element_at("ends", -1).cast("long").alias("span_end"))
+                        F.sha2("spans_le", 256).alias("spans_sha256"))
 
 
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,14 +5,16 @@ double-array trie of byte strings, each with a replacement.  At every
 position the longest prefix found in the map is replaced (a character that
 is not in the map stands for itself), and the place in the original text
 that each normalised byte comes from is recorded.  The pieces tile the
-normalised text, so their ends, taken through that record, are byte spans
-of the original text.
+normalised text, so their starts and ends, taken through that record, are
+byte spans of the original text; a text that its pieces do not tile is an
+error.  Every text is normalised so, also by a map without entries (the
+identity), for which the record is made for all bytes at once.
 
 Ids are those of the sentencepiece library.  Where a model has the
 identity map, keeps white space and has no piece that holds a space after
 another character, merges never cross a space, so the ids of a text are
-those of its space-separated segments, which a worker remembers; any other
-model encodes whole texts.
+those of its normalised text's segments (each a run of spaces and what
+follows), which a worker remembers; any other model encodes whole texts.
 
 Defined results: NULL text is the empty text; an empty text has no pieces
 (only begin and end ids where asked for).  Begin and end ids have the empty
@@ -39,7 +41,7 @@ SPACE = "▁"
 REMEMBERED = 100_000
 MEMO_BYTES = 48
 
-CODE = "ids array<int>, starts array<int>, ends array<int>, ids_le binary, decoded string"
+CODE = "ids array<int>, starts array<int>, ends array<int>, ids_le binary, spans_le binary, decoded string"
 
 
 class CharMap:
@@ -95,9 +97,8 @@ class Codec:
         self.map = CharMap(self.rules.precompiled_charsmap)
         kinds = schema.ModelProto.SentencePiece
         sizes = [1 if p.type == kinds.BYTE else len(p.piece.encode()) for p in model.pieces]
-        spaces = [0 if p.type == kinds.BYTE else p.piece.count(SPACE) for p in model.pieces]
-        #: bytes of each piece in the normalised text, and in a text whose spaces are plain
-        self.normal_size, self.plain_size = np.array(sizes), np.array(sizes) - 2 * np.array(spaces)
+        #: bytes of each piece in the normalised text
+        self.normal_size = np.array(sizes)
         plain = (not self.rules.precompiled_charsmap and self.rules.add_dummy_prefix and not self.suffix
                  and not self.rules.remove_extra_whitespaces and self.rules.escape_whitespaces)
         mixed = any(SPACE in p.piece.lstrip(SPACE) or p.type == kinds.USER_DEFINED for p in model.pieces)
@@ -111,6 +112,8 @@ class Codec:
         """The normalised bytes, and for every one of them (and the end)
         the place in ``data`` it comes from."""
         rules, space = self.rules, SPACE.encode() if self.rules.escape_whitespaces else b" "
+        if not self.map.units and not rules.remove_extra_whitespaces and not self.suffix and data:
+            return self._identity(data, space)
         found, at = [], 0
         while at < len(data):
             size, new = self.map.step(data, at)
@@ -145,24 +148,31 @@ class Codec:
             put(space, end, 0)
         return bytes(out), np.array([*origin, end])
 
+    def _identity(self, data: bytes, space: bytes) -> tuple[bytes, np.ndarray]:
+        """``normalise`` where every character stands for itself."""
+        before = space if self.rules.add_dummy_prefix else b""
+        width = np.where(np.frombuffer(data, np.uint8) == ord(" "), len(space), 1)
+        origin = np.repeat(np.arange(len(data)), width)
+        return before + data.replace(b" ", space), np.concatenate([np.zeros(len(before), origin.dtype), origin, [len(data)]])
+
     # ---- encoder --------------------------------------------------------
 
     def _segment(self, segment: bytes) -> bytes:
         return np.array(self.lib.encode(segment.decode("utf-8", "replace")), "<u4").tobytes()
 
-    def _plain(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and ends in ``data``, put together by segment: a run of
+    def _by_segments(self, normal: bytes) -> np.ndarray:
+        """Ids of a normalised text, put together by segment: a run of
         spaces and the characters after it."""
         self.segments.turn()
         memo = self.segments
+        data = normal.replace(SPACE.encode(), b" ")[1:]  # segments get their first space back from the library
         if data.startswith(b" ") or b"  " in data:
             parts = [s[1:] for s in re.findall(rb" +[^ ]*", b" " + data)]
         else:
             parts = data.split(b" ")
         # an empty segment is a lone space (at the end of the text); alone it would have no piece
-        ids = np.frombuffer(b"".join([
+        return np.frombuffer(b"".join([
             (memo[p] if len(p) <= MEMO_BYTES else self._segment(p)) if p else self.lone for p in parts]), "<u4")
-        return ids, np.maximum(np.cumsum(self.plain_size[ids]) - 1, 0)
 
     @property
     def lone(self) -> bytes:
@@ -173,22 +183,21 @@ class Codec:
         if not data:
             none = np.zeros(0, np.int64)
             return none.astype("<u4"), none, none
+        normal, origin = self.normalise(data)
         if self.by_segment and SPACE.encode() not in data:
-            ids, ends = self._plain(data)
+            ids = self._by_segments(normal)
+            sizes = self.normal_size[ids]
         else:
-            normal, origin = self.normalise(data)
             found = self.lib.encode(data.decode("utf-8", "replace"), return_type="proto").pieces
             ids = np.array([p.id for p in found], "<u4")
             sizes = self.normal_size[ids] if len(ids) else np.zeros(0, np.int64)
             unknown = ids == self.lib.unk_id()
             if unknown.any():
                 sizes = np.where(unknown, [len(p.piece.encode()) for p in found], sizes)
-            ends = np.cumsum(sizes)
-            if len(ids) and ends[-1] != len(normal):
-                raise ValueError("the pieces do not tile the normalised text")
-            ends = origin[ends]
-        starts = np.concatenate([[0], ends[:-1]]) if len(ids) else ends
-        return ids, starts, ends
+        edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        if len(ids) and edges[-1] != len(normal):
+            raise ValueError("the pieces do not tile the normalised text")
+        return ids, origin[edges[:-1]], origin[edges[1:]]
 
     def decode(self, ids: np.ndarray) -> str:
         return self.lib.decode(ids.tolist())
@@ -210,7 +219,7 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
 
 
-def _coder(path: str, bos: bool, eos: bool, text: int):
+def _coder(path: str, bos: bool, eos: bool, text: int, decode: bool):
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         first = [c.lib.bos_id()] if bos else []
@@ -226,24 +235,28 @@ def _coder(path: str, bos: bool, eos: bool, text: int):
                     ids.append(i)
                     starts.append(np.concatenate([[0] * bos, s, [len(t)] * eos]))
                     ends.append(np.concatenate([[0] * bos, e, [len(t)] * eos]))
-                    decoded.append(c.decode(i))
+                    decoded.append(c.decode(i) if decode else None)
                 part = batch.slice(start, stop - start)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), _lists(ids), _lists(starts), _lists(ends),
-                     pa.array([i.tobytes() for i in ids], pa.binary()), pa.array(decoded, pa.string())],
-                    names=["row", "ids", "starts", "ends", "ids_le", "decoded"])
+                     pa.array([i.tobytes() for i in ids], pa.binary()),
+                     pa.array([np.stack([a, b], axis=1).astype("<i4").tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                     pa.array(decoded, pa.string())],
+                    names=["row", "ids", "starts", "ends", "ids_le", "spans_le", "decoded"])
 
     return code
 
 
-def encode(df: DataFrame, path: str, text: str = "text", bos: bool = True, eos: bool = True) -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", bos: bool = True, eos: bool = True,
+           decode: bool = True) -> DataFrame:
     """Encode the column ``text`` of every row.
 
     Returns the columns of ``df`` in a struct ``row`` and: ``ids``;
     ``starts``, ``ends`` (byte offsets into the UTF-8 text); ``ids_le``,
-    the ids as little-endian unsigned 32-bit integers; ``decoded``, what
-    the library decodes the ids to.  No shuffle.
+    the ids as little-endian unsigned 32-bit integers; ``spans_le``, each
+    piece's start and end as little-endian 32-bit integers; ``decoded``, what
+    the library decodes the ids to (NULL without ``decode``).  No shuffle.
     """
     rows, place = packed(df, text)
     schema = StructType([rows.schema["row"], *StructType.fromDDL(CODE).fields])
-    return rows.mapInArrow(_coder(path, bos, eos, place), schema)
+    return rows.mapInArrow(_coder(path, bos, eos, place, decode), schema)

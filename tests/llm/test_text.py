@@ -298,6 +298,36 @@ def test_sentencepiece_equals_the_library(texts):
         assert (starts[1:] == ends[:-1]).all() and (not len(ids) or (starts[0], ends[-1]) == (0, len(data)))
 
 
+def test_sentencepiece_spans_equal_the_library(texts):
+    """Every piece's span is the library's own offset (in bytes)."""
+    codec = spm_codec.Codec(queries.tokenizer(queries.PIECES))
+    for text in [*ODD, *texts.values()]:
+        data = text.encode()
+        _, starts, ends = codec.encode(data)
+        want = [(p.begin, p.end) for p in codec.lib.encode(text, return_type="proto").pieces]
+        assert list(zip(starts.tolist(), ends.tolist())) == want, text
+
+
+def test_sentencepiece_normalises_every_text(monkeypatch):
+    """Ids and spans come from the normalised text and its record."""
+    codec = spm_codec.Codec(queries.tokenizer(queries.PIECES))
+    right = codec.encode(b"some words here")
+    monkeypatch.setattr(codec, "normalise", lambda data: ("▁other▁text".encode(), np.zeros(16, int)))
+    ids, starts, ends = codec.encode(b"some words here")
+    assert ids.tolist() == codec.lib.encode("other text") != right[0].tolist() and not ends.any()
+    codec.by_segment = False
+    with pytest.raises(ValueError):
+        codec.encode(b"some words here")
+
+
+def test_sentencepiece_identity_map_equals_the_general_one():
+    codec, other = (spm_codec.Codec(queries.tokenizer(queries.PIECES)) for _ in range(2))
+    other.map.units = (0,)  # a map that finds nothing
+    for text in ODD:
+        (a, b), (c, d) = codec.normalise(text.encode()), other.normalise(text.encode())
+        assert a == c and b.tolist() == d.tolist()
+
+
 def test_sentencepiece_spans_by_general_way(texts):
     """The way for any model agrees with the remembered segments."""
     fast, slow = (spm_codec.Codec(queries.tokenizer(queries.PIECES)) for _ in range(2))
@@ -340,6 +370,7 @@ def test_sentencepiece_query(spark, documents, odd, empty):
             ids = codec.lib.encode(r["row"]["text"] or "", add_bos=True, add_eos=True)
             assert r["ids"] == ids and np.frombuffer(r["ids_le"], "<u4").tolist() == ids
             assert r["decoded"] == codec.lib.decode(ids) and len(r["starts"]) == len(r["ends"]) == len(ids)
+            assert np.frombuffer(r["spans_le"], "<i4").reshape(-1, 2).tolist() == [list(x) for x in zip(r["starts"], r["ends"])]
     assert spm_codec.encode(empty, path).count() == 0
     clash = documents.limit(3).withColumn("ids", F.lit(1)).withColumn("row", F.lit(2)).withColumn("odd name`s", F.lit(3))
     assert spm_codec.encode(clash, path).select("row.*").columns == clash.columns
