@@ -160,24 +160,30 @@ def _matrix(texts: list[bytes]) -> np.ndarray:
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = _matrix(utf8(batch.column(1)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in rows.T)],
-                                         names=["quality", *FEATURES])
+        rows = _matrix(utf8(batch.column("text")))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "hash", "quality")), *(pa.array(c) for c in rows.T)],
+                                         names=["doc_id", "hash", "quality", *FEATURES])
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, quality): a
-    sample by hash of about ``sample`` labels, which bounds what is
-    broadcast (ids) and collected (statistics)."""
+    sample by hash of about ``sample`` labelled ids.  An id counts once, with
+    its smaller label and the text of the smallest hash, which bounds what is
+    broadcast (ids) and collected (statistics) however often ids repeat."""
     labels = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
-    labels = labels.select("doc_id", F.col("quality").cast("double").alias("quality"))
+    labels = labels.groupBy("doc_id").agg(F.min(F.col("quality").cast("double")).alias("quality"))
     n, wide = labels.count(), 1 << 30
     limit = min(wide, wide * sample // max(n, 1))
     some = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(wide)) < F.lit(limit))
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id")
-    rows = (texts.select("quality", "text")
-            .mapInArrow(_measure, ", ".join(["quality double", *(f"{f} double" for f in FEATURES)])).toPandas())
-    rows = rows.sort_values(list(rows.columns))  # sums in one order: the same model on every run
+    text = F.col("text").cast("string")
+    texts = docs.select("doc_id", F.coalesce(F.xxhash64(text), F.lit(0)).alias("hash"), text.alias("text")).join(F.broadcast(some), "doc_id")
+    schema = texts.select("doc_id", "hash", "quality").schema
+    for f in FEATURES:
+        schema = schema.add(f, DoubleType())
+    columns = ["quality", *FEATURES]
+    rows = (texts.select("doc_id", "hash", "quality", "text").mapInArrow(_measure, schema)
+            .groupBy("doc_id").agg(F.min(F.struct("hash", *columns)).alias("r")).select(*[f"r.{c}" for c in columns]).toPandas())
+    rows = rows.sort_values(columns)  # sums in one order: the same model on every run
     return fit_model(rows[FEATURES].to_numpy(float), rows["quality"].to_numpy(float))
 
 

@@ -136,3 +136,22 @@ def test_sql(spark, sf_small, name):
     columns = [d[0] for d in cur.description]
     assert sorted(columns) == sorted(df.columns)
     assert sorted(map(tuple, df.select(*columns).collect())) == sorted(cur.fetchall())
+
+
+def test_clashing_columns_are_replaced_by_the_last_stage(spark, tmp_path):
+    df = spark.createDataFrame([(1, "some text", "x", "y", 1.5)], "doc_id long, text string, ids string, N_TOKENS string, `a.b` double")
+    corpus_pipeline.sentencepiece(spark, df, "").write.parquet(str(tmp_path / "out"))
+    (row,) = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert row["n_tokens"] == len(row["ids"]) > 2 and row["a.b"] == 1.5 and len(row) == 5
+
+
+def test_a_repeated_labelled_id_is_collected_once(spark, monkeypatch):
+    from tessera.llm import quality
+
+    seen = []
+    monkeypatch.setattr(quality, "fit_model", lambda x, y: seen.append((x, y)))
+    docs = spark.createDataFrame([(1, f"text number {i}") for i in range(300)] + [(2, "two"), (None, "no id")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)] * 50 + [(1, 0), (2, 1), (3, 1), (None, 1)], "doc_id long, quality int")
+    quality.fit(docs, labels)
+    (x, y), = seen
+    assert len(x) == 2 and sorted(y) == [0.0, 1.0]
