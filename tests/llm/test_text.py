@@ -183,7 +183,8 @@ def test_a_long_form_does_not_hide_a_short_one():
 def test_compression_ranks_the_right_template_first():
     scanner = licenses.Scanner(licenses.TEMPLATES)
     for name, text in licenses.TEMPLATES.items():
-        assert scanner.rank(" ".join(licenses.tokens(text)).encode())[0][1] == name
+        share, t = scanner.rank(" ".join(licenses.tokens(text)).encode())[0]
+        assert scanner.templates[t][0] == name and share >= 1
 
 
 def test_notices_odd_and_empty(odd, empty):
@@ -281,6 +282,27 @@ def test_shards_odd_empty_and_files(spark, odd, empty, documents, tmp_path):
         "b > 50000 and n > 1").count() == 0
 
 
+def test_compression_decides_what_is_confirmed(monkeypatch):
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    text = b"some prose. Released under the MIT License. more prose"
+    assert [n.license for _, n in scanner.scan(text)] == ["mit"]
+    monkeypatch.setattr(scanner, "rank", lambda block: [(0.0, t) for t in range(len(scanner.templates))])
+    assert not list(scanner.scan(text))
+
+
+def test_any_template_is_found_without_any_word_that_a_notice_may_lack():
+    words = "you may share this zebra text with everybody who asks kindly for it and gives cake in return".split()
+    scanner = licenses.Scanner({"cake": " ".join(words)})
+    less = int(licenses.DIFFERENT * len(words))
+    for first in range(0, len(words) - less + 1):
+        kept = words[:first] + words[first + less:]
+        found = [n for _, n in scanner.scan(("x y z " + " ".join(kept) + " and so on").encode())]
+        assert [n.license for n in found] == ["cake"]
+    longest = sorted(words, key=lambda w: (-len(w), w))[:less]
+    kept = [w for w in words if w not in longest]
+    assert [n.license for _, n in scanner.scan(" ".join(kept).encode())] == ["cake"]
+
+
 # ---- 5: SentencePiece --------------------------------------------------
 
 ODD = ["", " ", "  ", "a ", " a", "a  b", "\n", "a\n b", "▁x", "x ▁ y", "日本 語̀ \x00 x", "😀 😀😀", "<s> </s> <unk>",
