@@ -39,7 +39,7 @@ from . import vectors
 from .common import cut
 
 #: Shares of the lists read between two looks at the bounds.
-DEPTHS = (0.125, 0.25, 0.5)
+DEPTHS = (0.125, 0.5, 0.75, 0.9)
 LONG = np.iinfo(np.int64)
 
 
@@ -85,24 +85,26 @@ class Lists:
         other.v, other.sorted = converted(self.v, kind), converted(self.sorted, kind)
         return other
 
-    def read(self, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What ``depth`` entries of each list add up to for each query and
-        candidate, and lower and upper bounds of the scores; ``up`` and
-        ``down`` are the queries' positive and negative weights."""
+    def read(self, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds of the scores of all queries and
+        candidates when ``depth`` entries of each list have been read: sums
+        of what was read and of the lowest and highest that the rest can be;
+        ``up`` and ``down`` are the queries' positive and negative weights."""
         top, bottom = self.rank >= self.n - depth, self.rank < depth
         last, first = self.sorted[-1], self.sorted[0]
         at_top, at_bottom = self.sorted[self.n - depth], self.sorted[depth - 1]
-        part = product(up, np.where(top, self.v, 0)) + product(down, np.where(bottom, self.v, 0))
-        low = part + product(up, np.where(top, 0, first)) + product(down, np.where(bottom, 0, last))
-        high = part + product(up, np.where(top, 0, at_top)) + product(down, np.where(bottom, 0, at_bottom))
-        return part, low, high
-
-    def rest(self, q: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
-        """What the entries beyond ``depth`` of some candidates add to their
-        scores with one query."""
-        rank = self.rank[places]
+        low = product(up, np.where(top, self.v, first)) + product(down, np.where(bottom, self.v, last))
+        high = product(up, np.where(top, self.v, at_top)) + product(down, np.where(bottom, self.v, at_bottom))
+        return low, high
+
+    def rest(self, q: np.ndarray, places: np.ndarray, low: np.ndarray, depth: int) -> np.ndarray:
+        """Scores of some candidates with one query, from their lower bounds
+        at ``depth``: the rest of their entries is read, each in place of the
+        lowest that it could be."""
+        rank, v = self.rank[places], self.v[places]
         unread = np.where(q > 0, rank < self.n - depth, rank >= depth)
-        return product(np.where(unread, self.v[places], 0), q[None, :])[:, 0]
+        lowest = np.where(q > 0, self.sorted[0], self.sorted[-1])
+        return low + product(np.where(unread, v - lowest, 0), q[None, :])[:, 0]
 
 
 def converted(x: np.ndarray, kind) -> np.ndarray:
@@ -123,31 +125,30 @@ def top(lists: Lists, q_ids: np.ndarray, q: np.ndarray, k: int):
     q, lists, ids = converted(q, kind), lists.astype(kind), lists.ids
     n = lists.n
     alive = q_ids[:, None] != ids[None, :]
-    part = np.zeros(alive.shape, kind)  # what has been read
-    read = np.zeros(len(q), int)  # to which depth
-    open_ = np.arange(len(q))
     up, down = np.where(q > 0, q, 0), np.where(q < 0, q, 0)
-    least = None if kind is object else -np.inf
+    lowest = product(up, lists.sorted[:1]) + product(down, lists.sorted[-1:])
+    least = np.broadcast_to(lowest, alive.shape).copy()  # lower bounds at the depth read
+    read = np.zeros(len(q), int)
+    open_ = np.arange(len(q))
     for depth in sorted({int(share * n) for share in DEPTHS} - {0}):
         if not len(open_):
             break
-        some, low, high = lists.read(up[open_], down[open_], depth)
+        low, high = lists.read(up[open_], down[open_], depth)
+        least[open_], read[open_] = low, depth
         if kind is object:  # scores are compared as they are returned
             low, high = clipped(low), clipped(high)
         here = alive[open_]
-        for i, row in enumerate(open_):
+        for i in range(len(open_)):
             bounds = low[i][here[i]]
             if len(bounds) > k:
-                if least is None:
-                    here[i] &= (high[i] >= sorted(bounds)[-k]).astype(bool)
-                else:
-                    here[i] &= high[i] >= np.partition(bounds, len(bounds) - k)[-k]
-        alive[open_], part[open_], read[open_] = here, some, depth
+                kth = sorted(bounds)[-k] if kind is object else np.partition(bounds, len(bounds) - k)[-k]
+                here[i] &= (high[i] >= kth).astype(bool)
+        alive[open_] = here
         open_ = open_[here.sum(axis=1) > k]
     rows, places, scores = [], [], []
     for i in range(len(q)):
         mine = np.flatnonzero(alive[i])
-        s = part[i, mine] + lists.rest(q[i], mine, read[i])
+        s = lists.rest(q[i], mine, least[i, mine], read[i])
         if kind is object:
             s = clipped(s[:, None])[:, 0]
             best = np.array(sorted(range(len(s)), key=lambda j: (-s[j], ids[mine[j]]))[:k], int)
