@@ -120,11 +120,14 @@ def place(df: DataFrame, limit: int = LIMIT, key: str = "doc_id", id_column: str
 
 
 def write(df: DataFrame, path: str, limit: int = LIMIT, id_column: str = "doc_id", text: str = "text") -> None:
-    """Write rows with different ids as one Parquet folder for each shard.
-    (A shard is one file: its rows meet in one task, and fit the limit.)"""
-    shards = place(df, limit, id_column, id_column, text).select(F.col("id").alias("__id"), "shard")
-    (df.join(shards, F.col(f"`{id_column}`").eqNullSafe(F.col("__id"))).drop("__id")
-     .withColumn("shard", F.concat(F.lit("s"), "shard")).repartition("shard")
+    """Write rows as one Parquet folder for each shard, ``shard=s<prefix>``
+    (in place of a column ``shard``).  Rows are numbered for it, so that
+    repeated and NULL ids, and rows equal in everything, are rows of their
+    own: each is written once, and every shard with more than one row is
+    within the limit.  (A shard is one file: its rows meet in one task.)"""
+    rows = cut(df.drop("shard").withColumn("__n", F.monotonically_increasing_id()))
+    shards = place(rows, limit, id_column, "__n", text).select(F.col("id").alias("__n"), "shard")
+    (rows.join(shards, "__n").drop("__n").withColumn("shard", F.concat(F.lit("s"), "shard")).repartition("shard")
      .write.partitionBy("shard").parquet(path))
 
 

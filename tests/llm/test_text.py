@@ -303,6 +303,17 @@ def test_any_template_is_found_without_any_word_that_a_notice_may_lack():
     assert [n.license for _, n in scanner.scan(" ".join(kept).encode())] == ["cake"]
 
 
+def test_written_shards_hold_every_row_once(spark, tmp_path):
+    rows = [(i, x, "s") for i, x in [(1, "a" * 50)] * 40 + [(None, "b" * 60)] * 5 + [(1, "c" * 70), (2, None), (3, "d" * 500)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard string")
+    sharding.write(df, str(tmp_path / "out"), 120)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted(((r["doc_id"], r["text"]) for r in back.collect()), key=key) == sorted((r[:2] for r in rows), key=key)
+    sizes = back.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).collect()
+    assert all(r["n"] == 1 or (r["b"] or 0) <= 120 for r in sizes) and len(sizes) > 20
+
+
 # ---- 5: SentencePiece --------------------------------------------------
 
 ODD = ["", " ", "  ", "a ", " a", "a  b", "\n", "a\n b", "▁x", "x ▁ y", "日本 語̀ \x00 x", "😀 😀😀", "<s> </s> <unk>",
