@@ -304,12 +304,14 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 1,
     return the manifest: one row per file, with ``start``, the number of
     ids in the files before it.
 
-    One shuffle (range partitioning by ``doc_id``); the manifest has one
-    row per partition and is all that is ordered in one task.
+    One shuffle (range partitioning by ``doc_id`` and the text's hash, so
+    that a repeated id fills as many files as its texts need; its rows are in
+    order of the hash); the manifest has one row per partition and is all
+    that is ordered in one task.
     """
-    sort = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    sort = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc(), F.col("text").asc_nulls_first()]
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .repartitionByRange(sort[0]).sortWithinPartitions(*sort))
+            .repartitionByRange(*sort[:2]).sortWithinPartitions(*sort))
     files = cut(rows.mapInArrow(_writer(folder, path, id_type(path), length, end_id), MANIFEST))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))

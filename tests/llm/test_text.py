@@ -586,3 +586,18 @@ def test_language_odd_and_empty(odd, empty):
     assert by[3, "one"][0] in learned.languages
     assert language.predict(empty, learned).count() == 0
     assert {r["lang_pred"] for r in language.predict(odd, language.fit(empty)).collect()} == {language.UNKNOWN}
+
+
+def test_a_repeated_id_fills_several_token_files(spark, tmp_path):
+    df = spark.range(6000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"))
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"  # small ranges would be one task's
+    before = spark.conf.get(merge)
+    spark.conf.set(merge, "false")
+    try:
+        files = token_files.write_token_files(df, str(tmp_path / "t"), queries.tokenizer(queries.WORDS))
+    finally:
+        spark.conf.set(merge, before)
+    sizes = [r["n_docs"] for r in files.collect()]
+    assert sum(sizes) == 6000 and len(sizes) >= 4 and max(sizes) < 3000
+    rows = token_files.read_documents(files).orderBy("start").collect()
+    assert len(rows) == 6000 and [r["start"] for r in rows] == list(np.cumsum([0] + [r["n_tokens"] for r in rows[:-1]]))
