@@ -51,8 +51,22 @@ def window_messages(windows: DataFrame, channels: int, features: str = "features
 
 
 def publish_files(messages: DataFrame, path: str, rows_per_file: int = 1000) -> None:
-    """File sink: one JSON message per line (text files)."""
-    messages.select("value").write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).text(path)
+    """File sink: one JSON message per line (text files), about
+    ``rows_per_file`` in each.  The number of files follows from the messages,
+    not from the tasks that made them: a consumer that takes a few files per
+    trigger would else run a micro-batch for every few tasks."""
+    files = max(1, -(-messages.count() // rows_per_file))
+    messages.select("value").coalesce(files).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).text(path)
+
+
+#: Micro-batches up to which a replay grows in number; beyond, its triggers grow.
+TRIGGERS = 8
+
+
+def files_per_trigger(spark: SparkSession, path: str, least: int) -> int:
+    """Files a trigger takes of the message files at ``path``: ``least``, or
+    more where that would be over ``TRIGGERS`` micro-batches."""
+    return max(least, -(-len(spark.read.text(path).inputFiles()) // TRIGGERS))
 
 
 def publish_kafka(messages: DataFrame, servers: str, topic: str) -> None:

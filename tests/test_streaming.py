@@ -70,3 +70,17 @@ def test_latest_per_key(spark):
     q.awaitTermination()
     got = {r["device"]: (r["seq"], r["subject_id"]) for r in CS.read_changelog(spark, log, ["device"]).collect()}
     assert got == {"phone": (3, "s2"), "watch": (4, "s3")}
+
+
+def test_files_follow_from_messages_not_from_tasks(spark, tmp_path):
+    """60 tasks' messages are a few files, so that a replay is a few
+    micro-batches; many files are taken in larger triggers."""
+    msgs = spark.range(0, 250, 1, 60).selectExpr("cast(id as string) as value")
+    path = str(tmp_path / "few")
+    MS.publish_files(msgs, path, rows_per_file=100)
+    assert len(spark.read.text(path).inputFiles()) <= 6
+    assert sorted(int(r.value) for r in spark.read.text(path).collect()) == list(range(250))
+    assert MS.files_per_trigger(spark, path, 4) == 4
+    many = str(tmp_path / "many")
+    msgs.repartition(60).write.text(many)
+    assert MS.files_per_trigger(spark, many, 4) == -(-60 // MS.TRIGGERS)
