@@ -84,3 +84,19 @@ def test_files_follow_from_messages_not_from_tasks(spark, tmp_path):
     many = str(tmp_path / "many")
     msgs.repartition(60).write.text(many)
     assert MS.files_per_trigger(spark, many, 4) == -(-60 // MS.TRIGGERS)
+
+
+def test_table_streams_from_a_file_and_from_a_folder(spark, tmp_path):
+    from tessera.plans import tables as TB
+
+    rows = spark.range(0, 100, 1, 20)
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    part = next(f for f in os.listdir(tmp_path / "events.parquet") if f.endswith(".parquet"))
+    os.makedirs(tmp_path / "one")
+    os.link(tmp_path / "events.parquet" / part, tmp_path / "one" / "events.parquet")
+    for d, n in ((tmp_path, 100), (tmp_path / "one", spark.read.parquet(str(tmp_path / "one" / "events.parquet")).count())):
+        q, out = CS.run_append(spark, TB.stream(spark, str(d), "events"), "table")
+        q.awaitTermination()
+        got = [r.id for r in spark.read.parquet(out).collect()]
+        assert len(got) == len(set(got)) == n
+        assert len(q.recentProgress) <= TB.TABLE_TRIGGERS + 1
