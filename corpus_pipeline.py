@@ -13,7 +13,8 @@ the next one's documents; all but the last return the columns of
 4. mixing: each document is taken as often as its rate says, which is more
    than once only where scarce domains have to be repeated;
 5. SentencePiece: ids and their number are added, as ``ids`` and
-   ``n_tokens`` (in place of columns that have these names).
+   ``n_tokens`` (in place of columns that have these names), and the ids are
+   decoded again: how many texts come back byte for byte is observed.
 
 Rows are told apart by ``doc_id`` and text: rows without a ``doc_id`` are
 deduplicated and drawn like any other, and different texts under one
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import language, mixing, quality, queries, simhash, spm_codec
@@ -64,9 +65,14 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__n"))).select(*docs.columns)
 
 
-def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str, seen: Observation | None = None) -> DataFrame:
+    """``seen`` has, after the rows are written: documents (``n_docs``), their
+    ids (``n_ids``), and texts that the ids decode to unchanged (``n_same``)."""
     ship(spark)
-    coded = spm_codec.encode(docs, queries.tokenizer(queries.PIECES), decode=False)
+    coded = spm_codec.encode(docs, queries.tokenizer(queries.PIECES))
+    same = F.col("decoded") == F.coalesce(F.col("row").getField("text").cast("string"), F.lit(""))
+    coded = coded.observe(seen or "sentencepiece", F.count(F.lit(1)).alias("n_docs"),
+                          F.sum(F.size("ids").cast("long")).alias("n_ids"), F.count(F.when(same, 1)).alias("n_same"))
     kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in ("ids", "n_tokens")]
     return coded.select(*kept, F.size("ids").cast("long").alias("n_tokens"), "ids")
 

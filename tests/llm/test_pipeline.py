@@ -155,3 +155,14 @@ def test_a_repeated_labelled_id_is_collected_once(spark, monkeypatch):
     quality.fit(docs, labels)
     (x, y), = seen
     assert len(x) == 2 and sorted(y) == [0.0, 1.0]
+
+
+def test_last_stage_decodes_what_it_encodes(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    rows = [(1, "Some text, and more."), (2, ""), (3, None), (4, "a▁b")]  # the last one comes back as "a b"
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = Observation()
+    corpus_pipeline.sentencepiece(spark, df, "", seen).write.parquet(str(tmp_path / "out"))
+    out = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert seen.get == {"n_docs": 4, "n_ids": sum(r["n_tokens"] for r in out), "n_same": 3}
