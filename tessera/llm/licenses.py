@@ -2,15 +2,17 @@
 
 A document's candidate blocks are its words around each of ``CUES``, on both
 sides as many as the longest notice can have; line ends are white space and
-comment marks no words.  Within a block a template is looked for wherever so
-many of its words stand together that it can be there, in a stretch of about
-its own length, and confirmed by the exact wording: the words of the template
-that the stretch lacks and the words that it has in their place.  Every
-confirmed stretch is compressed alone and once more with the template as raw
-zstandard dictionary: the more of it the template already says, the fewer
-bytes are left.  Of overlapping notices the one that saves the most bytes
-stays, of those whose reduction is at least ``REDUCTION``; every template is
-tried, so a long form cannot hide a short one.
+comment marks no words.  A block is ranked in stretches, wherever so many of a
+template's words stand together that it can be there: each piece of a stretch,
+of about twice the template's length, is compressed alone and once more with
+every template as raw zstandard dictionary: the more of it a template already
+says, the fewer bytes are left.  A stretch's template is looked for where it
+is among those of a piece that save ``CHOSEN`` of its size or more; the others
+are not.  What is chosen is confirmed by the exact wording: the words of the
+template that the stretch lacks and the words that it has in their place, and
+compressed by itself.  Of overlapping notices the one that saves the most bytes
+stays, of those whose reduction is at least ``REDUCTION``; each template has
+stretches of its own length, so a long form cannot hide a short one.
 
 Blocks are searched in windows of ``WINDOW`` words that overlap by the
 longest notice, so whole texts of any length are covered in bounded
@@ -39,6 +41,8 @@ from .common import Memo, utf8
 #: A reduction by at least this share is looked at; a notice may lack or add up to this share of the template's words.
 REDUCTION = 0.25
 DIFFERENT = 0.25
+#: A template is looked for in a stretch if it saves at least this share of a piece.
+CHOSEN = 0.05
 #: Words of a block searched at a time, reductions remembered (per generation).
 WINDOW = 1024
 REMEMBERED = 50_000
@@ -190,6 +194,7 @@ class Scanner:
         self.reach = max((len(t) + int(DIFFERENT * len(t)) for _, _, t in self.templates), default=0)
         self.counts = [Counter(t) for _, _, t in self.templates]
         self.known = Memo(self._saved, REMEMBERED)
+        self.ranked = Memo(lambda piece: frozenset(n for share, n, _ in self.rank(piece.encode()) if share >= CHOSEN), REMEMBERED)
 
     def rank(self, block: bytes) -> list[tuple[float, str, list[str]]]:
         """Templates by the share of the block's compressed size they save."""
@@ -203,6 +208,15 @@ class Scanner:
         size = len(self.alone.compress(block))
         return size, size - len(self.templates[key[0]][1].compress(block))
 
+    def _chosen(self, words: list[str], start: int, stop: int, t: int) -> bool:
+        """Is a template among those that compress a piece of
+        ``words[start:stop]`` best?  (The pieces overlap by its longest
+        notice, so each notice is whole in one.)"""
+        name, _, template = self.templates[t]
+        width = len(template) + int(DIFFERENT * len(template))
+        return any(name in self.ranked[" ".join(words[a:min(a + 2 * width, stop)])]
+                   for a in range(start, max(stop - width, start + 1), width))
+
     def _confirmed(self, words: list[str], start: int, stop: int, template: list[str]) -> Iterator[tuple]:
         """Stretches of ``words[start:stop]`` that word the template."""
         width = len(template) + int(DIFFERENT * len(template))
@@ -228,6 +242,8 @@ class Scanner:
             if sum(w not in held for w in self.counts[t]) > less:
                 continue
             for start, stop in stretches(words, self.counts[t], len(template) + less, len(template) - less):
+                if not self._chosen(words, start, stop, t):
+                    continue
                 for first, end, missing, added in self._confirmed(words, start, stop, template):
                     size, saved = self.known[t, " ".join(words[first:end])]
                     if saved >= REDUCTION * size:
@@ -241,6 +257,7 @@ class Scanner:
     def scan(self, data: bytes) -> Iterator[tuple[int, Notice]]:
         """Notices and the bytes they begin at."""
         self.known.turn()
+        self.ranked.turn()
         low = data.lower()
         if not any(c in low for c in _CUE_BYTES):
             return

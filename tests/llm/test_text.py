@@ -186,6 +186,16 @@ def test_compression_ranks_the_right_template_first():
         assert scanner.rank(" ".join(licenses.tokens(text)).encode())[0][1] == name
 
 
+def test_what_compression_does_not_choose_is_not_found(monkeypatch):
+    text = f"{licenses.TEMPLATES['mit']} {licenses.TEMPLATES['gpl-3.0']}"
+    assert _found(text) == [("mit", True), ("gpl-3.0", True)]
+    rank = licenses.Scanner.rank
+    monkeypatch.setattr(licenses.Scanner, "rank", lambda self, block: [r for r in rank(self, block) if r[1] != "mit"])
+    assert _found(text) == [("gpl-3.0", True)]
+    monkeypatch.setattr(licenses.Scanner, "rank", lambda self, block: [(0.0, *r[1:]) for r in rank(self, block)])
+    assert _found(text) == []
+
+
 def test_notices_odd_and_empty(odd, empty):
     assert licenses.notices(odd).count() == 0 and licenses.notices(empty).count() == 0
 
