@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tessera import schemas as S
 from tessera.operators.order import null_safe_join
 from tessera.operators.running import running_sums
+from tessera.session import scratch_path
 
 
 def read_parquet_excluding(spark: SparkSession, include: str, exclude_name: str | None = None) -> DataFrame:
@@ -45,8 +46,12 @@ def write_windows(windows: DataFrame, path: str, partition_by: list[str] | None
     value's share of the slices by the hash of ``key`` (default: all columns
     that are no arrays): the number of files follows from the rows, not from
     the tasks that made them, and a value with most of the rows is written by
-    as many tasks as it has slices.  ``windows`` is read twice."""
+    as many tasks as it has slices.  Counting and writing both read the
+    windows, which are therefore made once, in the shared folder."""
     by = partition_by or []
+    made = scratch_path(windows.sparkSession, "windows")
+    windows.write.parquet(made)
+    windows = windows.sparkSession.read.schema(windows.schema).parquet(made)
     key = key or [f.name for f in windows.schema.fields if not isinstance(f.dataType, T.ArrayType)]
     sizes = windows.groupBy(*by).agg(F.count("*").alias("_n"))
     sizes = sizes.select(*by, F.ceil(F.col("_n") / rows_per_file).cast("long").alias("_slices"))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tessera.operators import order as O
 from tessera.operators import score as SC
 from tessera.operators import series as T
+from tessera.plans import catalog as C
 from tessera.plans.pipeline import build_windows, rejections
 from tessera.sources import store
 from tessera.streaming import consumer as CS
@@ -238,6 +239,22 @@ def test_slices_hold_about_as_many_rows_as_asked_for(spark, tmp_path):
     store.write_windows(df.limit(0), str(tmp_path / "none"), ["split"])
 
 
+def test_sliced_windows_are_made_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def mark(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    store.write_windows(spark.range(1000).mapInArrow(mark, "id long"), str(tmp_path / "w"), rows_per_file=100)
+    assert spark.read.parquet(str(tmp_path / "w")).count() == 1000 and made.value == 1000
+
+
+def test_automatic_histograms_make_their_values_once(spark, sf_small):
+    assert not [f for f in C.q_histogram_auto(spark, sf_small).inputFiles() if "events" in f]
+
+
 def test_kept_readings_are_shuffled_once_and_never_again(spark):
     df = spark.range(9000).select(F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("sid"),
                                   F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("sensor"), F.col("id").alias("ts"),
