@@ -119,3 +119,23 @@ def test_merging_adds_the_runs():
     want = [(int(x["a"]), int(x["c"]), int(x["offset"])) for r in runs for x in r if x["weight"] < 2 and total[int(x["c"])] > 1]
     got = suffix_dedup.merge(pa.table({"run": [r.tobytes() for r in runs]})).to_pylist()
     assert [tuple(x.values()) for x in got] == want and want
+
+
+def test_no_shard_grows_far_over_its_size(spark, monkeypatch, passages):
+    """Anchors that fill a shard or an eighth of one share it with no other."""
+    judge, size = suffix_dedup.shard, 2048
+
+    def bounded(span, ranges):
+        run = judge(span, ranges)
+
+        def checked(table):
+            if sum(map(len, table.column("bytes").to_pylist())) > 2 * size:
+                raise ValueError("a shard is too large")
+            return run(table)
+
+        return checked
+
+    monkeypatch.setattr(suffix_dedup, "SHARD", size)
+    monkeypatch.setattr(suffix_dedup, "shard", bounded)
+    df = spark.createDataFrame(passages, "doc_id long, text string")
+    assert found(df, span=64, gram=8) == wanted(passages, 64)
