@@ -74,6 +74,20 @@ def test_a_stored_grid_with_errors_is_found_out(spark):
     assert got["u", "a"] == pytest.approx(0.25) and got["v", "a"] < 1e-9
 
 
+def test_tasks_of_the_grid_check_follow_from_its_times(spark, monkeypatch):
+    rows = [(k, s, t, math.sin(t / 900), float(t)) for k in ("u", "v") for s in ("a", "b") for t in range(0, 9000, 37)]
+    dd = T.dedupe(T.with_bucket(spark.createDataFrame(rows, SCHEMA), SPEC), SPEC)
+    ok = T.eligible(T.classify(T.overlap_bounds(dd, SPEC), SPEC), SPEC)
+    grid = T.resample(dd, SPEC)
+    points = 2 * sum(r["n"] for r in ok.collect())
+    monkeypatch.setattr(T, "ERROR_POINTS", 90)
+    e = T.interpolation_error(grid, dd, ok, SPEC)
+    plan = e._jdf.queryExecution().executedPlan().toString()
+    assert f", {-(-points // 90)}), REPARTITION_BY_NUM" in plan
+    got = e.collect()
+    assert len(got) == 4 and sum(r["n_points"] for r in got) == points and max(r["max_err_x"] for r in got) < 1e-9
+
+
 def test_ranges_are_expanded_in_bounded_steps(spark, monkeypatch):
     monkeypatch.setattr(T, "EXPAND", 7)
     df = spark.createDataFrame([(0, 20), (5, 5), (13, 29)], "lo long, hi long")
