@@ -131,3 +131,9 @@ def test_window_keys_from_bounds_match_built_windows(spark, sf_small):
     built = {tuple(r) for r in C._windows_raw(spark, sf_small)
              .select("subject_id", "device", "activity", "k").collect()}
     assert from_bounds and from_bounds == built
+
+
+def test_the_grid_reads_the_events_once(spark, sf_small):
+    """Resampling takes its readings several times from what was kept of them."""
+    plan = _plan(C._grid(spark, sf_small))
+    assert "FileScan parquet" not in plan and "Scan ExistingRDD" in plan
