@@ -52,8 +52,7 @@ class CentroidModel:
         dimension), classes in ascending label order; written to the shared
         folder, so that every use reads the same table."""
         spark = df.sparkSession
-        ex = df.where(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("class_name"),
-                                                       F.posexplode(F.col(features).cast("array<double>")).alias("_d", "_v"))
+        ex = class_values(df, features, label)
         means = ex.groupBy("class_name", "_d").agg(F.avg("_v").alias("_m"))
         per = means.groupBy("class_name").agg(F.array_sort(F.collect_list(F.struct("_d", "_m"))).alias("_c"))
         per = per.select("class_name", F.transform("_c", lambda x: x["_m"]).alias("centroid"))
@@ -140,6 +139,17 @@ class CentroidModel:
         return model
 
 
+def class_values(df: DataFrame, features: str, label: str) -> DataFrame:
+    """A row per value of the labelled vectors: class_name, _d (its place), _v.
+
+    The outer form, its rows without a place left out again: for the inner
+    one Spark tests the vectors before it, and computes those that an
+    expression makes (a z-score) again for each use in that test."""
+    ex = df.where(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("class_name"),
+                                                   F.posexplode_outer(F.col(features).cast("array<double>")).alias("_d", "_v"))
+    return ex.where(F.col("_d").isNotNull())
+
+
 def _logit(f: Column, centroid: Column) -> Column:
     return -F.aggregate(F.zip_with(f, centroid, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
 

@@ -14,12 +14,12 @@ a per-message loop; windows with NULL/NaN/Inf are skipped before encoding
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera import schemas as S
-from tessera.functions.columns import finite_array, reshape
+from tessera.functions.columns import bound, finite_array, reshape
 from tessera.operators.order import sequence_numbers
 from tessera.session import scratch_path
 from tessera.sources.sensor_files import device_name
@@ -99,15 +99,17 @@ def decode(raw: DataFrame, rows: int | None = None, channels: int | None = None)
     ``channels`` where given: the shape that the model expects) without
     NULL, NaN or +-Inf.  Others are kept with valid = false, so that they go
     to a dead-letter sink and neither stop the stream nor count."""
-    m = F.from_json("value", MESSAGE_SCHEMA, {"mode": "PERMISSIVE"})
-    d = raw.select("*", m.alias("_m"))
-    f = F.col("_m.features")
-    width = F.lit(channels) if channels else F.size(F.get(f, F.lit(0)))
-    shaped = ~F.exists(f, lambda r: r.isNull() | (F.size(r) != width)) & finite_array(F.flatten(f))
-    valid = F.coalesce(F.col("_m.activity").isNotNull() & (F.size(f) > 0) & (width > 0)
-                       & (F.size(f) == rows if rows else F.lit(True)) & shaped, F.lit(False))
-    return d.select(*raw.columns, *[F.col(f"_m.{f.name}").alias(f.name) for f in MESSAGE_SCHEMA.fields],
-                    valid.alias("valid"))
+    def read(m: Column) -> Column:
+        f = m["features"]
+        width = F.lit(channels) if channels else F.size(F.get(f, F.lit(0)))
+        shaped = ~F.exists(f, lambda r: r.isNull() | (F.size(r) != width)) & finite_array(F.flatten(f))
+        valid = F.coalesce(m["activity"].isNotNull() & (F.size(f) > 0) & (width > 0)
+                           & (F.size(f) == rows if rows else F.lit(True)) & shaped, F.lit(False))
+        return F.struct(*[m[c.name].alias(c.name) for c in MESSAGE_SCHEMA.fields], valid.alias("valid"))
+
+    # bound: a filter on ``valid`` that is pushed down would else read the JSON for each use of it
+    d = raw.select("*", bound(F.from_json("value", MESSAGE_SCHEMA, {"mode": "PERMISSIVE"}), read).alias("_m"))
+    return d.select(*raw.columns, *[F.col(f"_m.{c}").alias(c) for c in [*MESSAGE_SCHEMA.names, "valid"]])
 
 
 def place_of(decoded: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tessera.operators import order as O
 from tessera.operators import score as SC
 from tessera.operators import series as T
+from tessera.operators.windows import zscore_features
 from tessera.plans import catalog as C
 from tessera.plans.pipeline import build_windows, rejections
 from tessera.sources import store
@@ -437,3 +438,30 @@ def test_a_new_threshold_takes_effect_with_the_next_batch(spark, tmp_path):
     threshold(2.5)
     scored.write.mode("append").parquet(src)
     assert run().where("alert").count() == 3 + 7
+
+
+# ---- expressions that are computed once --------------------------------
+
+def test_the_fit_computes_its_vectors_once(spark):
+    df = spark.createDataFrame([("a", [1.0, 2.0, None, 4.0]), ("b", [3.0, 1.0]), ("b", []), ("a", None), (None, [1.0, 2.0])],
+                               "label string, features array<double>")
+    values = SC.class_values(zscore_features(df, 2), "features", "label")
+    assert not any("zip_with" in line for line in plan(values).splitlines() if "Filter" in line)
+    got = sorted(SC.class_values(df, "features", "label").collect(), key=lambda r: r[:2])
+    assert got == [("a", 0, 1.0), ("a", 1, 2.0), ("a", 2, None), ("a", 3, 4.0), ("b", 0, 3.0), ("b", 1, 1.0)]
+
+
+def test_a_filter_on_valid_messages_reads_the_json_once_more(spark):
+    df = spark.createDataFrame([('{"device":"phone","subject_id":"1","activity":"A","features":[[1.0,2.0]],"seq":0,"pos":0}',),
+                                ('{"device":"phone","activity":"A","features":[[null,2.0]]}',), ("no JSON",), (None,)], "value string")
+    valid = MS.decode(df, 1, 2).where("valid")
+    assert plan(valid).count("from_json") <= 2
+    assert [(r["subject_id"], r["features"]) for r in valid.collect()] == [("1", [[1.0, 2.0]])]
+    assert [r["valid"] for r in MS.decode(df, 1, 2).collect()] == [True, False, False, False]
+
+
+def test_zscore_keeps_nulls_and_uneven_lengths(spark):
+    df = spark.createDataFrame([(0, [1.0, 5.0, 3.0, None]), (1, [1.0, 5.0, 3.0]), (2, None)], "k int, features array<double>")
+    got = {r["k"]: r["features"] for r in zscore_features(df, 2).collect()}
+    assert got[0][1] is None and got[0][3] is None and got[0][::2] == pytest.approx([-1.0, 1.0], rel=1e-5)
+    assert got[1] == [None, 0.0, None] and got[2] is None
